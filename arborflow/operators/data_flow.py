@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from arborflow.functions.runs import in_runs
 from arborflow.operators.flatten import syntax_rows
 from arborflow.operators.syntax_graph import EDGE_COLUMNS, edge, own_id
 
@@ -85,7 +86,7 @@ def _pair_batches(batches):
 
     held = []
     for (file_id, _, variable, scope), run in groupby(rows(), key=lambda r: r[:4]):
-        events = ((kind, node, [(f["seq"], f["arm"]) for f in frames]) for *_, node, _, kind, frames in run)
+        events = ((kind, node, [(f["seq"], f["arm"]) for f in frames]) for *_, node, _, kind, frames, _ in run)
         for source, target in reaching_pairs(events):
             held.append((file_id, source, target, variable, scope))
             if len(held) >= _PAIRS_PER_BATCH:
@@ -101,7 +102,7 @@ def _batch(rows):
 
 
 def dfg_edges(flat: DataFrame) -> DataFrame:
-    runs = accesses(flat).repartition(*_RUN).sortWithinPartitions(*_RUN, "at")
+    runs = in_runs(accesses(flat), _RUN, "at")
     told = F.to_json(F.struct("variable", "scope", F.lit("REACHING_DEFINITION").alias("resolution")))
     role = F.concat(F.lit("dfg|"), F.col("variable"))
     return (

@@ -4,6 +4,8 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 def build_session(app_name="arborflow", master=None, **conf):
@@ -36,3 +38,9 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def empty_table(spark: SparkSession, schema: str) -> DataFrame:
+    """A table without rows that the optimizer knows to be empty, so joins with it vanish from the plan."""
+    fields = StructType.fromDDL(schema)
+    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in fields])

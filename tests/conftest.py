@@ -17,6 +17,8 @@ def spark():
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "6g")
+        # Tiny inputs: compiling a stage costs more than interpreting it.
+        .config("spark.sql.codegen.wholeStage", "false")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
