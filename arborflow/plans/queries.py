@@ -60,7 +60,7 @@ def _path_contract(spark, sf):
 
 def _path_normalize(spark, sf):
     raw = F.regexp_replace(F.regexp_replace("url", "^https:/", "."), "^http:/", "/")
-    rows = table(spark, sf, "pages").select("page_id", F.regexp_replace(raw, "/en/", r"\\\\en\\\\").alias("raw"))
+    rows = table(spark, sf, "pages").select("page_id", F.regexp_replace(raw, "/en/", r"\\en\\").alias("raw"))
     return rows.select("page_id", path_problem(F.col("raw")).alias("problem"), clean_path(F.col("raw")).alias("path"))
 
 
