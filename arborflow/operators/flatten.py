@@ -230,7 +230,10 @@ def flatten(sources: DataFrame) -> DataFrame:
         if held:
             yield batch_of(held)
 
+    # Parsing costs far more than moving the text, and sources often sit in few or uneven splits.
+    partitions = int(sources.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     inputs = sources.select("file_id", "file_path", F.col("content").cast("binary").alias("content"))
+    inputs = inputs.repartition(partitions, "file_id")
     return inputs.mapInArrow(parsing, FLAT_SCHEMA)
 
 

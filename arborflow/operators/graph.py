@@ -2,7 +2,7 @@
 
 from collections import namedtuple
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from arborflow.constants import PARSER_NAME
@@ -69,17 +69,14 @@ def syntax_counts(flat: DataFrame) -> DataFrame:
     )
 
 
-def source_measures(sources: DataFrame) -> DataFrame:
+def measures() -> list[Column]:
     """Size and line count straight from the bytes."""
-    return sources.select(
-        "file_id",
-        F.length("content").cast("bigint").alias("size_bytes"),
-        line_count(F.col("content").cast("string")).alias("line_count"),
-    )
+    size = F.length("content").cast("bigint").alias("size_bytes")
+    return [size, line_count(F.col("content").cast("string")).alias("line_count")]
 
 
-def file_stats(sources: DataFrame, flat: DataFrame, nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """One row per parsed file: the metadata payload."""
+def file_stats(measured: DataFrame, flat: DataFrame, nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """One row per parsed file: the metadata payload. `measured` has file_id, size_bytes and line_count."""
     sizes = nodes.select("file_id", F.lit(1).alias("n"), F.lit(0).alias("e")).unionByName(
         edges.select("file_id", F.lit(0).alias("n"), F.lit(1).alias("e"))
     )
@@ -87,7 +84,7 @@ def file_stats(sources: DataFrame, flat: DataFrame, nodes: DataFrame, edges: Dat
     return (
         syntax_counts(flat)
         .join(counted, "file_id")
-        .join(source_measures(sources), "file_id")
+        .join(measured.select("file_id", "size_bytes", "line_count"), "file_id")
         .select(
             "file_id",
             "size_bytes",
@@ -109,4 +106,4 @@ def build_graph(sources: DataFrame, flat: DataFrame | None = None) -> Graph:
     flat = flatten(sources) if flat is None else flat
     resolved = calls.resolve_calls(flat)
     nodes, edges = graph_nodes(flat, resolved), graph_edges(flat, resolved)
-    return Graph(nodes, edges, file_stats(sources, flat, nodes, edges), parse_errors(flat))
+    return Graph(nodes, edges, file_stats(sources.select("file_id", *measures()), flat, nodes, edges), parse_errors(flat))

@@ -436,6 +436,11 @@ def _flat(spark, sf):
     return flatten(derive.document_sources(spark, sf))
 
 
+def _flat_once(spark, sf):
+    """Written, for queries that use the rows more than once."""
+    return written(_flat(spark, sf), "flat")
+
+
 def _paths(spark, sf):
     return derive.document_sources(spark, sf).select("file_id", "file_path")
 
@@ -445,7 +450,7 @@ def _named(spark, sf, rows):
 
 
 def _ast_nodes(spark, sf):
-    rows = graph.graph_nodes(_flat(spark, sf)).where("node_type <> 'ExternalSymbol'")
+    rows = graph.graph_nodes(_flat_once(spark, sf)).where("node_type <> 'ExternalSymbol'")
     return rows.select("node_id", "node_type", "name", "qualified_name", "ast_path", "properties")
 
 
@@ -454,7 +459,7 @@ def _ast_edges(spark, sf):
 
 
 def _cfg_edges(spark, sf):
-    return control_flow.cfg_edges(_flat(spark, sf)).select("edge_id", "source_id", "target_id", "edge_type")
+    return control_flow.cfg_edges(_flat_once(spark, sf)).select("edge_id", "source_id", "target_id", "edge_type")
 
 
 def _dfg_edges(spark, sf):
@@ -462,12 +467,12 @@ def _dfg_edges(spark, sf):
 
 
 def _call_edges(spark, sf):
-    rows = calls.call_edges(calls.resolve_calls(_flat(spark, sf)))
+    rows = calls.call_edges(calls.resolve_calls(_flat_once(spark, sf)))
     return rows.select("edge_id", "source_id", "target_id", F.get_json_object("properties", "$.resolution_type").alias("resolution_type"))
 
 
 def _external_symbols(spark, sf):
-    rows = calls.external_symbols(calls.resolve_calls(_flat(spark, sf)))
+    rows = calls.external_symbols(calls.resolve_calls(_flat_once(spark, sf)))
     return rows.select("node_id", "name", "qualified_name", "ast_path", "properties")
 
 
@@ -485,13 +490,12 @@ def _parse_errors(spark, sf):
 
 def _file_stats(spark, sf):
     sources = derive.document_sources(spark, sf)
-    made = graph.build_graph(sources, written(flatten(sources), "flat"))
+    made = graph.build_graph(sources, _flat_once(spark, sf))
     return _named(spark, sf, made.metadata).drop("parse_duration_ms")
 
 
 def _edge_counts(spark, sf):
-    sources = derive.document_sources(spark, sf)
-    rows = graph.graph_edges(written(flatten(sources), "flat"))
+    rows = graph.graph_edges(_flat_once(spark, sf))
     return rows.groupBy("edge_type").agg(F.count("*").alias("edges"))
 
 

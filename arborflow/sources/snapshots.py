@@ -1,0 +1,37 @@
+"""Tables kept as whole Parquet snapshots, where no table format with MERGE is at hand.
+
+A version is its own folder; a row in `versions`, appended after all tables are written, makes it current. A
+crash in between leaves the old version current, and a batch that is run again finds its number there and does
+nothing. Where Delta or Iceberg is installed, the same merged DataFrames feed its MERGE INTO instead.
+"""
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from arborflow.session import empty_table
+
+
+def current_version(spark: SparkSession, path: str) -> int | None:
+    try:
+        versions = spark.read.schema("version bigint").parquet(f"{path}/versions")
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    return versions.agg(F.max("version")).first()[0]
+
+
+def read_tables(spark: SparkSession, path: str, schemas: dict[str, str]) -> dict[str, DataFrame]:
+    """The tables of the current version, empty ones before the first."""
+    version = current_version(spark, path)
+    if version is None:
+        return {name: empty_table(spark, schema) for name, schema in schemas.items()}
+    return {n: spark.read.schema(s).parquet(f"{path}/version={version}/{n}") for n, s in schemas.items()}
+
+
+def write_tables(tables: dict[str, DataFrame], path: str, version: int) -> None:
+    for name, rows in tables.items():
+        rows.write.mode("overwrite").parquet(f"{path}/version={version}/{name}")
+    spark = next(iter(tables.values())).sparkSession
+    spark.range(version, version + 1).toDF("version").coalesce(1).write.mode("append").parquet(f"{path}/versions")
