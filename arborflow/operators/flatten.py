@@ -15,6 +15,7 @@ A file costs its own tree in one Python worker; sources above the read limit nev
 import ast
 import time
 from collections import namedtuple
+from functools import cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -37,23 +38,35 @@ _ROWS_PER_BATCH = 20_000
 
 FUNCTIONS = (ast.FunctionDef, ast.AsyncFunctionDef)
 DEFINITIONS = FUNCTIONS + (ast.ClassDef,)
+SCOPES = (*FUNCTIONS, ast.Module)
 LOOPS = (ast.While, ast.For)
+BRANCHES = (ast.If,) + LOOPS
+
+
+_KEY_FIELD = {ast.Name: "id", ast.arg: "arg", ast.Attribute: "attr"} | dict.fromkeys(DEFINITIONS, "name")
+
+
+@cache
+def _label_fields(node_class):
+    return [field for field in ("name", "id", "arg", "attr") if field in node_class._fields]
 
 
 def _key(node):
     """The part of a node that tells same-typed siblings apart in its id."""
-    if isinstance(node, DEFINITIONS):
-        return node.name
-    if isinstance(node, ast.Constant):
+    if type(node) is ast.Constant:
         return type(node.value).__name__
-    attribute = {ast.Name: "id", ast.arg: "arg", ast.Attribute: "attr"}.get(type(node))
-    return getattr(node, attribute) if attribute else ""
+    field = _KEY_FIELD.get(type(node))
+    return getattr(node, field) if field else ""
 
 
 def _label(node):
-    found = (getattr(node, attribute, None) for attribute in ("name", "id", "arg", "attr"))
-    text = next((value for value in found if value), None)
-    return "Module" if isinstance(node, ast.Module) else text if text is None else str(text)
+    """First non-empty name-like field (for a match pattern this may be a node, shown as Python shows it)."""
+    text = None
+    for field in _label_fields(type(node)):
+        text = getattr(node, field, None)
+        if text:
+            break
+    return text if text is None else str(text)
 
 
 def _call_text(node):
@@ -71,18 +84,21 @@ def _call_text(node):
 
 def _opens_block(node, field):
     """Whether control flow looks inside `node.field`."""
-    if field == "body" and isinstance(node, FUNCTIONS + (ast.Module,)):
+    if field == "body" and isinstance(node, SCOPES):
         return True
     return isinstance(node, ast.If) and field in ("body", "orelse") or isinstance(node, LOOPS) and field == "body"
 
 
 def _children(node):
     """(field, index or None, child) in field order."""
-    for field, value in ast.iter_fields(node):
-        if isinstance(value, ast.AST):
+    for field in node._fields:
+        value = getattr(node, field, None)
+        if isinstance(value, list):
+            for index, child in enumerate(value):
+                if isinstance(child, ast.AST):
+                    yield field, index, child
+        elif isinstance(value, ast.AST):
             yield field, None, value
-        elif isinstance(value, list):
-            yield from ((field, i, child) for i, child in enumerate(value) if isinstance(child, ast.AST))
 
 
 def _evaluated(node):
@@ -105,35 +121,26 @@ def _evaluated(node):
     return [(part, None) for part in parts if part is not None]
 
 
-def _numbered(tree):
-    """Pre-order number of every node (context singletons share one, which nothing asks for)."""
-    numbers, count, todo = {}, 0, [tree]
-    while todo:
-        node = todo.pop()
-        numbers[id(node)] = count
-        count += 1
-        todo.extend(reversed([child for _, _, child in _children(node)]))
-    return numbers
-
+def _reads(scope):
+    """{node: [(position, def or use, arms around it)]} as data-flow evaluation of one scope meets its nodes.
 
-def _reads(scope, numbers):
-    """{node: [(position, def or use, arms around it)]} as data-flow evaluation of one scope meets its nodes."""
+    Arms are (statement, arm) with the statement still a tree node; its number is known once rows are made.
+    """
     met, at = {}, 0
-    start = [(p, "def") for p in scope.args.args] if isinstance(scope, FUNCTIONS) else []
-    for parameter, kind in start:
-        met[id(parameter)] = [(at, kind, [])]
+    for parameter in scope.args.args if isinstance(scope, FUNCTIONS) else []:
+        met[id(parameter)] = [(at, "def", ())]
         at += 1
-    todo = [(statement, []) for statement in reversed(scope.body)]
+    todo = [(statement, ()) for statement in reversed(scope.body)]
     while todo:
         node, frames = todo.pop()
         kind = "def" if isinstance(node, DEFINITIONS) else None
-        if isinstance(node, ast.Name):
+        if type(node) is ast.Name:
             kind = {ast.Store: "def", ast.Load: "use"}.get(type(node.ctx))
         if kind:
             met.setdefault(id(node), []).append((at, kind, frames))
             at += 1
-        own = numbers[id(node)]
-        todo.extend((part, frames + [(own, arm)] if arm else frames) for part, arm in reversed(_evaluated(node)))
+        for part, arm in reversed(_evaluated(node)):
+            todo.append((part, (*frames, (id(node), arm)) if arm else frames))
     return met
 
 
@@ -143,57 +150,64 @@ _Above = namedtuple("_Above", "seq type path depth scope key inner caller blocks
 
 def _rows(tree, file_id, parse_ms):
     """Rows in pre-order, in the column order of FLAT_SCHEMA."""
-    numbers = _numbered(tree)
     reads = {}
     for scope in ast.walk(tree):
-        if isinstance(scope, FUNCTIONS + (ast.Module,)):
-            reads |= {met: (numbers[id(scope)], found) for met, found in _reads(scope, numbers).items()}
-    scope_names = {}
+        if isinstance(scope, SCOPES):
+            reads |= {met: (id(scope), found) for met, found in _reads(scope).items()}
+    numbers, scope_names = {}, {}  # of scopes, ifs and loops: all come before what is inside them
     seq = 0
     todo = [(tree, None, None, None, None)]
     while todo:
         node, up, field, index, blocks = todo.pop()
-        kind, key = type(node).__name__, _key(node)
+        cls = type(node)
+        kind, key, name = cls.__name__, _key(node), _label(node)
         if up is None:
-            path, depth, scope = "Module", 0, "Module"
-            parent = (None,) * 4
+            path, depth, scope, name = "Module", 0, "Module", "Module"
+            parent = (None, None, None, None)
         else:
             path = f"{up.path}.{field}" if index is None else f"{up.path}.{field}[{index}]"
             depth, scope = up.depth + 1, up.inner
             parent = (up.seq, up.type, up.scope, up.key)
-        inner = f"{scope}.{node.name}" if isinstance(node, DEFINITIONS) else scope
+        inner = f"{scope}.{node.name}" if cls in DEFINITIONS else scope
         caller = up and up.caller
-        if isinstance(node, FUNCTIONS + (ast.Module,)):
+        if cls in SCOPES:
             caller = (kind, scope, key, depth)
-            scope_names[seq] = inner
-        is_call, is_alias = isinstance(node, ast.Call), isinstance(node, ast.alias)
-        scope_seq, met = reads.get(id(node), (None, None))
+            scope_names[id(node)] = inner
+        if cls in BRANCHES or cls in SCOPES:
+            numbers[id(node)] = seq
+        place = (None, None, None, None)
+        if cls._attributes:
+            place = (node.lineno, node.col_offset, node.end_lineno, node.end_col_offset)
+        scope_seq, met = None, reads.get(id(node))
+        if met:
+            home, found = met
+            scope_seq, scope_name = numbers[home], scope_names[home]
+            met = [(at, way, [(numbers[s], arm) for s, arm in frames]) for at, way, frames in found]
+        is_call = cls is ast.Call
         yield (
-            file_id, seq, depth, kind, path, scope, key, _label(node),
-            getattr(node, "lineno", None), getattr(node, "col_offset", None),
-            getattr(node, "end_lineno", None), getattr(node, "end_col_offset", None),
-            key if isinstance(node, ast.Constant) else None,
+            file_id, seq, depth, kind, path, scope, key, name, *place,
+            key if cls is ast.Constant else None,
             field, None if up is None else index or 0, *parent,
-            *(caller if is_call else (None,) * 4), _call_text(node) if is_call else None,
-            *((node.asname, up.module, up.level) if is_alias else (None,) * 3),
-            bool(node.orelse) if isinstance(node, ast.If) else None,
-            blocks, scope_seq, scope_names.get(scope_seq), met,
+            *(caller if is_call else (None, None, None, None)), _call_text(node) if is_call else None,
+            *((node.asname, up.module, up.level) if cls is ast.alias else (None, None, None)),
+            bool(node.orelse) if cls is ast.If else None,
+            blocks, scope_seq, scope_name if met else None, met,
             parse_ms if up is None else None, None,
         )
-        above = _Above(
-            seq, kind, path, depth, scope, key, inner, caller, blocks or [],
-            getattr(node, "module", None), getattr(node, "level", None),
-        )
-        active = blocks is not None or isinstance(node, FUNCTIONS + (ast.Module,))
-        below = []
-        for child_field, child_index, child in _children(node):
-            chain = None
-            if active and child_index is not None and _opens_block(node, child_field):
-                last = child_index == len(getattr(node, child_field)) - 1
-                outer = above.blocks if isinstance(node, (ast.If,) + LOOPS) else []
-                chain = [(seq, kind, child_field, child_index, last)] + outer
-            below.append((child, above, child_field, child_index, chain))
-        todo.extend(reversed(below))
+        if cls._fields:
+            above = _Above(
+                seq, kind, path, depth, scope, key, inner, caller, blocks or [],
+                getattr(node, "module", None), getattr(node, "level", None),
+            )
+            active = blocks is not None or cls in SCOPES
+            below = []
+            for child_field, child_index, child in _children(node):
+                chain = None
+                if active and child_index is not None and _opens_block(node, child_field):
+                    last = child_index == len(getattr(node, child_field)) - 1
+                    chain = [(seq, kind, child_field, child_index, last)] + (above.blocks if cls in BRANCHES else [])
+                below.append((child, above, child_field, child_index, chain))
+            todo.extend(reversed(below))
         seq += 1
 
 

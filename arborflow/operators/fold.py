@@ -92,16 +92,16 @@ def _parsed(records: DataFrame, schema: str, payload: str, required: dict):
             empty = empty | F.col(f"event.{payload}.{field}").isNull()
         lacking = lacking.when((F.col("event.event_type") == event_type) & empty, f"{event_type} without {', '.join(fields)}")
     rows = rows.withColumn("reason", lacking)
+    # Every later step starts from these rows: parse each document once.
+    rows = written(rows.select("topic", "key", "value", "reason", "seq", "event"), f"{payload}-events")
     dead = rows.where(F.col("reason").isNotNull()).select("topic", "key", "value", "reason", "seq")
+    generation = ids.generation_id(*[F.col(c) for c in ("file_id", "content_hash", "parser_version", "schema_version")])
     good = (
         rows.where(F.col("reason").isNull() & F.col("event.event_type").isin(*required))
         .select("topic", "key", "value", "seq", "event.*")
         .select("*", f"{payload}.*")
         .drop(payload)
-        .withColumn(
-            "generation_id",
-            ids.generation_id(F.col("file_id"), F.col("content_hash"), F.col("parser_version"), F.col("schema_version")),
-        )
+        .withColumn("generation_id", generation)
     )
     return good, dead
 

@@ -40,6 +40,7 @@ ERROR = {
     "column": ("integer or null", False),
     "retryable": ("boolean", True),
 }
+_VARIANT_TYPE = {"string": "STRING", "integer": "BIGINT", "boolean": "BOOLEAN", "object": "OBJECT", "null": "VOID"}
 CONTRACTS = {
     "NODE_UPSERT": ("node", NODE_UPSERT),
     "NODE_DELETE": ("node", {"node_id": ("string", True)}),
@@ -50,53 +51,54 @@ CONTRACTS = {
 }
 
 
-def _type_at(document: Column, path: str) -> Column:
-    """JSON type of the value at a path; NULL when it is absent."""
-    return F.schema_of_variant(F.try_variant_get(document, path, "variant"))
+def _base_type(document: Column, path: str) -> Column:
+    """JSON type of the value at a path without its inner types; empty when it is absent."""
+    found = F.schema_of_variant(F.try_variant_get(document, path, "variant"))
+    return F.coalesce(F.substring_index(F.substring_index(found, "<", 1), "(", 1), F.lit(""))
 
 
-def _is(found: Column, wanted: str, document: Column, path: str) -> Column:
-    base, _, nullable = wanted.partition(" or ")
-    if base == "integer":
-        # 1.0 is an integer in JSON; it arrives as a decimal or a double.
-        whole = F.try_variant_get(document, path, "double") % 1 == 0
-        fits = (found == "BIGINT") | ((found.startswith("DECIMAL") | (found == "DOUBLE")) & whole)
-    elif base == "object":
-        fits = found.startswith("OBJECT")
-    else:
-        fits = found == {"string": "STRING", "boolean": "BOOLEAN"}[base]
-    return fits | (found == "VOID") if nullable else fits
+def _type_at(document: Column, path: str, wanted: str) -> Column:
+    found = _base_type(document, path)
+    if not wanted.startswith("integer"):
+        return found
+    # 1.0 is an integer in JSON; it arrives as a decimal or a double.
+    number = F.try_variant_get(document, path, "double")
+    return F.when((number % 1 == 0) & found.isin("DECIMAL", "DOUBLE"), "BIGINT").otherwise(found)
 
 
 def _field_rules(document: Column, prefix: str, fields: dict) -> list[Column]:
+    """One text per field below a path, empty if its rule holds. A constant map turns the type into the verdict,
+    so each type is looked up once and the rules stay compiled (lambdas would be interpreted)."""
     rules = []
     for name, (wanted, required) in fields.items():
-        path = f"{prefix}.{name}"
-        found = _type_at(document, path)
-        missing = F.lit(f"missing {path[2:]}") if required else F.lit(None).cast("string")
-        wrong = F.when(~_is(found, wanted, document, path), f"type {path[2:]}")
-        rules.append(F.when(found.isNull(), missing).otherwise(wrong))
+        label = f"{prefix}.{name}"[2:]
+        verdicts = {_VARIANT_TYPE[t]: "" for t in wanted.split(" or ")} | {"": f"missing {label}" if required else ""}
+        lookup = F.create_map(*[F.lit(part) for pair in verdicts.items() for part in pair])
+        verdict = F.try_element_at(lookup, _type_at(document, f"{prefix}.{name}", wanted))
+        rules.append(F.coalesce(verdict, F.lit(f"type {label}")))
     return rules
 
 
 def _extra_keys(text: Column, allowed: list[str], where: str) -> Column:
-    """One violation per key outside the contract."""
+    """One line per key outside the contract."""
     keys = F.array_except(F.json_object_keys(text), F.array(*[F.lit(a) for a in allowed]))
-    return F.transform(F.coalesce(keys, F.array().cast("array<string>")), lambda k: F.concat(F.lit(f"extra {where}"), k))
+    return F.regexp_replace(F.array_join(keys, "\n"), "(?m)^(?=.)", f"extra {where}")
 
 
 def _contract_violations(document: Column, text: Column, event_type: str) -> Column:
+    """Broken rules, one per line."""
     payload, fields = CONTRACTS[event_type]
     envelope = {name: ("string", True) for name in ENVELOPE_FIELDS} | {payload: ("object", True)}
     version = F.try_variant_get(document, "$.schema_version", "string")
-    single = _field_rules(document, "$", envelope) + [F.when(version != SCHEMA_VERSION, "const schema_version")]
-    inner = F.array_compact(F.array(*_field_rules(document, f"$.{payload}", fields)))
-    inner = F.concat(inner, _extra_keys(F.get_json_object(text, f"$.{payload}"), list(fields), f"{payload}."))
+    inner = _field_rules(document, f"$.{payload}", fields)
+    inner.append(_extra_keys(F.get_json_object(text, f"$.{payload}"), list(fields), f"{payload}."))
     # Rules of the payload's fields only mean something when the payload is an object.
-    is_object = F.coalesce(_type_at(document, f"$.{payload}").startswith("OBJECT"), F.lit(False))
-    return F.concat(
-        F.array_compact(F.array(*single)),
-        F.when(is_object, inner).otherwise(F.array().cast("array<string>")),
+    is_object = _base_type(document, f"$.{payload}") == "OBJECT"
+    return F.concat_ws(
+        "\n",
+        *_field_rules(document, "$", envelope),
+        F.when(version != SCHEMA_VERSION, "const schema_version"),
+        F.when(is_object, F.concat_ws("\n", *inner)),
         _extra_keys(text, list(envelope), ""),
     )
 
@@ -108,10 +110,11 @@ def violations(text: Column, document: Column | None = None, event_types=tuple(C
     """
     document = F.try_parse_json(text) if document is None else document
     kind = F.try_variant_get(document, "$.event_type", "string")
-    dispatch = F.when(document.isNull(), F.array(F.lit("not JSON")))
+    dispatch = F.when(document.isNull(), "not JSON")
     for event_type in event_types:
         dispatch = dispatch.when(kind == event_type, _contract_violations(document, text, event_type))
-    return F.array_sort(dispatch.otherwise(F.array(F.lit("unknown event_type"))))
+    lines = F.split(dispatch.otherwise("unknown event_type"), "\n")
+    return F.sort_array(F.array_remove(lines, ""))
 
 
 def validate_events(events: DataFrame, value_col="value", event_types=tuple(CONTRACTS)) -> DataFrame:

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from arborflow.operators.fold import DEAD_LETTER_TABLE, GRAPH_TABLES, fold_graph
 from arborflow.operators.quality import assert_unique
-from arborflow.session import written
 from arborflow.sources.snapshots import current_version, read_tables, write_tables
 from arborflow.streaming.metadata import with_trigger
 
@@ -19,7 +18,6 @@ def fold_batch(records: DataFrame, path: str, version: int, check_keys=False) ->
     done = current_version(spark, path)
     if done is not None and done >= version:
         return
-    records = written(records, "graph-records")
     of_topic = lambda topic: records.where(F.col("topic") == topic)
     graph = read_tables(spark, path, GRAPH_TABLES)
     tables, dead = fold_graph(graph, of_topic("cpg.nodes"), of_topic("cpg.edges"))
