@@ -46,7 +46,51 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(g) AS BIGINT) AS n_re
 FROM kept
 """
 
+LINES = r"""
+WITH docs AS MATERIALIZED (
+  SELECT doc_id, row_number() OVER () AS r, coalesce(doc_id, 9223372036854775807) AS rank, string_split(text, chr(10)) AS lines FROM documents
+), lines AS MATERIALIZED (
+  SELECT r, rank, i, line, CAST('0x' || substr(md5(line), 1, 12) AS BIGINT) AS h, n
+  FROM (SELECT r, rank, len(lines) AS n, unnest(lines) AS line, generate_subscripts(lines, 1) - 1 AS i FROM docs)
+), bounds AS (
+  SELECT *, i = n - 1 OR (coalesce(lag(h) OVER (PARTITION BY r ORDER BY i), 0) * 31 + h) % 3 = 0 AS is_end FROM lines
+), placed AS MATERIALIZED (
+  SELECT *, coalesce(sum(CAST(is_end AS INTEGER)) OVER (PARTITION BY r ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS c FROM bounds
+), chunks AS MATERIALIZED (
+  SELECT r, rank, c, min(i) AS start, count(*) AS n, string_agg(line, chr(10) ORDER BY i) AS chunk FROM placed GROUP BY r, rank, c
+), gone AS (
+  SELECT r, c FROM (
+    SELECT r, c, CAST(rank AS HUGEINT) * 2147483648 + start AS place, min(CAST(rank AS HUGEINT) * 2147483648 + start) OVER (PARTITION BY chunk) AS first
+    FROM chunks WHERE n >= 2 AND regexp_matches(chunk, '[^\x20\x09-\x0D]')
+  ) WHERE place > first
+), kept AS (
+  SELECT r, count(*) AS n_lines, count(DISTINCT p.c) AS n_chunks, count(g.c) AS n_removed,
+         string_agg(line, chr(10) ORDER BY i) FILTER (WHERE g.c IS NULL) AS text
+  FROM placed p LEFT JOIN gone g USING (r, c) GROUP BY r
+)
+SELECT doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_chunks, 0) AS n_chunks, coalesce(n_removed, 0) AS n_removed_lines,
+       sha256(coalesce(text, '')) AS kept_sha256
+FROM docs LEFT JOIN kept USING (r)
+"""
+
+EMBEDDINGS = """
+WITH RECURSIVE vectors AS MATERIALIZED (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+), links AS MATERIALIZED (
+  SELECT a.vec_id AS u, b.vec_id AS w FROM vectors a JOIN vectors b ON a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.95
+), reach AS (
+  SELECT u, w FROM links UNION SELECT reach.u, links.w FROM reach JOIN links ON reach.w = links.u
+)
+SELECT vec_id, (SELECT count(*) FROM links WHERE u = vec_id) AS n_links,
+       least(vec_id, coalesce((SELECT min(w) FROM reach WHERE u = vec_id), vec_id)) AS component_id,
+       coalesce((SELECT min(w) FROM reach WHERE u = vec_id), vec_id) >= vec_id AS kept
+FROM vectors
+"""
+
 STATEMENTS = {
+    "op5_line_dedup": LINES,
+    "op6_embedding_near_dedup": EMBEDDINGS,
     "op8_winnowing_decontamination": DECONTAMINATION,
     "op9_substring_dedup": SUBSTRING,
 }

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from arborflow.llm import decontaminate, language, packing, simhash, substring_dedup
+from arborflow.llm import decontaminate, embedding_dedup, language, licenses, line_dedup, packing, secret_scan, simhash, substring_dedup
 
 
 def table(spark, folder, name):
@@ -15,6 +15,11 @@ def tokenizer_path():
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op2_license_scan(spark, folder):
+    found = licenses.scan(table(spark, folder, "documents"))
+    return found.withColumns({c: F.array_join(c, ",") for c in ("base_labels", "labels")}).drop("n_found")
+
+
 def op3_harmonic_packing(spark, folder):
     return packing.pack(table(spark, folder, "documents"), tokenizer_path())
 
@@ -23,6 +28,23 @@ def op4_simhash_near_dedup(spark, folder):
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
 
+def op5_line_dedup(spark, folder):
+    found = line_dedup.remove_repeated_lines(table(spark, folder, "documents").select("doc_id", "text"))
+    kept = F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256")
+    return found.select("doc_id", "n_lines", "n_chunks", "n_removed_lines", kept)
+
+
+def op6_embedding_near_dedup(spark, folder):
+    return embedding_dedup.near_duplicates(table(spark, folder, "embeddings"))
+
+
+def op7_secret_scan(spark, folder):
+    found = secret_scan.find_secrets(table(spark, folder, "documents"))
+    of = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    base = secret_scan.listed(F.filter("spans", lambda s: s["kind"] != "random"))
+    return found.select("doc_id", of("assign"), of("access"), of("hex"), F.sha2(base, 256).alias("base_sha256"), secret_scan.listed(F.col("spans")).alias("spans"))
+
+
 def op8_winnowing_decontamination(spark, folder):
     found = decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     items = F.sha2(F.array_join("items", ","), 256).alias("items_sha256")
@@ -39,4 +61,4 @@ def op10_language_id(spark, folder):
     return found.select("doc_id", (language.fold_of("doc_id") == 0).alias("held_out"), "lang_pred", "score", "rejected")
 
 
-QUERIES = {f.__name__: f for f in (op3_harmonic_packing, op4_simhash_near_dedup, op8_winnowing_decontamination, op9_substring_dedup, op10_language_id)}
+QUERIES = {f.__name__: f for f in (op2_license_scan, op3_harmonic_packing, op4_simhash_near_dedup, op5_line_dedup, op6_embedding_near_dedup, op7_secret_scan, op8_winnowing_decontamination, op9_substring_dedup, op10_language_id)}
