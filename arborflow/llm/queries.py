@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from arborflow.llm import decontaminate, embedding_dedup, language, licenses, line_dedup, packing, secret_scan, simhash, substring_dedup
+from arborflow.llm import decontaminate, embedding_dedup, html_text, language, licenses, line_dedup, packing, secret_scan, simhash, substring_dedup
 
 
 def table(spark, folder, name):
@@ -15,6 +15,11 @@ def tokenizer_path():
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_html_text(spark, folder):
+    found = html_text.extract(table(spark, folder, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op2_license_scan(spark, folder):
     found = licenses.scan(table(spark, folder, "documents"))
     return found.withColumns({c: F.array_join(c, ",") for c in ("base_labels", "labels")}).drop("n_found")
@@ -61,4 +66,4 @@ def op10_language_id(spark, folder):
     return found.select("doc_id", (language.fold_of("doc_id") == 0).alias("held_out"), "lang_pred", "score", "rejected")
 
 
-QUERIES = {f.__name__: f for f in (op2_license_scan, op3_harmonic_packing, op4_simhash_near_dedup, op5_line_dedup, op6_embedding_near_dedup, op7_secret_scan, op8_winnowing_decontamination, op9_substring_dedup, op10_language_id)}
+QUERIES = {f.__name__: f for f in (op1_html_text, op2_license_scan, op3_harmonic_packing, op4_simhash_near_dedup, op5_line_dedup, op6_embedding_near_dedup, op7_secret_scan, op8_winnowing_decontamination, op9_substring_dedup, op10_language_id)}
