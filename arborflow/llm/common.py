@@ -22,19 +22,9 @@ def id_or_last(name: str):
     return F.coalesce(F.col(name).cast("long"), F.lit(NO_ID))
 
 
-class WordHashes(dict):
-    """64-bit hash of each word met, emptied when it has grown too large."""
-
-    LIMIT = 1_500_000
-
-    def __missing__(self, word):
-        if len(self) >= self.LIMIT:
-            self.clear()
-        code = self[word] = xxhash.xxh64_intdigest(word)
-        return code
-
-    def codes(self, words: list) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+def word_codes(words: list) -> np.ndarray:
+    """64-bit hash of each word."""
+    return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
 
 
 def mix(values: np.ndarray) -> np.ndarray:

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arborflow.llm.common import FLUSH_WORDS, ITEM_WORDS, WordHashes, as_batch, gram_hashes, texts_of
+from arborflow.llm.common import FLUSH_WORDS, ITEM_WORDS, as_batch, gram_hashes, texts_of, word_codes
 from arborflow.session import written
 
 SPAN = 10  # words of a window
@@ -54,11 +54,11 @@ def _flushes(batches, id_name):
         yield held
 
 
-def _arrays(held, hashes):
+def _arrays(held):
     parts = [words for _, words in held]
     sizes = np.array([len(p) for p in parts])
     flat = [word for words in parts for word in words]
-    return flat, hashes.codes(flat), np.repeat(np.arange(len(held)), sizes), np.cumsum(sizes) - sizes, sizes
+    return flat, word_codes(flat), np.repeat(np.arange(len(held)), sizes), np.cumsum(sizes) - sizes, sizes
 
 
 ITEM_SCHEMA = pa.schema([("item_id", pa.string()), ("hash", pa.int64()), ("offset", pa.int32()), ("size", pa.int32()), ("span", pa.string())])
@@ -68,9 +68,8 @@ def item_windows(benchmark: DataFrame, id_col: str = "item_id", text_col: str =
     """item_id, hash, offset, size and span (words joined by spaces) of every window of every item."""
 
     def run(batches):
-        hashes = WordHashes()
         for held in _flushes(batches, "item_id"):
-            flat, codes, owners, begins, sizes = _arrays(held, hashes)
+            flat, codes, owners, begins, sizes = _arrays(held)
             out = {f.name: [] for f in ITEM_SCHEMA}
 
             def add(start, size, hash_, offset):
@@ -112,10 +111,10 @@ def _document_rows(packed_filter, shorts):
         from pyspark import TaskContext
 
         bits = np.unpackbits(np.frombuffer(packed_filter.value, np.uint8)).astype(bool)
-        hashes, row = WordHashes(), TaskContext.get().partitionId() << 40
+        row = TaskContext.get().partitionId() << 40
         known = lambda h: bits[(h >> np.uint64(64 - FILTER_BITS)).astype(np.int64)]
         for held in _flushes(batches, "doc_id"):
-            flat, codes, owners, begins, sizes = _arrays(held, hashes)
+            flat, codes, owners, begins, sizes = _arrays(held)
             out = {f.name: [] for f in DOC_SCHEMA}
             none = [None] * len(held)
             for name, values in zip(out, (range(row, row + len(held)), [k for k, _ in held], sizes.tolist(), none, none, none, none)):

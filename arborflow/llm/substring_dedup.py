@@ -17,7 +17,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arborflow.llm.common import FLUSH_WORDS, WordHashes, as_batch, blob, by_key, clustered, gram_hashes, group_starts, id_or_last, texts_of, unblob
+from arborflow.llm.common import FLUSH_WORDS, as_batch, blob, by_key, clustered, gram_hashes, group_starts, id_or_last, texts_of, unblob, word_codes
 from arborflow.session import written
 
 PERIOD, COVER = 7, (0, 1, 3)  # every difference modulo 7 is one of two members of the cover
@@ -56,21 +56,21 @@ def _cover_positions(words: int, anchor: int) -> np.ndarray:
 
 
 ANCHOR_SCHEMA = pa.schema([("bucket", pa.int64()), ("entries", pa.binary()), ("content", pa.binary()), ("places", pa.binary())])
+PLACE_SCHEMA = pa.schema([("content", pa.binary()), ("places", pa.binary())])
 ANCHOR_DDL = "bucket long, entries binary, content binary, places binary"
 
 
 def _anchor_rows(size, bucket_bits):
-    """Per flush: packed anchors by bucket, and places whose anchor recurs in another text of the same flush."""
+    """Per flush: packed anchors by bucket, and (bucket below 0) places whose anchor recurs in another of its texts."""
     anchor = size - PERIOD + 1
 
     def run(batches):
-        hashes = WordHashes()
         for held in _flushes(batches):
             codes, places, texts, offset = [], [], [], 0
             for number, (_, _, parts) in enumerate(held):
                 if len(parts) >= size:
                     at = _cover_positions(len(parts), anchor)
-                    codes.append(hashes.codes(parts))
+                    codes.append(word_codes(parts))
                     places.append(at + offset)
                     texts.append(np.full(len(at), number))
                     offset += len(parts)
@@ -89,7 +89,7 @@ def _anchor_rows(size, bucket_bits):
             again = np.repeat(shared, widths)
             rows = {"bucket": [], "entries": [], "content": [], "places": []}
             for number, spots in _per_text(texts[again], places[again]):
-                _add(rows, content=held[number][0], places=blob(spots, 5))
+                _add(rows, bucket=-1 - number, content=held[number][0], places=blob(spots, 5))
             keep = ~again
             keep[starts[shared]] = True
             keys, texts, places = keys[keep], np.where(again, MARK, texts)[keep], places[keep]
@@ -141,8 +141,12 @@ def _slices(sorted_keys, bucket_bits):
 
 
 def _shared_anchors(batches):
-    """Places of anchors that occur in more than one text, by content."""
-    for _, rows in by_key(batches, "bucket"):
+    """Places of anchors that occur in more than one text, by content; those that are known already pass through."""
+    for bucket, rows in by_key(batches, "bucket"):
+        if bucket < 0:
+            known = [(row["content"], row["places"]) for row in rows]
+            yield as_batch({"content": [c for c, _ in known], "places": [p for _, p in known]}, PLACE_SCHEMA)
+            continue
         contents, tails, texts, places = {}, [], [], []
         for row in rows:
             own, tail, short, at = _split(row["entries"])
@@ -161,7 +165,7 @@ def _shared_anchors(batches):
         out = {"content": [], "places": []}
         for number, spots in _per_text(texts[again], places[again]):
             _add(out, content=names[number], places=blob(spots, 5))
-        yield as_batch(out, pa.schema([("content", pa.binary()), ("places", pa.binary())]))
+        yield as_batch(out, PLACE_SCHEMA)
 
 
 WINDOW_SCHEMA = pa.schema(
@@ -219,7 +223,7 @@ def _window_rows(size, bucket_bits):
         return as_batch(rows, WINDOW_SCHEMA)
 
     def run(batches):
-        hashes, held, words = WordHashes(), [], 0
+        held, words = [], 0
         done = {f.name: [] for f in WINDOW_SCHEMA}
         for content, rows in by_key(batches, "content"):
             rank, spots, packed = _merged(rows)
@@ -237,7 +241,7 @@ def _window_rows(size, bucket_bits):
                     yield as_batch(done, WINDOW_SCHEMA)
                     done = {f.name: [] for f in WINDOW_SCHEMA}
                 continue
-            held.append((content, rank, packed, hashes.codes(parts), starts))
+            held.append((content, rank, packed, word_codes(parts), starts))
             words += len(parts)
             if words >= FLUSH_WORDS:
                 yield flush(held)
@@ -268,7 +272,7 @@ def _later_windows(batches):
         out = {"content": [], "places": []}
         for number, spots in _per_text(texts[later], places[later]):
             _add(out, content=names[number], places=blob(spots, 5))
-        yield as_batch(out, pa.schema([("content", pa.binary()), ("places", pa.binary())]))
+        yield as_batch(out, PLACE_SCHEMA)
 
 
 RESULT_SCHEMA = pa.schema([("content", pa.binary()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string()), ("removed", pa.list_(pa.list_(pa.int64())))])
@@ -324,10 +328,8 @@ def remove_repeats(docs: DataFrame, size: int = 13, id_col: str = "doc_id", text
     total = docs.agg(F.sum(F.length(text_col))).first()[0] or 0
     bucket_bits = max(4, math.ceil(math.log2(1 + total / 12 / BUCKET_ENTRIES)))
 
-    anchors = written(texts.mapInArrow(_anchor_rows(size, bucket_bits), ANCHOR_DDL), "substring-anchors")
-    packed = anchors.where(F.col("bucket").isNotNull()).select("bucket", "entries")
-    places = clustered(packed, "bucket").mapInArrow(_shared_anchors, "content binary, places binary")
-    places = places.union(anchors.where(F.col("content").isNotNull()).select("content", "places"))
+    anchors = texts.mapInArrow(_anchor_rows(size, bucket_bits), ANCHOR_DDL)
+    places = clustered(anchors, "bucket").mapInArrow(_shared_anchors, "content binary, places binary")
 
     def united(texts, places):
         none = [F.lit(None).cast(kind) for kind in ("long", "binary", "binary")]
