@@ -137,7 +137,7 @@ SENTENCES = [
     (2, 0.4, "licensed", "unnamed-license", r"(?:licensed|licenced) under"),
     (2, 0.4, "license", "unnamed-license", r"see (?:the )?license(?: file)?"),
 ]
-WINDOW = 24  # words from the anchor that a rule may see; no rule needs more
+WINDOW = 32  # words from the anchor that a rule may see; no rule needs more
 
 
 def _heads(pattern: str) -> list:
