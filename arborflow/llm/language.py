@@ -14,25 +14,32 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arborflow.llm.common import as_batch, texts_of
+from arborflow.llm.common import as_batch, gram_hashes, mix, texts_of
 
 BUCKETS, DIMENSION = 1 << 16, 16
-ROWS_PER_LANGUAGE = 800  # bound of the training sample; two examples are made of each row
+ROWS_PER_LANGUAGE = 400  # bound of the training sample; two examples are made of each row
 SNIPPET_WORDS = 12
 EPOCHS, BATCH, RATE = 6, 32, 40.0
-REJECTED_SHARE = 0.002  # of labelled calibration texts, by the threshold of confidence
+REJECTED_SHARE = 0.0005  # of labelled calibration texts, by the threshold of confidence
 UNKNOWN = "und"
 CACHE_WORDS = 1_500_000
 
 
-def subwords(word: bytes) -> list:
-    """Bucket of each subword of the word's letters; none without letters."""
-    letters = "".join(filter(str.isalpha, word.decode().lower()))
-    if not letters:
-        return []
-    marked = f"<{letters}>"
-    grams = [marked[i : i + n] for n in (2, 3, 4) for i in range(len(marked) - n + 1)]
-    return [zlib.crc32(g.encode()) % BUCKETS for g in (*grams, marked)]
+def subwords(words: list) -> tuple:
+    """Bucket of each subword of the words' letters, and the place of its word; a word without letters has none."""
+    texts = [w if w.isalpha() else "".join(filter(str.isalpha, w)) for w in (word.decode().lower() for word in words)]
+    sizes = np.array([len(t) + 2 if t else 0 for t in texts])
+    points = np.frombuffer("".join(f"<{t}>" for t in texts if t).encode("utf-32-le"), "<u4").astype(np.uint64)
+    owner = np.repeat(np.arange(len(texts)), sizes)
+    hashes, owners = [], []
+    for size in (2, 3, 4):
+        at = np.arange(max(0, len(points) - size + 1))
+        at = at[owner[at] == owner[at + size - 1]]
+        hashes.append(gram_hashes(points, at, size))
+        owners.append(owner[at])
+    whole = np.flatnonzero(sizes)
+    hashes.append(mix(np.array([zlib.crc32(texts[i].encode()) for i in whole], np.uint64)))
+    return (np.concatenate(hashes) % np.uint64(BUCKETS)).astype(np.int64), np.concatenate([*owners, whole])
 
 
 @dataclass
@@ -105,9 +112,8 @@ def _features(batches):
                 counts: dict = {}
                 for word in part:
                     counts[word] = counts.get(word, 0) + 1
-                total = np.zeros(BUCKETS)
-                for word, count in counts.items():
-                    np.add.at(total, subwords(word), count)
+                rows, owner = subwords(list(counts))
+                total = np.bincount(rows, np.array(list(counts.values()), float)[owner], BUCKETS)
                 buckets = np.flatnonzero(total)
                 if len(buckets):
                     for name, value in zip(out, (lang, held, buckets.astype(np.int32), (total[buckets] / total.sum()).astype(np.float32))):
@@ -124,20 +130,26 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     """Model of a sample of about rows_per_language labelled rows per language, chosen by a hash of the id."""
     labelled = docs.where((fold_of(id_col) != 0) & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     labelled = labelled.select(F.col(lang_col).cast("string").alias("lang"), F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    share = F.lit(float(rows_per_language)) / F.count("*")
-    sizes = labelled.groupBy("lang").agg(share.alias("share"))
-    draw = (F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit(11)), F.lit(1 << 30)) / float(1 << 30)).alias("draw")
-    # Cheap columns first: only drawn rows bring their text.
-    drawn = labelled.withColumn("draw", draw).join(sizes, "lang").where(F.col("draw") < F.col("share"))
+    # One number per language, of which the model has a column each anyway; no text is shuffled.
+    counts = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}
+    if not counts:
+        return Model([], np.zeros((BUCKETS, 0), np.float32), np.zeros(0, np.float32), 1.0, 0.0)
+    shares = F.create_map(*[F.lit(v) for lang, n in sorted(counts.items()) for v in (lang, rows_per_language / n)])
+    draw = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit(11)), F.lit(1 << 30)) / float(1 << 30)
+    drawn = labelled.where(draw < shares[F.col("lang")])
     held = (fold_of("doc_id") == 1).alias("held")
-    rows = drawn.select("lang", held, "text").mapInArrow(_features, "lang string, held boolean, buckets array<int>, weights array<float>").toArrow().to_pydict()
-    languages = sorted(set(rows["lang"]))
-    if not languages:
+    rows = drawn.select("lang", held, "text").mapInArrow(_features, "lang string, held boolean, buckets array<int>, weights array<float>").toArrow()
+    rows = rows.combine_chunks().to_batches() if rows.num_rows else []
+    if not rows:
         return Model([], np.zeros((BUCKETS, 0), np.float32), np.zeros(0, np.float32), 1.0, 0.0)
-    number = {lang: i for i, lang in enumerate(languages)}
-    examples = [(number[lang], np.array(b), np.array(w, np.float32), held, lang) for lang, held, b, w in zip(*(rows[f.name] for f in FEATURE_SCHEMA))]
-    examples.sort(key=lambda e: (e[0], len(e[1]), e[1].tolist()[:50], e[2].tolist()[:50]))
-    return train([e[:3] for e in examples if not e[3]] or [e[:3] for e in examples], [e[:3] for e in examples if e[3]], languages)
+    lang, held = (rows[0].column(n).to_pylist() for n in ("lang", "held"))
+    places = rows[0].column("buckets").offsets.to_numpy()
+    buckets, weights = (rows[0].column(n).values.to_numpy() for n in ("buckets", "weights"))
+    number = {name: i for i, name in enumerate(sorted(set(lang)))}
+    examples = [(number[lang[i]], buckets[a:b], weights[a:b], held[i]) for i, (a, b) in enumerate(zip(places, places[1:]))]
+    examples.sort(key=lambda e: (e[0], len(e[1]), e[1].tobytes(), e[2].tobytes()))  # the same order however rows come
+    learned = [e[:3] for e in examples if not e[3]] or [e[:3] for e in examples]
+    return train(learned, [e[:3] for e in examples if e[3]], sorted(number))
 
 
 class _Words:
@@ -147,6 +159,15 @@ class _Words:
         self.model = model
         self.clear()
 
+    @classmethod
+    def of(cls, model: Model):
+        """The worker's own, kept over tasks of one model."""
+        if cls.kept is None or cls.kept.model is not model:
+            cls.kept = cls(model)
+        return cls.kept
+
+    kept = None
+
     def clear(self):
         self.places: dict = {}
         self.sums = np.zeros((1024, len(self.model.languages)))
@@ -162,14 +183,12 @@ class _Words:
             self.sums = np.concatenate((self.sums, np.zeros_like(self.sums)))
             self.counts = np.concatenate((self.counts, np.zeros_like(self.counts)))
         for at in range(0, len(fresh), 50_000):
-            grams = [subwords(w) for w in fresh[at : at + 50_000]]
-            sizes = np.array([len(g) for g in grams])
-            rows = np.array([b for g in grams for b in g], np.int64)
-            owner = np.repeat(np.arange(len(grams)), sizes)
-            base = first + at
+            part = fresh[at : at + 50_000]
+            rows, owner = subwords(part)
+            place = slice(first + at, first + at + len(part))
             for column in range(self.sums.shape[1]):
-                self.sums[base : base + len(grams), column] = np.bincount(owner, self.model.table[rows, column], len(grams))
-            self.counts[base : base + len(grams)] = sizes
+                self.sums[place, column] = np.bincount(owner, self.model.table[rows, column], len(part))
+            self.counts[place] = np.bincount(owner, minlength=len(part))
         self.places.update(zip(fresh, range(first, first + len(fresh))))
 
     def logits(self, words):
@@ -198,7 +217,7 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", prefix: str =
 
     @F.pandas_udf("lang_pred string, score double, rejected boolean")
     def judged(series: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        words = _Words(shared.value)
+        words = _Words.of(shared.value)
         for texts in series:
             found = []
             for at in range(0, len(texts), 500):
