@@ -1,5 +1,7 @@
 """They must equal the published event contract, so they are stated as they are."""
 
+from typing import NamedTuple
+
 # Versions stamped on every event and state row.
 PARSER_VERSION = "1.0.0"
 SCHEMA_VERSION = "1.0"
@@ -43,18 +45,26 @@ METADATA_COUNTERS = [
 ]
 METADATA_FIELDS = METADATA_COUNTERS + ["parse_status", "parser"]
 
-# Source scan.
-MAX_SOURCE_BYTES = 5 * 1024 * 1024
+# Fixed values of the source scan and of discovery: they must equal the published scopes.
 PRUNED_DIRECTORIES = [".git", ".mypy_cache", ".pytest_cache", ".ruff_cache"]
-
-# Discovery scopes: include patterns, ordered exclusion rules, optional parent and file limit.
-DEFAULT_REASON = "Excluded by filter pattern configuration"
+ALL_PYTHON = ("**/*.py",)
 NOT_INCLUDED_REASON = "Excluded by scope include pattern"
+
+
+class Scope(NamedTuple):
+    """What a discovery scope states itself; None is left to its parent."""
+
+    include: tuple | None = None
+    exclude: tuple | None = None  # (pattern, reason), the first match counts
+    parent: str | None = None
+    max_files: int | None = None
+
+
 SCOPES = {
-    "raw": {"include": ["**/*.py"], "exclude": []},
-    "eligible": {
-        "include": ["**/*.py"],
-        "exclude": [
+    "raw": Scope(include=ALL_PYTHON, exclude=()),
+    "eligible": Scope(
+        include=ALL_PYTHON,
+        exclude=(
             ("**/tests/**", "Excluded test file"),
             ("tests/**", "Excluded test file"),
             ("**/test_*.py", "Excluded test file"),
@@ -70,8 +80,8 @@ SCOPES = {
             ("**/*_pb2_grpc.py", "Excluded generated protobuf file"),
             ("**/vendor/**", "Excluded vendored dependency file"),
             ("**/.venv/**", "Excluded virtual environment file"),
-        ],
-    },
-    "final": {"extends": "eligible"},
-    "smoke": {"extends": "eligible", "include": ["src/**/*.py"], "max_files": 5},
+        ),
+    ),
+    "final": Scope(parent="eligible"),
+    "smoke": Scope(parent="eligible", include=("src/**/*.py",), max_files=5),
 }

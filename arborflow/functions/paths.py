@@ -41,8 +41,8 @@ def path_problem(path: Column) -> Column:
     """Why a path is not a relative path inside the repository; NULL when it is fine."""
     slashed = F.regexp_replace(path, r"\\", "/")
     return (
-        F.when(slashed.startswith("../") | slashed.contains("/../"), "Path contains invalid directory traversal")
-        .when(slashed.startswith("/"), "Absolute path is not allowed")
+        F.when(slashed.startswith("../") | slashed.contains("/../"), "leaves the repository")
+        .when(slashed.startswith("/"), "starts at the root")
     )
 
 

@@ -91,7 +91,7 @@ def error_events(failures: DataFrame, when=None) -> DataFrame:
 def in_publish_order(events: DataFrame) -> DataFrame:
     """Number each file's events: deletes before upserts, edges' deletes first, metadata last.
 
-    A file is at most its read limit, which bounds the window.
+    The window sorts a file's events on disk and streams them.
     """
     order = Window.partitionBy("file_id").orderBy("position", "entity_id")
     return events.withColumn("sequence", F.row_number().over(order))
@@ -108,7 +108,8 @@ def publish_gate(events: DataFrame, violations="violations") -> DataFrame:
 
 def publish(events: DataFrame, fmt="kafka", path=None, mode="append", **options) -> None:
     """Write keyed records, each file's in publish order. Folder formats get one directory per topic."""
-    ordered = events.repartition("key").sortWithinPartitions("key", "position", "entity_id")
+    # Folder formats write one topic after the other, which sorts by topic: so the topic leads here as well.
+    ordered = events.repartition("key").sortWithinPartitions("topic", "key", "position", "entity_id")
     if fmt == "kafka":
         ordered.select("topic", "key", "value").write.format("kafka").options(**options).save()
         return

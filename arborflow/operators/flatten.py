@@ -9,7 +9,8 @@ A row carries small facts about its surroundings so that most edges need no join
 * blocks        on statements of a control-flow block: the enclosing blocks up to the scope, nearest first
 * reads         on names, parameters and nested definitions: each time data-flow evaluation meets them
 
-A file costs its own tree in one Python worker; sources above the read limit never get here.
+A file costs its own tree in one Python worker. What the grammar rejects becomes the file's error; a worker that
+runs out of memory or stack fails its task instead.
 """
 
 import ast
@@ -69,17 +70,20 @@ def _label(node):
     return text if text is None else str(text)
 
 
+def _spine(target):
+    """A dotted expression's nodes from the outermost attribute down to its base."""
+    yield target
+    while type(target) is ast.Attribute:
+        target = target.value
+        yield target
+
+
 def _call_text(node):
-    """`f` or `a.b.f`; None for a call on a call result; only the attributes for any other base."""
-    base, names = node.func, []
-    while isinstance(base, ast.Attribute):
-        names.insert(0, base.attr)
-        base = base.value
-    if isinstance(base, ast.Name):
-        names.insert(0, base.id)
-    elif isinstance(base, ast.Call):
-        return None
-    return ".".join(names) or None
+    """The called name with its dots, as far as it is made of names; None for a call on a call result."""
+    *attributes, base = _spine(node.func)
+    start = [base.id] if type(base) is ast.Name else []
+    words = start + [step.attr for step in reversed(attributes)]
+    return ".".join(words) if words and type(base) is not ast.Call else None
 
 
 def _opens_block(node, field):
@@ -214,19 +218,21 @@ def _rows(tree, file_id, parse_ms):
 def _parsed(file_id, file_path, content, width):
     """Rows of one file; a file that does not parse gives one row with seq -1 and its error."""
     started = time.perf_counter()
+    if content is None:
+        return [(file_id, -1, *(None,) * (width - 3), f"ReadFileError in {file_path}: gone or changed since it was listed")]
     try:
         tree = ast.parse(bytes(content).decode("utf-8", errors="replace"), filename=file_path)
     except SyntaxError as bad:
         message = f"SyntaxError in {file_path}: {bad.msg} at line {bad.lineno}, col {bad.offset}"
-    except (ValueError, RecursionError, MemoryError) as bad:
-        message = f"{type(bad).__name__} in {file_path}: {bad}"
+    except ValueError as bad:  # null bytes
+        message = f"ValueError in {file_path}: {bad}"
     else:
         return _rows(tree, file_id, int((time.perf_counter() - started) * 1000))
     return [(file_id, -1, *(None,) * (width - 3), message)]
 
 
 def flatten(sources: DataFrame) -> DataFrame:
-    """`sources` needs file_id, file_path and content (readable files only)."""
+    """`sources` needs file_id, file_path and content; texts stay in the splits they come in."""
     arrow = to_arrow_schema(StructType.fromDDL(FLAT_SCHEMA))
 
     def batch_of(rows):
@@ -244,10 +250,7 @@ def flatten(sources: DataFrame) -> DataFrame:
         if held:
             yield batch_of(held)
 
-    # Parsing costs far more than moving the text, and sources often sit in few or uneven splits.
-    partitions = int(sources.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     inputs = sources.select("file_id", "file_path", F.col("content").cast("binary").alias("content"))
-    inputs = inputs.repartition(partitions, "file_id")
     return inputs.mapInArrow(parsing, FLAT_SCHEMA)
 
 

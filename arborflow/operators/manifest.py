@@ -1,9 +1,12 @@
 """Discovery: which files are in scope, why the others are not, and checks on the manifest."""
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from arborflow.constants import DEFAULT_REASON, NOT_INCLUDED_REASON, SCOPES
+from arborflow.constants import ALL_PYTHON, NOT_INCLUDED_REASON, SCOPES, Scope
 from arborflow.functions.paths import matches_glob
 
 MANIFEST_COLUMNS = [
@@ -20,52 +23,42 @@ MANIFEST_COLUMNS = [
 RUN_LENGTH = 100_000
 
 
-def scope_rules(scope: str, scopes=SCOPES) -> dict:
-    """A scope's own keys over those of the scope it extends."""
-    own = scopes.get(scope, {})
-    if not isinstance(own, dict):
-        return {"include": ["**/*.py"], "exclude": []}
-    inherited = scope_rules(own["extends"], scopes) if isinstance(own.get("extends"), str) else {}
-    return inherited | {key: value for key, value in own.items() if key != "extends"}
-
-
-def _rule(rule):
-    """(pattern, reason); a bare pattern gets the default reason."""
-    if isinstance(rule, dict):
-        return str(rule.get("pattern", "")), str(rule.get("reason", DEFAULT_REASON))
-    return rule if isinstance(rule, tuple) else (str(rule), DEFAULT_REASON)
+def resolved(name: str, scopes=SCOPES) -> Scope:
+    """A scope with each open part taken from its nearest ancestor that states it; an unknown one takes all Python files."""
+    lineage = []
+    while name in scopes and scopes[name] not in lineage:
+        lineage.append(scopes[name])
+        name = lineage[-1].parent
+    lineage.append(Scope(include=ALL_PYTHON, exclude=()))
+    stated = (next((part for part in parts if part is not None), None) for parts in zip(*lineage))
+    return Scope(*stated)._replace(parent=None)
 
 
-def is_included(path: Column, rules: dict) -> Column:
-    found = F.lit(False)
-    for pattern in rules.get("include", ["**/*.py"]):
-        found = found | matches_glob(path, pattern)
-    return found
+def is_included(path: Column, scope: Scope) -> Column:
+    return reduce(or_, [matches_glob(path, pattern) for pattern in scope.include], F.lit(False))
 
 
-def exclusion_reason(path: Column, rules: dict) -> Column:
+def exclusion_reason(path: Column, scope: Scope) -> Column:
     """Reason of the first matching rule, NULL if none matches."""
-    reasons = [F.when(matches_glob(path, pattern), reason) for pattern, reason in map(_rule, rules.get("exclude", []))]
-    return F.coalesce(*reasons) if reasons else F.lit(None).cast("string")
+    return F.coalesce(*[F.when(matches_glob(path, pattern), reason) for pattern, reason in scope.exclude], F.lit(None).cast("string"))
 
 
-def selected_files(files: DataFrame, rules: dict, path_col="file_path") -> DataFrame:
+def selected_files(files: DataFrame, scope: Scope, path_col="file_path") -> DataFrame:
     """Files in scope; a scope with a file limit keeps its first files by path."""
     path = F.col(path_col)
-    selected = files.where(is_included(path, rules) & exclusion_reason(path, rules).isNull())
-    limit = rules.get("max_files")
-    return selected if limit is None else selected.orderBy(path_col).limit(int(limit))
+    selected = files.where(is_included(path, scope) & exclusion_reason(path, scope).isNull())
+    return selected if scope.max_files is None else selected.orderBy(path_col).limit(scope.max_files)
 
 
-def apply_scope(files: DataFrame, rules: dict, path_col="file_path") -> DataFrame:
+def apply_scope(files: DataFrame, scope: Scope, path_col="file_path") -> DataFrame:
     """Add `included` and `exclusion_reason`: pure projections, unless the scope has a file limit."""
     path = F.col(path_col)
-    reason = exclusion_reason(path, rules)
-    if rules.get("max_files") is None:
-        included = is_included(path, rules) & reason.isNull()
+    reason = exclusion_reason(path, scope)
+    if scope.max_files is None:
+        included = is_included(path, scope) & reason.isNull()
         marked = files.withColumn("included", included)
     else:
-        first = selected_files(files, rules, path_col).select(path_col, F.lit(True).alias("included"))
+        first = selected_files(files, scope, path_col).select(path_col, F.lit(True).alias("included"))
         marked = files.join(first, path_col, "left").withColumn("included", F.coalesce("included", F.lit(False)))
     why = F.when(~F.col("included"), F.coalesce(reason, F.lit(NOT_INCLUDED_REASON)))
     return marked.withColumn("exclusion_reason", why)
@@ -74,7 +67,7 @@ def apply_scope(files: DataFrame, rules: dict, path_col="file_path") -> DataFram
 def build_manifest(files: DataFrame, repository_id: str, commit_sha: str, scope="final", scopes=SCOPES) -> DataFrame:
     """One row per discovered file; `files` has file_path, size_bytes and content_sha256."""
     return (
-        apply_scope(files, scope_rules(scope, scopes))
+        apply_scope(files, resolved(scope, scopes))
         .withColumn("repository_id", F.lit(repository_id))
         .withColumn("commit_sha", F.lit(commit_sha))
         .withColumn("scope", F.lit(scope))
@@ -121,10 +114,12 @@ def path_contract(files: DataFrame, path_col="file_path", position_col=None) ->
         F.coalesce(F.sum(F.when(path.contains("\\"), F.col("count"))), F.lit(0)).alias("backslashes"),
         F.coalesce(F.sum(F.when(path.startswith("../"), F.col("count"))), F.lit(0)).alias("outside"),
     )
-    if position_col:
-        # Both sides are single-row aggregates.
-        return checks.join(out_of_order(files, path, F.col(position_col)), F.lit(True))
-    return checks
+    if not position_col:
+        return checks
+    none = F.lit(0).cast("bigint")
+    order = out_of_order(files, path, F.col(position_col)).select(*[none.alias(c) for c in checks.columns], "out_of_order")
+    both = checks.withColumn("out_of_order", none).unionByName(order)
+    return both.agg(*[F.sum(c).alias(c) for c in both.columns])
 
 
 def assert_path_contract(files: DataFrame, path_col="file_path") -> None:

@@ -9,10 +9,9 @@ def of_file(table: DataFrame, file_id=None) -> DataFrame:
 
 
 def graph_counts(nodes: DataFrame, edges: DataFrame, file_id) -> DataFrame:
-    """One row: node and edge count of one file (two filtered counts, pushed to the scans)."""
-    node_count = of_file(nodes, file_id).agg(F.count("*").alias("node_count"))
-    edge_count = of_file(edges, file_id).agg(F.count("*").alias("edge_count"))
-    return node_count.join(edge_count, F.lit(True))  # two single-row aggregates
+    """One row: node and edge count of one file, one aggregate over both filtered scans."""
+    kinds = [of_file(part, file_id).select(F.lit(kind).alias("kind")) for part, kind in ((nodes, "node"), (edges, "edge"))]
+    return kinds[0].union(kinds[1]).agg(*[F.count_if(F.col("kind") == kind).alias(f"{kind}_count") for kind in ("node", "edge")])
 
 
 def counts_by_file(table: DataFrame, name: str) -> DataFrame:

@@ -12,14 +12,11 @@ FILE_STATE = (
 )
 NODE_STATE = "file_id string, node_id string"
 EDGE_STATE = "file_id string, edge_id string"
+STATE_TABLES = {"files": FILE_STATE, "nodes": NODE_STATE, "edges": EDGE_STATE}
 
 
 def empty_state(spark: SparkSession) -> dict[str, DataFrame]:
-    return {
-        "files": empty_table(spark, FILE_STATE),
-        "nodes": empty_table(spark, NODE_STATE),
-        "edges": empty_table(spark, EDGE_STATE),
-    }
+    return {name: empty_table(spark, schema) for name, schema in STATE_TABLES.items()}
 
 
 def with_versions(old: DataFrame) -> DataFrame:
@@ -36,20 +33,18 @@ def load_state(state: DataFrame, wanted: DataFrame) -> DataFrame:
 def upsert(table: DataFrame, changes: DataFrame, key="file_id", keep_first=()) -> DataFrame:
     """Replace rows by key, insert new ones; `keep_first` columns keep the value of the first insert.
 
-    One full outer join; `changes` has at most one row per key.
+    `changes` has at most one row per key. Only what a changed row takes over from its old one is looked up; the
+    other old rows pass an anti-join. On a table that is known to be empty both joins vanish from the plan.
     """
-    new = changes.select(F.col(key), F.struct(*changes.columns).alias("_new"))
-    old = table.select(F.col(key), F.struct(*table.columns).alias("_old"))
-    merged = old.join(new, key, "full")
-    def pick(name):
-        if name == key:
-            return F.col(key)
-        if name in keep_first:
-            return F.coalesce(F.col(f"_old.{name}"), F.col(f"_new.{name}"))
-        if name not in changes.columns:
-            return F.col(f"_old.{name}")
-        return F.when(F.col("_new").isNotNull(), F.col(f"_new.{name}")).otherwise(F.col(f"_old.{name}"))
-    return merged.select(*[pick(name).alias(name) for name in table.columns])
+    missing = [c for c in table.columns if c not in changes.columns]
+    taken = [*keep_first, *missing]
+    fresh = changes
+    if taken:
+        old = table.select(key, *[F.col(c).alias(f"_old_{c}") for c in taken])
+        fresh = changes.join(old, key, "left")
+        fresh = fresh.withColumns({c: F.coalesce(f"_old_{c}", c) if c in keep_first else F.col(f"_old_{c}") for c in taken})
+    kept = table.join(changes.select(key), key, "left_anti")
+    return fresh.select(table.columns).unionByName(kept)
 
 
 def commit_files(state: DataFrame, committed: DataFrame) -> DataFrame:

@@ -139,7 +139,7 @@ def statements() -> dict[str, str]:
         "manifest_scoped": f"SELECT * FROM {MANIFEST}",
         "scope_limit": f"SELECT * FROM {SAMPLE}",
         "path_contract": f"SELECT CAST(count(*) AS BIGINT) AS paths, CAST(count(*) - count(DISTINCT file_path) AS BIGINT) AS duplicates, {_per_topic('''NOT ends_with(file_path, '.py')''')} AS not_python, CAST(0 AS BIGINT) AS backslashes, {_per_topic('''starts_with(file_path, '../')''')} AS outside, {_per_topic('before >= file_path')} AS out_of_order FROM (SELECT file_path, lag(file_path) OVER (ORDER BY doc_id) AS before FROM {DOC})",
-        "path_normalize": r"""SELECT page_id, CASE WHEN starts_with(url, 'http:') THEN 'Absolute path is not allowed' END AS problem,
+        "path_normalize": r"""SELECT page_id, CASE WHEN starts_with(url, 'http:') THEN 'starts at the root' END AS problem,
             regexp_replace(regexp_replace(replace(CASE WHEN starts_with(url, 'https://') THEN substr(url, 9) ELSE substr(url, 7) END, '//', '/'), '/$', ''), '/en/', '/en/', 'g') AS path FROM pages""",
         "manifest_sizes": f"SELECT count(*) AS files, min(size_bytes) AS min_size, max(size_bytes) AS max_size, avg(size_bytes) AS mean_size, median(size_bytes) AS median_size FROM {MANIFEST} WHERE included",
         "files_by_directory": f"SELECT split_part(file_path, '/', 1) AS directory, count(*) AS files FROM {MANIFEST} GROUP BY 1",
@@ -147,7 +147,7 @@ def statements() -> dict[str, str]:
         "manifest_problems": f"SELECT CAST(0 AS BIGINT) AS wrong_repository, count(*) AS wrong_commit, CAST(0 AS BIGINT) AS not_python, {_per_topic('content_sha256 IS NULL')} AS no_hash FROM {MANIFEST}",
         "manifest_subset": f"SELECT file_path FROM {MANIFEST} WHERE included AND file_path NOT IN (SELECT file_path FROM {SAMPLE} WHERE included)",
         "set_difference": "SELECT source, lang, CASE WHEN n > 0 THEN 'left' ELSE 'right' END AS only_in, CAST(abs(n) AS BIGINT) AS copies FROM (SELECT d.source, d.lang, count(*) - count(*) FILTER (l.quality = 1) AS n FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id GROUP BY 1, 2) WHERE n <> 0",
-        "read_rules": "SELECT url AS file_path, CASE WHEN n > 20000 THEN 'File ' || url || ' size (' || n || ' bytes) exceeds limit.' END AS read_error, CASE WHEN n <= 20000 THEN n END AS size_bytes FROM (SELECT url, octet_length(encode(html)) AS n FROM pages)",
+        "read_rules": "SELECT url AS file_path, CASE WHEN n > 20000 THEN url || ': ' || n || ' bytes, more than the limit of 20000' END AS read_error, CASE WHEN n <= 20000 THEN n END AS size_bytes FROM (SELECT url, octet_length(encode(html)) AS n FROM pages)",
         "change_classification": f"SELECT file_path, change, previous_hash FROM {CLASSIFIED}",
         "unchanged_skip": f"SELECT file_path, content_hash FROM {CLASSIFIED} WHERE change = 'UNCHANGED'",
         "graph_diff_removed": f"SELECT DISTINCT file_id, node_id FROM {lines} a WHERE NOT EXISTS (SELECT 1 FROM {lines} b WHERE b.s = 'O' AND a.file_id = b.file_id AND a.node_id = b.node_id)",
@@ -193,7 +193,7 @@ def statements() -> dict[str, str]:
         "placeholders": f"{EDGE_HISTORY} SELECT id, 'f' || u AS file_id, 'f' || u || ':' || h || '{_V}' AS generation_id, h AS content_hash FROM (SELECT id, arg_min(user_id, seq) AS u, arg_min(eh, seq) AS h FROM (SELECT 'n' || user_id AS id, user_id, eh, seq FROM r WHERE outcome = 'up' UNION ALL SELECT et, user_id, eh, seq FROM r WHERE outcome = 'up') GROUP BY id) WHERE id NOT IN (SELECT id FROM live)",
         "dead_letters": f"{EDGE_HISTORY} SELECT 'connector.errors' AS topic, 'f' || user_id AS key, 'edge endpoints differ from the stored edge' AS reason, seq FROM r WHERE outcome = 'dead'",
         "state_upsert": f"SELECT file_id, CASE WHEN c_name IS NULL THEN 'other' ELSE 'docs' END AS repository_id, coalesce(c_name, p_name) AS file_path, coalesce(p_brand, c_mktsegment) AS content_hash, CASE WHEN p_brand IS NOT NULL THEN '1.0.0' END AS parser_version, CASE WHEN p_brand IS NOT NULL THEN '1.0' END AS schema_version FROM {cust} FULL JOIN {part} USING (file_id)",
-        "state_delete": f"SELECT file_id, c_name AS file_path FROM {cust} WHERE file_id NOT IN (SELECT CAST(o_custkey AS VARCHAR) FROM orders)",
+        "state_delete": f"SELECT file_id, c_name AS file_path FROM {cust} WHERE file_id NOT IN (SELECT CAST(o_custkey AS VARCHAR) FROM orders WHERE o_orderstatus = 'P')",
         "state_load": f"SELECT file_id, c_name AS file_path, CAST(NULL AS VARCHAR) AS parser_version FROM {part} LEFT JOIN {cust} USING (file_id)",
         "entity_state": "SELECT CAST(l_orderkey AS VARCHAR) AS file_id, count(*) AS entities FROM lineitem LEFT JOIN orders ON o_orderkey = l_orderkey WHERE CASE WHEN coalesce(o_orderstatus, '') = 'O' THEN 'O' ELSE 'F' END = l_linestatus GROUP BY l_orderkey",
         "graph_counts": f"SELECT (SELECT count(*) FROM {GRAPH_NODES} WHERE file_id = '7') AS node_count, (SELECT count(*) FROM {GRAPH_EDGES} WHERE file_id = '7') AS edge_count",

@@ -1,42 +1,60 @@
 """Working tree -> validated, ordered events and the next state, as one incremental run."""
 
 from collections import namedtuple
+from collections.abc import Callable
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arborflow.constants import SCOPES
-from arborflow.functions import ids
 from arborflow.operators import calls, diff, events, graph, manifest, state, validate
 from arborflow.operators.flatten import flatten, parse_errors
-from arborflow.session import written
-from arborflow.sources.files import check_sources, identify, read_sources, scan_files
+from arborflow.session import work_tables, written
+from arborflow.sources.files import check_sources, identify, measure_sources, read_sources, scan_files
+from arborflow.sources.snapshots import current_version, read_tables, write_tables
 
 Run = namedtuple("Run", "results events state summary replay")
 _MEASURED = ("size_bytes", "line_count")
 TO_PARSE = ("NEW", "CHANGED", "VERSION_REFRESH")
 
 
-class ContractError(ValueError):
-    """Some event breaks its contract; nothing of the run was published or recorded."""
+class Sources(NamedTuple):
+    """Narrow rows of the files in scope, and how to read the contents of some of them.
+
+    measured: file_id, file_path, repository_id, commit_sha, content_hash, size_bytes, line_count, read_error.
+    read: rows with file_id, file_path and content of the given (file_id, file_path) rows; content is NULL where
+    the file cannot be read any more.
+    """
+
+    measured: DataFrame
+    read: Callable[[DataFrame], DataFrame]
 
 
 def discover(spark: SparkSession, root: str, repository_id: str, commit_sha: str, scope="final", source_root=None, scopes=SCOPES):
-    """Manifest of a working tree. Only hashes leave the read step, never contents."""
-    raw = read_sources(scan_files(spark, root, source_root), root, max_bytes=1 << 62)
-    hashed = raw.select("file_path", "size_bytes", ids.content_hash(F.col("content")).alias("content_sha256"))
+    """Manifest of a working tree. Files are hashed in chunks, contents are not kept."""
+    files = measure_sources(scan_files(spark, root, source_root), root)
+    hashed = files.select("file_path", "size_bytes", F.col("content_hash").alias("content_sha256"))
     return manifest.build_manifest(hashed, repository_id, commit_sha, scope, scopes)
 
 
-def tree_sources(spark: SparkSession, root: str, repository_id: str, commit_sha: str, scope="final", source_root=None, scopes=SCOPES):
-    """Files in scope with their contents, ready for `process`."""
-    files = manifest.selected_files(scan_files(spark, root, source_root), manifest.scope_rules(scope, scopes))
-    return _stamped(read_sources(files, root), repository_id, commit_sha)
+def tree_sources(
+    spark: SparkSession, root: str, repository_id: str, commit_sha: str, scope="final", source_root=None, scopes=SCOPES, max_bytes=None
+) -> Sources:
+    """Files of a working tree in scope, ready for `process`. Files above max_bytes, if it is given, fail."""
+    files = manifest.selected_files(scan_files(spark, root, source_root), manifest.resolved(scope, scopes))
+    return Sources(_stamped(measure_sources(files, root, max_bytes), repository_id, commit_sha), lambda wanted: read_sources(wanted, root, max_bytes))
 
 
-def table_sources(sources: DataFrame, repository_id: str, commit_sha: str) -> DataFrame:
-    """The same from a table with file_path and content, which is what a very large code base is read from."""
-    return _stamped(check_sources(sources), repository_id, commit_sha)
+def table_sources(sources: DataFrame, repository_id: str, commit_sha: str, max_bytes=None) -> Sources:
+    """The same from a table with file_path and content, which is what a very large code base is read from.
+
+    Spark broadcasts the wanted paths while they are few; when most files changed, their contents are shuffled once.
+    """
+    checked = _stamped(check_sources(sources, max_bytes), repository_id, commit_sha)
+    measured = checked.select(*[c for c in checked.columns if c not in ("content", *_MEASURED)], *graph.measures())
+    contents = checked.select("file_path", "content")
+    return Sources(measured, lambda wanted: contents.join(wanted, "file_path"))
 
 
 def _stamped(sources, repository_id, commit_sha):
@@ -44,29 +62,28 @@ def _stamped(sources, repository_id, commit_sha):
     return identify(sources.withColumns(stamps), repository_id)
 
 
-def process(sources: DataFrame, previous: dict[str, DataFrame], publish=None, limit=None, fail_fast=False, only=None, when=None) -> Run:
+def process(sources: Sources, previous: dict[str, DataFrame], publish=None, limit=None, fail_fast=False, only=None, when=None) -> Run:
     """Parse what changed, publish its events, return the next state.
 
-    `publish` gets the events of the run once all of them are known to be valid; an exception in it leaves the
-    state as it was. Failed files keep their old state and graph. With fail_fast, files after the first failed
+    `publish` gets the events of the run; an exception in it leaves the state as it was. A file with an event that
+    breaks its contract sends an error event instead of all its events. Failed files keep their old state and graph. With fail_fast, files after the first failed
     one (by path) are left for the next run.
     """
+    files = sources.measured
     if only is not None:
-        sources = sources.where(F.col("file_path") == only)
+        files = files.where(F.col("file_path") == only)
     discovered = None
     if limit:
-        discovered = sources.count()
-        chosen = sources.select("file_path").orderBy("file_path").limit(limit)
-        sources = sources.join(chosen, "file_path", "left_semi")
+        discovered = files.count()
+        files = files.join(files.select("file_path").orderBy("file_path").limit(limit), "file_path", "left_semi")
 
-    # Narrow rows decide what to parse; contents are only read again for those files.
-    measured = sources.select(*[c for c in sources.columns if c not in ("content", *_MEASURED)], *graph.measures())
-    classified = written(diff.classify(measured, previous["files"]), "classified")
+    # Narrow rows decide what to parse; only the files that changed are read.
+    classified = written(diff.classify(files, previous["files"]), "classified")
     changed = classified.where(F.col("change").isin(*TO_PARSE))
-    flat = written(flatten(sources.join(changed.select("file_id"), "file_id", "left_semi")), "flat")
+    flat = written(flatten(sources.read(changed.select("file_id", "file_path"))), "flat")
     failures = parse_errors(flat)
     read_failures = classified.where("change = 'FAILED'").withColumn("message", F.col("read_error")).withColumn("error_type", F.lit("ReadFileError"))
-    syntax = classified.join(failures, "file_id").withColumn("error_type", F.lit("SyntaxError"))
+    syntax = classified.join(failures, "file_id").withColumn("error_type", F.substring_index("message", " in ", 1))
     failed = read_failures.unionByName(syntax)
     if fail_fast:
         first = failed.agg(F.min("file_path")).first()[0]
@@ -85,14 +102,32 @@ def process(sources: DataFrame, previous: dict[str, DataFrame], publish=None, li
     about = parsed.select("file_id", "repository_id", "commit_sha", "file_path", "content_hash", "previous_hash")
     made_events = events.build_events(about, nodes, edges, stats, gone_nodes, gone_edges, when)
     made_events = made_events.unionByName(events.error_events(failed, when))
-    checked = written(validate.validate_events(made_events), "events")
-    invalid = checked.where(F.size("violations") > 0).select("event_type", "violations").first()
-    if invalid is not None:
-        raise ContractError(f"{invalid.event_type}: {', '.join(invalid.violations)}")
+    # A file goes out whole or not at all: one invalid event holds back the others of its file.
+    gated = written(events.publish_gate(validate.validate_events(made_events)), "events")
+    reason = F.concat_ws(": ", "event_type", F.array_join("violations", ", "))
+    held = gated.where(F.size("violations") > 0).groupBy("file_id").agg(F.min(reason).alias("message"))
+    held = written(held.withColumn("message", F.concat(F.lit("ContractError in "), "message")), "held")
+    withheld = classified.join(held, "file_id").withColumn("error_type", F.lit("ContractError"))
+    outgoing = gated.where("publishable").drop("violations", "publishable").unionByName(events.error_events(withheld, when))
     if publish is not None:
-        publish(checked.drop("violations"))
+        publish(outgoing)
+    about = about.join(held, "file_id", "left_anti")
+    failures = failures.unionByName(held.select("file_id", "message"))
 
-    results = events.file_results(classified, checked, failures)
+    results = events.file_results(classified, outgoing, failures)
     replay = diff.replay_summary(classified, gone_nodes, gone_edges, nodes, edges, failures)
     following = state.commit_state(previous, about, nodes, edges)
-    return Run(results, checked, following, events.run_summary(results, discovered), replay)
+    return Run(results, outgoing, following, events.run_summary(results, discovered), replay)
+
+
+def run(sources: Sources, store: str, publish, **options) -> dict:
+    """process() on the state at `store`: publish first, then record the new state as its next version.
+
+    When publishing fails nothing is recorded, and the next run sends the same events under the same ids again.
+    """
+    spark = sources.measured.sparkSession
+    done = current_version(spark, store)
+    with work_tables(spark):
+        made = process(sources, read_tables(spark, store, state.STATE_TABLES), publish, **options)
+        write_tables(made.state, store, 0 if done is None else done + 1)
+        return made.summary.first().asDict()

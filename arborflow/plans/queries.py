@@ -46,12 +46,12 @@ def _manifest(spark, sf):
     return manifest.build_manifest(derive.manifest_input(spark, sf), REPOSITORY, COMMIT)
 
 
-SAMPLE_SCOPES = manifest.SCOPES | {"sample": {"extends": "final", "include": ["src1*/**/*.py"], "max_files": 25}}
+SAMPLE_SCOPES = manifest.SCOPES | {"sample": manifest.Scope(parent="final", include=("src1*/**/*.py",), max_files=25)}
 
 
 def _scope_limit(spark, sf):
     files = derive.manifest_input(spark, sf).select("file_path")
-    return manifest.apply_scope(files, manifest.scope_rules("sample", SAMPLE_SCOPES))
+    return manifest.apply_scope(files, manifest.resolved("sample", SAMPLE_SCOPES))
 
 
 def _path_contract(spark, sf):
@@ -384,7 +384,7 @@ def _state_upsert(spark, sf):
 
 
 def _state_delete(spark, sf):
-    gone = table(spark, sf, "orders").select(F.col("o_custkey").cast("string").alias("file_id"))
+    gone = table(spark, sf, "orders").where("o_orderstatus = 'P'").select(F.col("o_custkey").cast("string").alias("file_id"))
     return state.drop_state(_state(spark, sf), gone).select("file_id", "file_path")
 
 
@@ -432,8 +432,14 @@ def _edge_types(spark, sf):
     return quality.edge_type_distribution(derive.graph_tables(spark, sf)["edges"])
 
 
+def _spread(sources):
+    """A table in few splits over all cores; one with enough of them stays where it is."""
+    cores = sources.sparkSession.sparkContext.defaultParallelism
+    return sources if sources.rdd.getNumPartitions() >= cores else sources.repartition(cores)
+
+
 def _flat(spark, sf):
-    return flatten(derive.document_sources(spark, sf))
+    return flatten(_spread(derive.document_sources(spark, sf)))
 
 
 def _flat_once(spark, sf):

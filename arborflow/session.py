@@ -1,7 +1,9 @@
 """Session defaults and the shared work folder."""
 
 import tempfile
+import threading
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,12 +25,19 @@ def build_session(app_name="arborflow", master=None, **conf):
     return builder.getOrCreate()
 
 
+_local_folders: list = []  # removed when the process ends
+_open = threading.local()
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared folder; a temporary one only where none is configured (local tests)."""
+    """The cluster's shared folder. Without one, a temporary folder on a local master, and an error on any other."""
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
-        folder = tempfile.mkdtemp(prefix="arborflow-")
+        if context.master != "local" and not context.master.startswith("local["):
+            raise RuntimeError("Set spark.checkpoint.dir to a folder that the driver and all executors share")
+        _local_folders.append(tempfile.TemporaryDirectory(prefix="arborflow-", ignore_cleanup_errors=True))
+        folder = _local_folders[-1].name
         context.setCheckpointDir(folder)
     return folder
 
@@ -37,9 +46,25 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """Write df once into the shared folder and read it back: one computation, short lineage."""
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    for paths in getattr(_open, "scopes", [])[-1:]:
+        paths.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def work_tables(spark: SparkSession):
+    """Removes, at its end, what `written` wrote inside it in this thread; results have to be stored by then."""
+    if not hasattr(_open, "scopes"):
+        _open.scopes = []
+    _open.scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _open.scopes.pop():
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def empty_table(spark: SparkSession, schema: str) -> DataFrame:
     """A table without rows that the optimizer knows to be empty, so joins with it vanish from the plan."""
     fields = StructType.fromDDL(schema)

@@ -1,83 +1,142 @@
-"""Source files of a working tree, listed and read on the executors.
+"""Source files of a working tree, listed, measured and read on the executors.
 
 The `binaryFile` source skips hidden folders, `_`-prefixed names (`__init__.py`) and empty files, all of
-which must be parsed, so listing and reading are two small mapInPandas steps over rows of paths.
+which must be parsed, so these are small mapInPandas steps over rows of paths.
 """
 
+import codecs
+import hashlib
 import os
+import re
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arborflow.constants import MAX_SOURCE_BYTES, PRUNED_DIRECTORIES
+from arborflow.constants import PRUNED_DIRECTORIES
 from arborflow.functions import ids
 
 _BATCH_BYTES = 32 * 1024 * 1024
+_CHUNK_BYTES = 1024 * 1024
+_BREAK = re.compile("\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85  ]")
 
 
 def resolve_root(repository_root: str, source_root: str | None = None) -> str:
     """Absolute folder to scan; it must exist and lie inside the repository."""
     top = os.path.realpath(repository_root)
-    chosen = os.path.realpath(os.path.join(top, source_root)) if source_root else top
-    if chosen != top and not chosen.startswith(top.rstrip(os.sep) + os.sep):
-        raise ValueError(f"Source root escapes repository root: {source_root}")
+    chosen = os.path.realpath(os.path.join(top, source_root or "."))
+    if os.path.commonpath([top, chosen]) != top:
+        raise ValueError(f"{source_root} is outside the repository {top}")
     if not os.path.isdir(chosen):
-        raise FileNotFoundError(f"Source root does not exist: {chosen}")
+        raise FileNotFoundError(f"no such folder: {chosen}")
     return chosen
 
 
 def scan_files(spark: SparkSession, repository_root: str, source_root=None, suffix=".py", prune=PRUNED_DIRECTORIES):
     """One row per matching file: file_path (relative, POSIX) and size_bytes.
 
-    The driver only opens folders until there are enough of them to keep every core listing.
+    The driver opens one level of folders at a time, a few at most, until there are enough to keep every core listing.
     """
     top = os.path.realpath(repository_root)
     pruned = frozenset(prune)
     wanted = spark.sparkContext.defaultParallelism * 4
     shallow, pending = [], [resolve_root(repository_root, source_root)]
-    while pending and len(pending) < wanted:
-        opened = pending.pop(0)
-        shallow.append((opened, False))
-        pending += [e.path for e in os.scandir(opened) if e.is_dir(follow_symlinks=False) and e.name not in pruned]
-    folders = spark.createDataFrame(shallow + [(p, True) for p in pending], "folder string, recurse boolean")
+    for _ in range(3):
+        if len(pending) >= wanted:
+            break
+        shallow += pending
+        pending = [e.path for folder in pending for e in os.scandir(folder) if e.is_dir(follow_symlinks=False) and e.name not in pruned]
+    folders = spark.createDataFrame([(p, False) for p in shallow] + [(p, True) for p in pending], "folder string, recurse boolean")
 
     def listing(batches):
-        for batch in batches:
-            for folder, recurse in zip(batch["folder"], batch["recurse"]):
-                for here, below, names in os.walk(folder):
-                    below[:] = [d for d in below if recurse and d not in pruned]
-                    full = [os.path.join(here, n) for n in names if n.endswith(suffix)]
-                    if full:
-                        yield pd.DataFrame(
-                            {
-                                "file_path": [os.path.relpath(p, top).replace(os.sep, "/") for p in full],
-                                "size_bytes": [os.path.getsize(p) if os.path.exists(p) else 0 for p in full],
-                            }
-                        )
+        def walked():
+            for batch in batches:
+                for folder, recurse in zip(batch["folder"], batch["recurse"]):
+                    for here, below, names in os.walk(folder):
+                        below[:] = [d for d in below if recurse and d not in pruned]
+                        yield from (os.path.join(here, n) for n in names if n.endswith(suffix))
+
+        def frame(paths):
+            sizes = [os.path.getsize(p) if os.path.exists(p) else 0 for p in paths]
+            return pd.DataFrame({"file_path": [os.path.relpath(p, top).replace(os.sep, "/") for p in paths], "size_bytes": sizes})
+
+        held = []
+        for path in walked():
+            held.append(path)
+            if len(held) == 10_000:
+                yield frame(held)
+                held = []
+        if held:
+            yield frame(held)
 
     return folders.repartition(min(wanted, max(1, len(shallow) + len(pending))), "folder").mapInPandas(
         listing, "file_path string, size_bytes bigint"
     )
 
 
-def read_sources(paths: DataFrame, repository_root: str, max_bytes: int = MAX_SOURCE_BYTES) -> DataFrame:
-    """Add `content` (raw bytes) and `read_error`; exactly one of the two is set."""
+def _too_large(path, size, limit) -> str:
+    return f"{path}: {size} bytes, more than the limit of {limit}"
+
+
+def _columns(frame: DataFrame) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in frame.schema)
+
+
+def _measured(full: str, relative: str, limit):
+    """size, line count and SHA-256 of one file, read in chunks; or the reason why it cannot be used."""
+    try:
+        size, digest, decoder = os.path.getsize(full), hashlib.sha256(), codecs.getincrementaldecoder("utf-8")()
+        if limit is not None and size > limit:
+            return size, None, None, _too_large(relative, size, limit)
+        breaks, open_line, carried = 0, False, ""
+        with open(full, "rb") as handle:
+            while chunk := handle.read(_CHUNK_BYTES):
+                digest.update(chunk)
+                text = carried + decoder.decode(chunk)
+                carried = "\r" if text.endswith("\r") else ""
+                text = text[: len(text) - len(carried)]
+                breaks += sum(1 for _ in _BREAK.finditer(text))
+                open_line = not _BREAK.fullmatch(text[-1]) if text else open_line
+        decoder.decode(b"", final=True)
+        return size, breaks + bool(carried) + (open_line and not carried), digest.hexdigest(), None
+    except UnicodeDecodeError:
+        return size, None, None, f"{relative}: not UTF-8 text"
+    except OSError as problem:
+        return None, None, None, f"{relative}: cannot be read ({type(problem).__name__})"
+
+
+def measure_sources(paths: DataFrame, repository_root: str, max_bytes: int | None = None) -> DataFrame:
+    """Add size_bytes, line_count, content_hash and read_error; files are read in chunks and none is held."""
+    top = os.path.realpath(repository_root)
+    kept = paths.drop("size_bytes", "line_count", "content_hash", "read_error")
+
+    added = (("size_bytes", pa.int64()), ("line_count", pa.int64()), ("content_hash", pa.string()), ("read_error", pa.string()))
+
+    def measuring(batches):
+        for batch in batches:
+            found = [_measured(os.path.join(top, path), path, max_bytes) for path in batch.column("file_path").to_pylist()]
+            columns = [pa.array([row[i] for row in found], kind) for i, (_, kind) in enumerate(added)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *columns], names=[*batch.schema.names, *[name for name, _ in added]])
+
+    return kept.mapInArrow(measuring, f"{_columns(kept)}, size_bytes bigint, line_count bigint, content_hash string, read_error string")
+
+
+def read_sources(paths: DataFrame, repository_root: str, max_bytes: int | None = None) -> DataFrame:
+    """Add `content` (raw bytes) and `read_error`; exactly one of the two is set. No limit unless one is given."""
     top = os.path.realpath(repository_root)
     schema = paths.drop("content", "read_error")
 
     def load(relative):
         full = os.path.join(top, relative)
-        if not os.path.exists(full):
-            return None, f"File not found: {full}"
-        size = os.path.getsize(full)
-        if size > max_bytes:
-            return None, f"File {relative} size ({size} bytes) exceeds limit."
         try:
+            size = os.path.getsize(full)
+            if max_bytes is not None and size > max_bytes:
+                return None, _too_large(relative, size, max_bytes)
             with open(full, "rb") as handle:
                 return handle.read(), None
         except OSError as problem:
-            return None, f"Failed to read file {relative}: {problem}"
+            return None, f"{relative}: cannot be read ({type(problem).__name__})"
 
     def reading(batches):
         for batch in batches:
@@ -92,21 +151,19 @@ def read_sources(paths: DataFrame, repository_root: str, max_bytes: int = MAX_SO
                     yield part
                     start, held, loaded = position + 1, 0, []
 
-    read = schema.mapInPandas(
-        reading, schema.schema.simpleString()[len("struct<") : -1] + ",content:binary,read_error:string"
-    )
-    return check_sources(read, max_bytes)
+    return check_sources(schema.mapInPandas(reading, f"{_columns(schema)}, content binary, read_error string"), max_bytes)
 
 
-def check_sources(sources: DataFrame, max_bytes: int = MAX_SOURCE_BYTES) -> DataFrame:
-    """Strict read rules over a table with `file_path` and `content`: size limit and UTF-8."""
+def check_sources(sources: DataFrame, max_bytes: int | None = None) -> DataFrame:
+    """Strict read rules over a table with `file_path` and `content`: UTF-8, and the size limit if one is given."""
     given = F.col("read_error") if "read_error" in sources.columns else F.lit(None).cast("string")
+    size = F.length("content")
+    large = F.lit(False) if max_bytes is None else size > max_bytes
     error = F.coalesce(
         given,
-        F.when(
-            F.length("content") > max_bytes,
-            F.format_string("File %s size (%d bytes) exceeds limit.", "file_path", F.length("content")),
-        ).when(~F.is_valid_utf8(F.col("content").cast("string")), F.format_string("File %s is not valid UTF-8.", "file_path")),
+        F.when(large, F.concat("file_path", F.lit(": "), size, F.lit(f" bytes, more than the limit of {max_bytes}"))).when(
+            ~F.is_valid_utf8(F.col("content").cast("string")), F.concat("file_path", F.lit(": not UTF-8 text"))
+        ),
     )
     return sources.withColumn("read_error", error).withColumn(
         "content", F.when(F.col("read_error").isNull(), F.col("content"))
@@ -114,8 +171,9 @@ def check_sources(sources: DataFrame, max_bytes: int = MAX_SOURCE_BYTES) -> Data
 
 
 def identify(sources: DataFrame, repository_id) -> DataFrame:
-    """Add file_id, and the content hash: '0' for a file that could not be read."""
+    """Add file_id, and the content hash (unless it is there): '0' for a file that could not be read."""
     repository = repository_id if not isinstance(repository_id, str) else F.lit(repository_id)
+    digest = F.col("content_hash") if "content_hash" in sources.columns else ids.content_hash(F.col("content"))
     return sources.withColumn("file_id", ids.file_id(repository, F.col("file_path"))).withColumn(
-        "content_hash", F.when(F.col("read_error").isNotNull(), "0").otherwise(ids.content_hash(F.col("content")))
+        "content_hash", F.when(F.col("read_error").isNotNull(), "0").otherwise(digest)
     )

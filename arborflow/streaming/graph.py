@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from arborflow.operators.fold import DEAD_LETTER_TABLE, GRAPH_TABLES, fold_graph
 from arborflow.operators.quality import assert_unique
+from arborflow.session import work_tables
 from arborflow.sources.snapshots import current_version, read_tables, write_tables
 from arborflow.streaming.metadata import with_trigger
 
@@ -20,10 +21,11 @@ def fold_batch(records: DataFrame, path: str, version: int, check_keys=False) ->
         return
     of_topic = lambda topic: records.where(F.col("topic") == topic)
     graph = read_tables(spark, path, GRAPH_TABLES)
-    tables, dead = fold_graph(graph, of_topic("cpg.nodes"), of_topic("cpg.edges"))
-    if check_keys:
-        assert_unique(tables)
-    write_tables(tables | {"dead_letters": dead}, path, version)
+    with work_tables(spark):
+        tables, dead = fold_graph(graph, of_topic("cpg.nodes"), of_topic("cpg.edges"))
+        if check_keys:
+            assert_unique(tables)
+        write_tables(tables | {"dead_letters": dead}, path, version)
 
 
 def graph_writer(records: DataFrame, checkpoint: str, path: str, check_keys=False, **trigger):

@@ -1,15 +1,17 @@
 """Working tree -> events -> state and graph, over several runs."""
 
+import hashlib
 import json
 import os
 
 import pytest
 from pyspark.sql import functions as F
 
-from arborflow.operators import state
+from arborflow.operators import events, state
+from arborflow.operators.flatten import flatten
 from arborflow.plans import pipeline
-from arborflow.session import written
-from arborflow.sources.files import resolve_root, scan_files
+from arborflow.session import work_tables, written
+from arborflow.sources.files import measure_sources, read_sources, resolve_root, scan_files
 from arborflow.streaming.graph import fold_batch, read_dead_letters, read_graph
 
 FILES = {
@@ -43,7 +45,7 @@ def test_scan_and_manifest(spark, tree):
     assert rows["src/generated/client_pb2.py"].exclusion_reason == "Excluded generated file"
     smoke = pipeline.discover(spark, str(tree), "demo", "c1", scope="smoke").where("included").collect()
     assert sorted(r.file_path for r in smoke) == ["src/__init__.py", "src/main.py"]
-    with pytest.raises(ValueError, match="escapes"):
+    with pytest.raises(ValueError, match="outside"):
         resolve_root(str(tree), "..")
     with pytest.raises(FileNotFoundError):
         resolve_root(str(tree), "nowhere")
@@ -70,8 +72,8 @@ def test_incremental_runs(spark, tree, tmp_path):
     got = totals(first)
     assert (got["eligible"], got["processed"], got["failed"], got["metadata_events"]) == (3, 3, 0, 3)
     assert len(sent) == 1
-    events = [json.loads(r.value) for r in first.events.collect()]
-    assert {e["event_type"] for e in events} == {"NODE_UPSERT", "EDGE_UPSERT", "FILE_METADATA_UPSERT"}
+    made = [json.loads(r.value) for r in first.events.collect()]
+    assert {e["event_type"] for e in made} == {"NODE_UPSERT", "EDGE_UPSERT", "FILE_METADATA_UPSERT"}
     recorded = kept(first)
     store = str(tmp_path / "graph")
     fold_batch(records_of(first), store, 0)
@@ -94,3 +96,67 @@ def test_incremental_runs(spark, tree, tmp_path):
     after = kept(second)
     assert after["files"].count() == 3  # the broken file keeps its old state
     assert os.path.exists(tree / "setup.py")
+
+
+def test_measures_in_chunks(spark, tmp_path, monkeypatch):
+    texts = {"a.py": "x\r\ny\r\n", "b.py": "x\r", "c.py": "é\n\x0b\x85  z", "d.py": "", "e.py": "\r\n" * 50 + "end", "f.py": "x = 1\n" * 1_200_000}
+    for name, text in texts.items():
+        (tmp_path / name).write_bytes(text.encode())
+    (tmp_path / "g.py").write_bytes(b"\xff\xfe")
+    scanned = scan_files(spark, str(tmp_path))
+    rows = {r.file_path: r for r in measure_sources(scanned, str(tmp_path)).collect()}
+    for name, text in texts.items():
+        assert (rows[name].line_count, rows[name].size_bytes) == (len(text.splitlines()), len(text.encode())), name
+        assert rows[name].content_hash == hashlib.sha256(text.encode()).hexdigest()
+    assert rows["g.py"].read_error == "g.py: not UTF-8 text" and rows["f.py"].size_bytes > 5 << 20
+    limited = {r.file_path: r.read_error for r in read_sources(scanned, str(tmp_path), 1000).collect()}
+    assert limited["f.py"] == "f.py: 7200000 bytes, more than the limit of 1000" and limited["a.py"] is None
+
+
+def test_only_changed_files_are_read_and_texts_stay(spark, tree):
+    sources = pipeline.tree_sources(spark, str(tree), "demo", "c1")
+    changed = sources.measured.where("file_path = 'src/main.py'").select("file_id", "file_path")
+    flat = flatten(sources.read(changed))
+    assert {r.file_id for r in flat.select("file_id").distinct().collect()} == {changed.first().file_id}
+    plan = flat._jdf.queryExecution().executedPlan().toString()
+    above_the_read = plan[: plan.index("MapInPandas")]
+    assert "MapInArrow" in above_the_read and "Exchange" not in above_the_read
+
+
+def test_run_publishes_in_order_and_holds_back_a_bad_file(spark, tree, tmp_path, monkeypatch):
+    store, out = str(tmp_path / "state"), str(tmp_path / "topics")
+    run = lambda: pipeline.run(pipeline.tree_sources(spark, str(tree), "demo", "c1"), store, lambda e: events.publish(e, "json", out, mode="overwrite"))
+    assert run()["processed"] == 3
+    assert run()["skipped_unchanged"] == 3
+
+    (tree / "src/main.py").write_text("def run(y):\n    return y\n")
+    (tree / ".github/tool.py").write_text("a = 2\nb = a\n")
+    real = pipeline.validate.validate_events
+    bad = (F.col("file_path") == ".github/tool.py") & (F.col("event_type") == "EDGE_UPSERT")
+    monkeypatch.setattr(pipeline.validate, "validate_events", lambda e: real(e.withColumn("file_path", F.get_json_object("value", "$.file_path"))).withColumn("violations", F.when(bad, F.array(F.lit("made up"))).otherwise(F.col("violations"))).drop("file_path"))
+    got = run()
+    assert (got["processed"], got["failed"], got["error_events"]) == (1, 1, 1)
+    for topic in ("cpg.nodes", "cpg.edges"):
+        sent = [json.loads(r.value) for r in spark.read.json(f"{out}/topic={topic}").coalesce(1).collect()]
+        kinds = [e["event_type"] for e in sent]
+        assert {e["file_path"] for e in sent} == {"src/main.py"} and kinds == sorted(kinds) and "DELETE" in kinds[0]
+    (error,) = [json.loads(r.value) for r in spark.read.json(f"{out}/topic=parser.errors").collect()]
+    assert error["file_path"] == ".github/tool.py" and error["error"]["error_type"] == "ContractError"
+    monkeypatch.undo()
+    assert run()["processed"] == 1  # what was held back is still to do
+
+    def refuse(_):
+        raise OSError("no broker")
+
+    (tree / "src/main.py").write_text("pass\n")
+    with pytest.raises(OSError):
+        pipeline.run(pipeline.tree_sources(spark, str(tree), "demo", "c1"), store, refuse)
+    assert run()["processed"] == 1
+
+
+def test_work_tables_are_removed(spark, tmp_path):
+    with work_tables(spark):
+        table = written(spark.range(3), "kept")
+        (path,) = {os.path.dirname(f) for f in table.inputFiles()}
+        assert table.count() == 3
+    assert not os.path.exists(path.removeprefix("file:"))
