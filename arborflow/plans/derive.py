@@ -39,8 +39,8 @@ def manifest_input(spark, sf) -> DataFrame:
     )
 
 
-def document_sources(spark, sf) -> DataFrame:
-    """Each document's whole text as a Python file, one statement per line; those in Spanish do not parse."""
+def document_sources(spark, sf, broken=False) -> DataFrame:
+    """Each document's whole text as a Python file, one statement per line; with `broken`, those in Spanish do not parse."""
     escaped = lambda line: F.regexp_replace(F.regexp_replace(line, r'([\\"])', r"\\$1"), "\r", r"\\r")
 
     def statement(line):
@@ -52,7 +52,7 @@ def document_sources(spark, sf) -> DataFrame:
 
     body = F.array_join(F.transform(F.split("text", "\n"), statement), "\n")
     header = F.replace(F.lit(HEADER), F.lit("{size}"), F.col("n_chars").cast("string"))
-    unclosed = F.when(F.col("lang") == "es", "\nprint(").otherwise("\n")
+    unclosed = F.when((F.col("lang") == "es") & F.lit(broken), "\nprint(").otherwise("\n")
     path = F.concat_ws("/", "source", F.concat(F.col("doc_id"), F.lit(".py")))
     return table(spark, sf, "documents").select(
         F.lit(REPOSITORY).alias("repository_id"),

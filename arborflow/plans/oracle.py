@@ -198,6 +198,9 @@ def statements() -> dict[str, str]:
         "entity_state": "SELECT CAST(l_orderkey AS VARCHAR) AS file_id, count(*) AS entities FROM lineitem LEFT JOIN orders ON o_orderkey = l_orderkey WHERE CASE WHEN coalesce(o_orderstatus, '') = 'O' THEN 'O' ELSE 'F' END = l_linestatus GROUP BY l_orderkey",
         "graph_counts": f"SELECT (SELECT count(*) FROM {GRAPH_NODES} WHERE file_id = '7') AS node_count, (SELECT count(*) FROM {GRAPH_EDGES} WHERE file_id = '7') AS edge_count",
         "top_files": f"SELECT file_id, count(*) AS node_count FROM {GRAPH_NODES} GROUP BY file_id ORDER BY node_count DESC, file_id NULLS FIRST LIMIT 10",
+        "top_files_edges": f"SELECT file_id, count(*) AS edge_count FROM {GRAPH_EDGES} GROUP BY file_id ORDER BY edge_count DESC, file_id NULLS FIRST LIMIT 10",
+        "duplicate_edges": f"SELECT edge_type, file_id, count(*) AS copies FROM {GRAPH_EDGES} GROUP BY ALL HAVING count(*) > 1",
+        "null_properties_nodes": f"SELECT id, file_id, generation_id FROM {GRAPH_NODES} WHERE file_id IS NULL OR generation_id IS NULL",
         "duplicate_ids": f"SELECT id, count(*) AS copies FROM {GRAPH_NODES} GROUP BY id HAVING count(*) > 1",
         "null_properties": f"SELECT edge_id, file_id, generation_id FROM {GRAPH_EDGES} WHERE file_id IS NULL OR generation_id IS NULL",
         "open_placeholders": f"SELECT file_id, count(*) AS placeholders FROM {GRAPH_NODES} WHERE placeholder GROUP BY file_id",

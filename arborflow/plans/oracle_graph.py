@@ -133,10 +133,10 @@ def _values(text, width):
     return "(VALUES " + ", ".join("(" + ", ".join(f"'{c}'" for c in row) + ")" for row in rows) + ")"
 
 
-# One row per document that parses, and one per line of it; header statements are 0 to 3, line i is 4 + i.
+# One row per document, and one per line of it; header statements are 0 to 3, line i is 4 + i.
 _BASE = f"""
 docs AS (SELECT doc_id, sha256('docs|' || source || '/' || doc_id || '.py') AS fid, source || '/' || doc_id || '.py' AS file_path,
-         string_split(text, chr(10)) AS ls, text, n_chars FROM documents WHERE lang <> 'es'),
+         string_split(text, chr(10)) AS ls, text, n_chars FROM documents),
 l AS (SELECT fid, file_path, i, CAST(length(ls[i]) % 5 AS VARCHAR) AS kind, 'Module.body[' || (i + 3) || ']' AS stem, len(ls) AS n
       FROM (SELECT *, unnest(range(1, len(ls) + 1)) AS i FROM docs)),
 placed AS (SELECT fid, kind, i, stem, n FROM l UNION ALL SELECT fid, 'h', 0, 'Module', len(ls) FROM docs),

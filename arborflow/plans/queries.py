@@ -414,6 +414,18 @@ def _duplicate_nodes(spark, sf):
     return quality.duplicate_ids(derive.graph_tables(spark, sf)["nodes"], "id")
 
 
+def _top_files_edges(spark, sf):
+    return quality.top_files(derive.graph_tables(spark, sf)["edges"], "edge_count")
+
+
+def _duplicate_edges(spark, sf):
+    return quality.duplicate_ids(derive.graph_tables(spark, sf)["edges"], ["edge_type", "file_id"])
+
+
+def _null_properties_nodes(spark, sf):
+    return quality.null_properties(derive.graph_tables(spark, sf)["nodes"], "id")
+
+
 def _null_properties(spark, sf):
     return quality.null_properties(derive.graph_tables(spark, sf)["edges"], "edge_id")
 
@@ -491,7 +503,8 @@ def _local_symbols(spark, sf):
 
 
 def _parse_errors(spark, sf):
-    return _named(spark, sf, parse_errors(_flat(spark, sf))).select("file_path", F.substring_index("message", " in ", 1).alias("error"))
+    flat = flatten(_spread(derive.document_sources(spark, sf, broken=True)))
+    return _named(spark, sf, parse_errors(flat)).select("file_path", F.substring_index("message", " in ", 1).alias("error"))
 
 
 def _file_stats(spark, sf):
@@ -563,6 +576,9 @@ QUERIES = {
     "top_files": _top_files,
     "duplicate_ids": _duplicate_nodes,
     "null_properties": _null_properties,
+    "null_properties_nodes": _null_properties_nodes,
+    "top_files_edges": _top_files_edges,
+    "duplicate_edges": _duplicate_edges,
     "open_placeholders": _open_placeholders,
     "tombstone_summary": _tombstone_summary,
     "edge_type_dist": _edge_types,
