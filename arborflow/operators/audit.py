@@ -4,15 +4,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from arborflow.operators.manifest import RUN_LENGTH, out_of_order
-from arborflow.operators.validate import CONTRACTS, validate_events
+from arborflow.operators.validate import CONTRACTS, violations
+from arborflow.session import written
 from arborflow.sources.records import offset_window
 
 
 def audited(records: DataFrame, expected_file_id=None, expected_error_file_id=None) -> DataFrame:
     """Per record: the three ids read from the event, and flags for what is wrong with it."""
-    text = F.col("value")
-    rows = validate_events(records).withColumns(
-        {name: F.get_json_object(text, f"$.{name}") for name in ("event_type", "file_id", "event_id")}
+    document = F.col("_document")
+    rows = records.withColumn("_document", F.try_parse_json("value"))  # the one time the text is parsed
+    rows = rows.withColumn("violations", violations(F.col("value"), document)).withColumns(
+        {name: F.try_variant_get(document, f"$.{name}", "string") for name in ("event_type", "file_id", "event_id")}
     )
     known = F.col("event_type").isin(*CONTRACTS)
     is_error = F.coalesce(F.col("event_type") == "PARSER_ERROR", F.lit(False))
@@ -34,29 +36,21 @@ def audited(records: DataFrame, expected_file_id=None, expected_error_file_id=No
 def audit_stream(records: DataFrame, offsets=None, expected_file_id=None, expected_error_file_id=None) -> DataFrame:
     """One row per topic, and one for all of them (topic NULL) with the duplicate event ids.
 
-    Duplicates are counted after a map-side combine by event id, so a repeated id is one row when it is shuffled.
+    Records are parsed once and combined map-side per topic and event id; every count is taken from those rows,
+    which are written. An id is empty or absent in malformed events; those are never duplicates.
     """
     records = records if offsets is None else offset_window(records, offsets)
     flags = ["schema_failure", "key_mismatch", "unexpected_file_id"]
     rows = audited(records, expected_file_id, expected_error_file_id)
     per_id = rows.groupBy("topic", "event_id").agg(F.count("*").alias("n"), *[F.count_if(f).alias(f) for f in flags])
-    # An id is empty or absent in malformed events; those are never duplicates.
-    named = F.coalesce("event_id", F.lit("")) != ""
-    across = per_id.groupBy("event_id").agg(
-        F.collect_list(F.struct("topic", "n", *flags)).alias("topics"),  # at most one entry per topic
-        F.when(F.first(named), F.sum("n") - 1).otherwise(0).alias("repeats"),
-    )
-    exploded = across.select("repeats", F.posexplode("topics").alias("place", "t")).select(
-        "t.*", F.when(F.col("place") == 0, F.col("repeats")).otherwise(0).alias("repeats")
-    )
-    return (
-        exploded.groupingSets([["topic"], []], "topic")
-        .agg(
-            F.sum("n").alias("events"),
-            *[F.sum(flag).alias(f"{flag}s") for flag in flags],
-            F.when(F.grouping("topic") == 1, F.sum("repeats")).alias("duplicate_event_ids"),
-        )
-    )
+    per_id = written(per_id, "audit-ids")
+    counts = [F.sum("n").alias("events"), *[F.sum(flag).alias(f"{flag}s") for flag in flags]]
+    per_topic = per_id.groupBy("topic").agg(*counts).withColumn("duplicate_event_ids", F.lit(None).cast("bigint"))
+    zero = F.lit(0).cast("bigint")
+    again = per_id.where("event_id <> ''").groupBy("event_id").agg((F.sum("n") - 1).alias("repeats"))
+    both = per_id.select("n", *flags, zero.alias("repeats")).unionByName(again.select(*[zero.alias(c) for c in ("n", *flags)], "repeats"))
+    whole = both.agg(*counts, F.sum("repeats").alias("duplicate_event_ids"))
+    return per_topic.unionByName(whole.withColumn("topic", F.lit(None).cast("string")).select(per_topic.columns))
 
 
 def partition_consistency(records: DataFrame, file_id: Column | None = None) -> DataFrame:
