@@ -137,10 +137,10 @@ def path_features(path: tuple) -> frozenset:
         found.update(f"in hint {hint}" for hint in path[-1][1])
     order = [t for t, _ in path if t in ("article", "main", "header", "footer", "aside", "nav", "section")]
     if order:
-        found.add(f"last landmark {order[-1]}")
+        found.update((f"last landmark {order[-1]}", f"landmarks {' '.join(order[-3:])}"))
     hints = [hint for _, hs in path for hint in hs]
     if hints:
-        found.add(f"last hint {hints[-1]}")
+        found.update((f"last hint {hints[-1]}", f"hints {' '.join(hints[-3:])}"))
     return frozenset(found)
 
 
@@ -276,10 +276,10 @@ def labelled_page(random: np.random.Generator) -> list:
     def header():
         def inner():
             if chance(0.7):
-                said(words(1, 4), 0, pick("h1", "div", "p", "span"), 'class="logo"')
+                said(words(1, 4), 0, pick("h1", "div", "p", "span"), pick("", 'class="logo"', 'class="site-title"'))
             if chance(0.6):
                 menu()
-            if chance(0.3):
+            if chance(0.4):
                 said(sentence(), 0)
 
         element(*named("header", "header", "site-header", "masthead", "top-banner"), inner)
