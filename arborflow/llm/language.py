@@ -21,6 +21,7 @@ ROWS_PER_LANGUAGE = 400  # bound of the training sample; two examples are made o
 SNIPPET_WORDS = 12
 EPOCHS, BATCH, RATE = 6, 32, 40.0
 REJECTED_SHARE = 0.0005  # of labelled calibration texts, by the threshold of confidence
+SURE_ENOUGH = 0.4  # the threshold is never above this: who is calibrated to be right so often stays
 UNKNOWN = "und"
 CACHE_WORDS = 1_500_000
 
@@ -87,7 +88,7 @@ def train(examples: list, held: list, languages: list, seed: int = 7) -> Model:
         logits = np.add.reduceat(table[rows] * weights[:, None], starts) + bias
         cost = lambda t: -np.log(_softmax(logits / t)[np.arange(len(gold)), gold] + 1e-12).mean()
         temperature = float(min(np.geomspace(0.2, 5, 41), key=cost))
-        threshold = float(np.quantile(_softmax(logits / temperature).max(axis=1), REJECTED_SHARE))
+        threshold = min(SURE_ENOUGH, float(np.quantile(_softmax(logits / temperature).max(axis=1), REJECTED_SHARE)))
     return Model(languages, table, bias, temperature, threshold)
 
 
