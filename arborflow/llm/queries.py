@@ -63,7 +63,7 @@ def op9_substring_dedup(spark, folder):
 def op10_language_id(spark, folder):
     docs = table(spark, folder, "documents")
     found = language.predict(docs, language.fit(docs))
-    return found.select("doc_id", (language.fold_of("doc_id") == 0).alias("held_out"), "lang_pred", "score", "rejected")
+    return found.select("doc_id", F.coalesce(language.fold_of("doc_id") == 0, F.lit(False)).alias("held_out"), "lang_pred", "score", "rejected")
 
 
 QUERIES = {f.__name__: f for f in (op1_html_text, op2_license_scan, op3_harmonic_packing, op4_simhash_near_dedup, op5_line_dedup, op6_embedding_near_dedup, op7_secret_scan, op8_winnowing_decontamination, op9_substring_dedup, op10_language_id)}
