@@ -29,7 +29,9 @@ CACHE_WORDS = 1_500_000
 def subwords(words: list) -> tuple:
     """Bucket of each subword of the words' letters, and the place of its word; a word without letters has none."""
     texts = [w if w.isalpha() else "".join(filter(str.isalpha, w)) for w in (word.decode().lower() for word in words)]
-    sizes = np.array([len(t) + 2 if t else 0 for t in texts])
+    sizes = np.array([len(t) + 2 if t else 0 for t in texts], np.int64)
+    if not sizes.any():
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     points = np.frombuffer("".join(f"<{t}>" for t in texts if t).encode("utf-32-le"), "<u4").astype(np.uint64)
     owner = np.repeat(np.arange(len(texts)), sizes)
     hashes, owners = [], []
@@ -114,7 +116,7 @@ def _features(batches):
                 for word in part:
                     counts[word] = counts.get(word, 0) + 1
                 rows, owner = subwords(list(counts))
-                total = np.bincount(rows, np.array(list(counts.values()), float)[owner], BUCKETS)
+                total = np.bincount(rows, np.array([*counts.values()], float)[owner], BUCKETS)
                 buckets = np.flatnonzero(total)
                 if len(buckets):
                     for name, value in zip(out, (lang, held, buckets.astype(np.int32), (total[buckets] / total.sum()).astype(np.float32))):
