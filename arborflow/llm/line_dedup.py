@@ -89,3 +89,36 @@ def remove_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
         F.coalesce("__cut.chunks", zero).alias("n_chunks"),
         removed.alias("n_removed_lines"),
     )
+
+
+def remove_repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """All columns of docs, the text without any run of two or more lines that stands earlier in the corpus.
+
+    Every two neighbouring lines that hold more than white space are a seed, so each such run, wherever it begins, is
+    covered by seeds from its first line to its last, and no single line goes. The earlier place, by id and line, may
+    be in the same document if the two do not overlap. Equality is of the two lines' bytes by their SHA-256, so what
+    is shuffled is one digest a line; digests are grouped with map-side combine. Each line that goes stays at its
+    first place in the corpus. Nulls, ids and empty tables are as in remove_repeated_lines.
+    """
+    text = F.col(text_col)
+    document = F.md5(F.concat_ws(":", F.col(id_col).cast("string"), F.md5(text))).alias("__doc")
+    kept_columns = [c for c in docs.columns if c not in ("__doc", "__gone")]
+    source = docs.where(F.contains(text, F.lit("\n"))).select(id_or_last(id_col).alias("rank"), document, F.split(text, "\n", -1).alias("lines"))
+
+    def seeds(lines):
+        pair = lambda i: F.concat_ws("\n", F.get(lines, i), F.get(lines, i + 1))
+        digest = lambda i: let(pair(i), lambda two: F.when(two.rlike(r"\S"), F.unhex(F.sha2(two, 256))))
+        return F.transform(F.sequence(F.lit(0), F.size(lines) - 2), lambda i: F.struct(i.alias("at"), digest(i).alias("key")))
+
+    exploded = source.select("rank", "__doc", F.explode(seeds(F.col("lines"))).alias("s")).select("rank", "__doc", "s.at", "s.key").where(F.col("key").isNotNull())
+    placed = exploded.select("__doc", "at", "key", (F.col("rank").cast("decimal(38,0)") * SHIFT + F.col("at")).cast("decimal(38,0)").alias("place"))
+    repeated = placed.groupBy("key").agg(F.min("place").alias("first"), F.max("place").alias("last")).where(F.col("last") > F.col("first") + 1).select("key", "first")
+    gone = placed.join(repeated, "key").where(F.col("place") > F.col("first") + 1).groupBy("__doc").agg(F.collect_set("at").alias("__gone"))
+
+    def kept(lines):
+        covered = F.array_union("__gone", F.transform("__gone", lambda i: i + 1))
+        return F.array_join(F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), covered), lambda i: F.get(lines, i)), "\n")
+
+    joined = docs.select(*kept_columns, document).join(gone, "__doc", "left")
+    cut = F.when(F.col("__gone").isNull(), text).otherwise(let(F.split(text, "\n", -1), kept))
+    return joined.select(*[cut.alias(c) if c == text_col else F.col(c) for c in kept_columns])
