@@ -91,9 +91,9 @@ NAMES = [
     ("cc", "cc-by-nd", r"cc by nd(?: [1-4] [05])?"),
     ("cc", "cc-by-sa", r"cc by sa(?: [1-4] [05])?"),
     ("cc", "cc-by", r"cc by(?: [1-4] [05])?"),
-    ("noderivatives", "cc-by-nc-nd", r"creative commons attribution non ?commercial no ?derivatives"),
-    ("sharealike", "cc-by-nc-sa", r"creative commons attribution non ?commercial share ?alike"),
-    ("sharealike", "cc-by-sa", r"creative commons attribution share ?alike"),
+    ("commons", "cc-by-nc-nd", r"creative commons attribution non ?commercial no ?derivatives"),
+    ("commons", "cc-by-nc-sa", r"creative commons attribution non ?commercial share ?alike"),
+    ("commons", "cc-by-sa", r"creative commons attribution share ?alike"),
     ("attribution", "cc-by-nc", r"creative commons attribution non ?commercial"),
     ("attribution", "cc-by", r"creative commons attribution"),
     ("creative", "creative-commons", r"creative commons(?: licen[cs]e)?"),
@@ -134,19 +134,24 @@ SENTENCES = [
     (1, 0.6, "confidential", "proprietary", r"confidential and proprietary"),
     (1, 0.6, "copying", "proprietary", r"unauthorized copying of this file"),
     (2, 0.5, "copyright", "copyright", r"copyright (?:c |by )?(?:19|20)\d\d"),
-    (2, 0.4, "licensed", "unnamed-license", r"(?:licensed|licenced) under"),
+    (2, 0.4, "under", "unnamed-license", r"(?:licensed|licenced) under"),
     (2, 0.4, "license", "unnamed-license", r"see (?:the )?license(?: file)?"),
 ]
+GLUED = ("agpl", "bsd", "gpl", "lgpl")  # keywords that also stand inside a word: gplv3, freebsd
 WINDOW = 32  # words from the anchor that a rule may see; no rule needs more
 
 
 def _heads(pattern: str) -> list:
-    """The literal words that a pattern can start with, each with the rest: an alternation in front is opened."""
+    """The words that a pattern can start with, each with the rest: an alternation in front is opened.
+
+    A version that may follow its name without a space (gplv2, gpl2) makes further words.
+    """
     start = re.match(r"\(\?:([a-z0-9| ]+)\)(\??)(.*)$", pattern)
     if not start:
         word, _, rest = pattern.partition(" ")
         plain = re.match(r"[a-z0-9]+", word)
-        return [(plain[0], pattern)]
+        glued = re.match(r"(?:\(\?:)? \?v\?\[?(\d+)", pattern[len(plain[0]) :])
+        return [(plain[0] + end, pattern) for end in ("", *[v + digit for digit in (glued[1] if glued else "") for v in ("", "v")])]
     heads = [head for word in start[1].split("|") for head in _heads(word + start[3])]
     return heads + (_heads(start[3]) if start[2] else [])
 
@@ -163,9 +168,14 @@ def rules() -> dict:
     return found
 
 
+def _keyword(word: str) -> str:
+    """What a window of words between spaces has to contain."""
+    return word if word in GLUED else f" {word} "
+
+
 def _rule_map() -> Column:
     """The rules as one constant."""
-    stated = {a: [dict(zip(("keyword", "pattern", "label", "priority", "weight"), (f" {r[0]} ", *r[1:]))) for r in own] for a, own in rules().items()}
+    stated = {a: [dict(zip(("keyword", "pattern", "label", "priority", "weight"), (_keyword(r[0]), *r[1:]))) for r in own] for a, own in rules().items()}
     return F.from_json(F.lit(json.dumps(stated)), "map<string,array<struct<keyword:string,pattern:string,label:string,priority:int,weight:double>>>")
 
 
