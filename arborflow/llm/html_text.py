@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 
 TOKEN = re.compile(
     r"<!--.*?(?:--!?>|\Z)"
-    r"|<(script|style|noscript|template|svg|iframe|head|textarea|select|object|canvas|math|audio|video)\b(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
+    r"|<(script|style|noscript|template|svg|iframe|head|textarea|select|object|canvas|math|audio|video)(?=[\s/>])(?:[^>\"'=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')?+|[\"'])*+>"
+    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"'=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')?+|[\"'])*+)>"
     r"|<[!?][^>]*>",
     re.S | re.I,
 )
@@ -27,6 +27,9 @@ ATTRIBUTE = re.compile(r"""\b(class|id|role|aria-label)\s*=\s*(?:"([^"]*)"|'([^'
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 CLOSES_P = frozenset("address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split())
+RAW = frozenset("script style textarea iframe".split())
+IN_HEAD = frozenset("base basefont bgsound html link meta noscript script style template title".split())
+BLOCKS = CLOSES_P | frozenset("aside body figure figcaption html li dd dt tr td th tbody thead".split())
 SIBLINGS = {"li": ("li", ("ul", "ol", "menu")), "dt": ("dt", ("dl",)), "dd": ("dd", ("dl",)), "tr": ("tr", ("table",)), "td": ("td", ("tr", "table")), "th": ("th", ("tr", "table")), "option": ("option", ("select",))}
 #: what the words of class, id and role tell; of four letters or more, also as a beginning
 HINTS = {
@@ -56,6 +59,24 @@ def _hints(attributes: str) -> tuple:
     return tuple(sorted(found))
 
 
+def _unclosed(page: str, at: int, element: str) -> int:
+    """Where an element without an end tag ends: at the first tag that a head, or else a phrase, cannot hold.
+
+    As in HTML, nothing ends raw text but its own end tag.
+    """
+    if element in RAW:
+        return len(page)
+    while found := TOKEN.search(page, at):
+        at = found.end()
+        tag = (found[1] or found[3] or "").lower()
+        if element == "head" and tag in IN_HEAD:
+            end = re.compile(rf"</{tag}\s*>", re.I).search(page, at) if tag in ("script", "style", "noscript", "template", "title") and not found[2] else None
+            at = end.end() if end else at
+        elif tag and (element == "head" or tag in BLOCKS):
+            return found.start()
+    return len(page)
+
+
 def blocks(page: str) -> list:
     """(text, path, share of its characters inside links) of each leaf block with text, in page order.
 
@@ -88,11 +109,13 @@ def blocks(page: str) -> list:
         add(page[at : found.start()])
         at = found.end()
         if found[1]:  # its content is no text of the page
-            end = re.compile(rf"</{found[1]}\s*>", re.I).search(page, at)
             close = found[1].lower()
+            if close in ("svg", "math") and found[0].endswith("/>"):
+                continue
+            end = re.compile(rf"</{found[1]}\s*>", re.I).search(page, at)
             if not end and close == "head":
                 end = re.compile(r"(?=<body\b)", re.I).search(page, at)
-            at = end.end() if end else len(page)
+            at = end.end() if end else _unclosed(page, at, close)
             if close not in ("svg", "math", "textarea", "select"):
                 close_block()
             continue
