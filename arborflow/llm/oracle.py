@@ -88,9 +88,45 @@ SELECT vec_id, (SELECT count(*) FROM links WHERE u = vec_id) AS n_links,
 FROM vectors
 """
 
+COLLOCATIONS = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), words AS MATERIALIZED (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), totals AS MATERIALIZED (
+  SELECT lang, CAST(sum(len(w)) AS HUGEINT) AS n FROM words GROUP BY lang
+), grams AS MATERIALIZED (
+  SELECT lang, w, count(*) AS f FROM (
+    SELECT lang, list_slice(w, s, s + m - 1) AS w
+    FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS s FROM words, range(1, 6) AS sizes(m) WHERE len(w) >= m)
+  ) GROUP BY lang, w HAVING count(*) >= 100
+), cuts AS MATERIALIZED (
+  SELECT lang, w, f AS a, k, list_slice(w, 1, k) AS left_part, list_slice(w, k + 1, len(w)) AS right_part
+  FROM (SELECT lang, w, f, unnest(range(1, len(w))) AS k FROM grams WHERE len(w) > 1)
+), scored AS (
+  SELECT c.lang, c.w, c.a, c.k, x.f AS l, y.f AS r, t.n, 1000 * CAST(c.a AS HUGEINT) * t.n // (CAST(x.f AS HUGEINT) * y.f) AS score
+  FROM cuts c JOIN grams x ON x.lang = c.lang AND x.w = c.left_part JOIN grams y ON y.lang = c.lang AND y.w = c.right_part JOIN totals t ON t.lang = c.lang
+), lowest AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, w ORDER BY score, k) = 1
+), longer AS MATERIALIZED (
+  SELECT DISTINCT lang, list_slice(w, s, s + m - 1) AS w, f
+  FROM (SELECT lang, w, f, m, unnest(range(1, len(w) - m + 2)) AS s FROM grams, range(2, 5) AS sizes(m) WHERE len(w) > m)
+), held AS (
+  SELECT lang, w, max(f) AS f FROM longer GROUP BY lang, w
+), kept AS (
+  SELECT o.*, array_to_string(o.w, ' ') AS phrase FROM lowest o LEFT JOIN held h ON h.lang = o.lang AND h.w = o.w
+  WHERE h.f IS NULL OR 100 * h.f < 100 * o.a
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM kept QUALIFY rank <= 2000
+"""
+
 STATEMENTS = {
     "op5_line_dedup": LINES,
     "op6_embedding_near_dedup": EMBEDDINGS,
     "op8_winnowing_decontamination": DECONTAMINATION,
     "op9_substring_dedup": SUBSTRING,
+    "op11_phrase_collocations": COLLOCATIONS,
 }
