@@ -20,11 +20,12 @@ from arborflow.llm.common import NO_ID, by_key
 from arborflow.session import written
 
 SAMPLE, SAMPLE_BYTES = 16_384, 128 << 20  # vectors that the tree is fitted on, and bytes of them
-LEAF_ROWS = 512  # vectors of a leaf that the fit aims at, while a leaf has LEAF_SAMPLE of the sample
+LEAF_ROWS = 2_048  # vectors of a leaf that the fit aims at, while a leaf has LEAF_SAMPLE of the sample
 LEAF_SAMPLE = 16
 BRANCHES, ROUNDS = 8, 8  # children of a node; rounds of k-means
 CALIBRATION, RECALL = 256, 0.98  # queries that set the number of visits, and the share that they have to find
 TILE_ROWS = 8_192  # a leaf's vectors that a task compares at a time
+HELD_QUERIES = 50_000  # whose best rows a task adds up before it passes them on
 
 
 def units(vectors: np.ndarray) -> np.ndarray:
@@ -175,7 +176,7 @@ def _calibrate(tree: Tree, nodes: DataFrame, queries: list, vectors: np.ndarray,
     return int(needed[int(np.ceil(RECALL * len(needed))) - 1]) if len(needed) else tree.leaves
 
 
-def _placed(tree, kind, leaf_rows):
+def _placed(tree, kind):
     """Each vector's leaf and tile of its leaf."""
 
     def run(batches):
@@ -207,30 +208,32 @@ def _visited(tree, kind, tiles, leaf_rows, least, rows):
 
 
 def _compared(kind, kept):
-    """The best `kept` rows of each tile for each query that visits it."""
+    """The best `kept` rows for each query among the tiles of a task that it visits."""
     schema = pa.schema([("query", pa.binary()), ("score", pa.float64()), ("vec_id", pa.int64()), ("own", pa.bool_())])
 
+    def out(best):
+        rows = [(query, -far, i, own) for query, found in best.items() for far, i, own in found]
+        columns = list(zip(*rows)) or [()] * len(schema)
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+
     def run(batches):
+        best: dict = {}  # (-score, vec_id, own) of each query, best first
+
+        def compare(queries, nodes, ids, matrix):
+            asked = units(np.frombuffer(b"".join(q["vector"] for q in queries), kind).reshape(len(queries), -1).astype("<f8"))
+            for query, vector, cosine in zip(queries, asked, asked @ matrix.T):
+                found = best.get(query["node"], [])
+                least = -found[-1][0] if len(found) == kept else -2.0
+                if len(cosine) > kept:
+                    least = max(least, np.partition(cosine, -kept)[-kept])
+                at = np.flatnonzero(cosine >= least - 1e-12)  # all that tie with the last
+                score = np.einsum("ij,j->i", matrix[at], vector)
+                score[[nodes[i] == query["node"] for i in at]] = 1.0
+                here = [(-s, i, nodes[a] == query["node"]) for a, s in zip(at.tolist(), np.clip(score, -1, 1).tolist()) for i in ids[a]]
+                best[query["node"]] = sorted(found + here)[:kept]
+
         for _, rows in by_key(batches, "tile"):
-            nodes, ids, points, held = [], [], [], []
-
-            def block(queries):
-                asked = units(np.frombuffer(b"".join(q["vector"] for q in queries), kind).reshape(len(queries), -1).astype("<f8"))
-                rough = asked @ matrix.T
-                out = {n: [] for n in schema.names}
-                for query, vector, cosine in zip(queries, asked, rough):
-                    at = np.arange(len(cosine))
-                    if len(cosine) > kept:
-                        at = np.flatnonzero(cosine >= np.partition(cosine, -kept)[-kept] - 1e-12)  # all that tie with the last
-                    score = np.einsum("ij,j->i", matrix[at], vector)
-                    score[[nodes[i] == query["node"] for i in at]] = 1.0
-                    best = sorted((-s, i, nodes[a] == query["node"]) for a, s in zip(at.tolist(), np.clip(score, -1, 1).tolist()) for i in ids[a])[:kept]
-                    for s, i, own in best:
-                        for name, value in zip(schema.names, (query["node"], -s, i, own)):
-                            out[name].append(value)
-                return pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in schema], schema=schema)
-
-            matrix = None
+            nodes, ids, points, held, matrix = [], [], [], [], None
             for row in rows:
                 if not row["query"]:
                     nodes.append(row["node"])
@@ -243,10 +246,14 @@ def _compared(kind, kept):
                     matrix = units(np.frombuffer(b"".join(points), kind).reshape(len(points), -1).astype("<f8"))
                 held.append(row)
                 if len(held) == 256:
-                    yield block(held)
+                    compare(held, nodes, ids, matrix)
                     held = []
             if held:
-                yield block(held)
+                compare(held, nodes, ids, matrix)
+            if len(best) > HELD_QUERIES:
+                yield out(best)
+                best.clear()
+        yield out(best)
 
     return run
 
@@ -283,7 +290,7 @@ def search(table: DataFrame, wanted: Column, near: int = 5, id_col: str = "vec_i
     tree = Tree(points, count)
     shared = spark.sparkContext.broadcast(tree)  # at most 2 * SAMPLE / LEAF_SAMPLE centres
 
-    placed = nodes.mapInArrow(_placed(shared, kind, None), "node binary, vector binary, ids array<long>, leaf long")
+    placed = nodes.mapInArrow(_placed(shared, kind), "node binary, vector binary, ids array<long>, leaf long")
     placed = written(placed, "vectors-leaves")
     leaf_rows = np.zeros(tree.leaves, np.int64)
     for row in placed.groupBy("leaf").count().collect():  # one row per leaf

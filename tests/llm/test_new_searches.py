@@ -79,6 +79,7 @@ def test_vector_search_recall(spark, monkeypatch):
     """A tree of many leaves, with tiles, groups of copies and repeated ids."""
     monkeypatch.setattr(vector_tree, "LEAF_ROWS", 64)
     monkeypatch.setattr(vector_tree, "TILE_ROWS", 32)
+    monkeypatch.setattr(vector_tree, "HELD_QUERIES", 10)
     draw = np.random.default_rng(1)
     centres = draw.normal(size=(60, 24))
     vectors = np.concatenate([(centres[draw.integers(60, size=4_000)] + 0.4 * draw.normal(size=(4_000, 24))), np.repeat(centres[:2], 300, axis=0)])
