@@ -18,16 +18,15 @@ each shuffle once, and lets a lost executor cost a re-read instead of the whole
 """
 
 from collections import namedtuple
-from itertools import groupby
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from arborflow.constants import DEAD_LETTER_TOPIC
 from arborflow.functions import ids
-from arborflow.functions.runs import in_runs
+from arborflow.functions.runs import sequence
+from arborflow.operators.endpoints import foreign_endpoints
 from arborflow.session import empty_table, written
 
 NODE_TABLE = (
@@ -76,11 +75,6 @@ def empty_graph(spark) -> dict[str, DataFrame]:
     return {name: empty_table(spark, schema) for name, schema in GRAPH_TABLES.items()}
 
 
-def sequence(partition: Column, offset: Column) -> Column:
-    """Arrival order within a topic as one number: partition first, then offset."""
-    return F.shiftleft(partition.cast("bigint"), 48) + offset
-
-
 def _parsed(records: DataFrame, schema: str, payload: str, required: dict):
     """(well-formed events with seq and generation_id, dead letters)."""
     event = F.from_json("value", schema)
@@ -215,56 +209,10 @@ def mark_entombed_endpoints(events: DataFrame, node_tombstones: DataFrame) -> Da
     return events.withColumn("entombed", marked).drop("_source_id", "_target_id")
 
 
-def _foreign_endpoint_rows(batches):
-    """Stream sorted events of edges with several endpoint pairs; yield (edge_id, seq) of the dead letters.
-
-    Holds one edge at a time: its living endpoints and generation, and the generations deleted so far.
-    """
-    for edge_id, history in groupby(
-        (row for batch in batches for row in zip(*[c.to_pylist() for c in batch.columns])), key=lambda r: r[0]
-    ):
-        alive, deleted, dead = None, set(), []
-        for _, seq, is_delete, source, target, generation, entombed, refused, _ in history:
-            if alive and (source not in (None, alive[0]) or target not in (None, alive[1])):
-                dead.append(seq)
-            elif entombed:
-                continue
-            elif is_delete:
-                deleted.add(generation)
-                alive = None if alive and alive[2] == generation else alive
-            elif not refused and generation not in deleted:
-                alive = (source, target, generation)
-        if dead:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([edge_id] * len(dead), pa.string()), pa.array(dead, pa.int64())], names=["edge_id", "seq"]
-            )
-
-
-def foreign_endpoints(rows: DataFrame, edge_tombstones: DataFrame) -> DataFrame:
-    """(edge_id, seq) of events that name other endpoints than the living edge has at that moment.
-
-    Only an edge seen with more than one endpoint pair can have any. An edge id is a digest of its endpoints, so
-    such edges come from faulty producers only; theirs is the one history read event by event.
-    """
-    mixed = (
-        rows.groupBy("edge_id")
-        .agg(*[f(c).alias(f"{f.__name__}_{c}") for c in ("source_id", "target_id") for f in (F.min, F.max)])
-        .where("min_source_id <> max_source_id OR min_target_id <> max_target_id")
-        .select("edge_id")
-    )
-    refused = edge_tombstones.select(F.col("id").alias("edge_id"), "generation_id", F.lit(True).alias("refused")).distinct()
-    history = (
-        rows.join(mixed, "edge_id", "left_semi")
-        .join(refused, ["edge_id", "generation_id"], "left")
-        .select("edge_id", "seq", "is_delete", "source_id", "target_id", "generation_id", "entombed", F.coalesce("refused", F.lit(False)))
-    )
-    return in_runs(history, ["edge_id"], "seq").mapInArrow(_foreign_endpoint_rows, "edge_id string, seq bigint")
-
-
 def fold_edges(
-    edges: DataFrame, tombstones: DataFrame, folded: FoldedNodes, events: DataFrame, run_length=RUN_LENGTH
+    edges: DataFrame, tombstones: DataFrame, folded: FoldedNodes, events: DataFrame, run_length=RUN_LENGTH, short_history=None
 ) -> FoldedEdges:
-    """Apply edge events after the node fold of the same batch."""
+    """Apply edge events after the node fold of the same batch; short_history: see foreign_endpoints."""
     columns = edges.columns
     remaining = detach(edges, folded.detached)
     touched = events.select("edge_id").distinct()
@@ -280,7 +228,7 @@ def fold_edges(
     )
     arrived = written(arrived, "edge-events")
     rows = stored.unionByName(arrived)
-    foreign = written(foreign_endpoints(rows, tombstones), "foreign-endpoints")
+    foreign = written(foreign_endpoints(rows, tombstones, run_length, short_history), "foreign-endpoints")
     dead = arrived.join(foreign, ["edge_id", "seq"], "left_semi").select(
         F.lit(DEAD_LETTER_TOPIC).alias("topic"),
         "key",
@@ -342,8 +290,13 @@ def with_placeholders(nodes: DataFrame, applied: DataFrame) -> DataFrame:
 
 def fold_graph(graph: dict[str, DataFrame], node_records: DataFrame, edge_records: DataFrame, run_length=RUN_LENGTH):
     """One batch of both topics onto the four graph tables: (new tables, dead letters)."""
-    n_events, n_dead = node_events(node_records)
-    e_events, e_dead = edge_events(edge_records)
+    return fold_events(graph, node_events(node_records), edge_events(edge_records), run_length)
+
+
+def fold_events(graph: dict[str, DataFrame], of_nodes, of_edges, run_length=RUN_LENGTH):
+    """The same from what node_events and edge_events return. The tables need to hold what touched_keys names only."""
+    n_events, n_dead = of_nodes
+    e_events, e_dead = of_edges
     nodes = fold_nodes(graph["nodes"], graph["node_tombstones"], n_events, run_length)
     edges = fold_edges(graph["edges"], graph["edge_tombstones"], nodes, e_events, run_length)
     tables = {
@@ -354,3 +307,19 @@ def fold_graph(graph: dict[str, DataFrame], node_records: DataFrame, edge_record
     }
     routed = n_dead.unionByName(e_dead).withColumn("topic", F.lit(DEAD_LETTER_TOPIC))
     return tables, routed.unionByName(edges.dead_letters)
+
+
+def touched_keys(edges: DataFrame, n_events: DataFrame, e_events: DataFrame) -> dict[str, DataFrame]:
+    """Keys that a fold of the events may read or change, per table; `edges` are all stored ones.
+
+    Nodes: those with events and the ends of edges with events. Edges: those with events and those that end in a node
+    with a delete.
+    """
+    ends = e_events.select(F.explode(F.array("source_id", "target_id")).alias("id"))
+    nodes = n_events.select(F.col("node_id").alias("id")).unionByName(ends).distinct()
+    deleted = n_events.where("event_type = 'NODE_DELETE'").select("node_id").distinct()
+    own = e_events.select("edge_id")
+    for end in ("source_id", "target_id"):
+        own = own.unionByName(edges.select("edge_id", F.col(end).alias("node_id")).join(deleted, "node_id", "left_semi").select("edge_id"))
+    own = own.distinct()
+    return {"nodes": nodes, "node_tombstones": nodes, "edges": own, "edge_tombstones": own}

@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from arborflow.operators import fold, quality
+from arborflow.operators import endpoints, fold, quality
 from arborflow.sources.records import RECORD_SCHEMA
 
 BASE = {
@@ -124,7 +124,7 @@ def replay(events):
         item = body["edge"]
         key, ends = item["edge_id"], (item.get("source_id"), item.get("target_id"))
         alive = edges.get(key)
-        if alive and ends[0] and alive["ends"] != ends:
+        if alive and any(e not in (None, a) for e, a in zip(ends, alive["ends"])):
             dead.append(seq)
         elif (ends[0], generation) in buried or (ends[1], generation) in buried:
             pass
@@ -140,22 +140,30 @@ def replay(events):
     return nodes, edges, buried, edge_buried, sorted(dead)
 
 
-def test_fold_equals_replay(spark, run_length=4):
-    pick = random.Random(7)
+def random_events(pick, pairs):
+    """A third of all events hit one entity; a share of the edge events, deletes too, names other endpoints."""
     events = []
     for _ in range(900):
-        # A third of all events hit one entity.
         who = "0" if pick.random() < 0.34 else str(pick.randrange(1, 12))
-        content, props = f"h{pick.randrange(5)}", {pick.choice("xyz"): pick.randrange(9)}
+        content, props = f"h{pick.randrange(5 if pairs == 3 else 60)}", {pick.choice("xyz"): pick.randrange(9)}
         if pick.random() < 0.5:
             kind = "DELETE" if pick.random() < 0.3 else "UPSERT"
             events.append(node(kind, f"n{who}", content, **({"properties": props} if kind == "UPSERT" else {})))
         else:
-            ends = (f"n{who}", f"n{pick.randrange(3) if pick.random() < 0.1 else who}")
+            ends = (f"n{who}", f"n{pick.randrange(pairs) if pick.random() < (0.1 if pairs == 3 else 0.7) else who}")
             if pick.random() < 0.3:
-                events.append(edge("DELETE", f"e{who}", content, *(ends if pick.random() < 0.3 else ())))
+                named = pick.choice([ends, ends, (ends[0], None), (None, ends[1]), (), (), ()])
+                events.append(edge("DELETE", f"e{who}", content, **{k: v for k, v in zip(("source_id", "target_id"), named) if v}))
             else:
                 events.append(edge("UPSERT", f"e{who}", content, *ends, properties=props))
+    return events
+
+
+@pytest.mark.parametrize("seed, pairs, short_history, run_length", [(7, 3, 512, 4), (7, 3, 0, 4), (8, 4, 40, 16), (9, 6, 0, 4)])
+def test_fold_equals_replay(spark, monkeypatch, seed, pairs, short_history, run_length):
+    """Short histories folded in a row, long ones by pointers over runs of four records, or some of both."""
+    monkeypatch.setattr(endpoints, "SHORT_HISTORY", short_history)
+    events = random_events(random.Random(seed), pairs)
     rows, dead = run(spark, fold.empty_graph(spark), events, run_length)
     nodes, edges, buried, edge_buried, refused = replay(events)
     text = lambda properties: {k: str(v) for k, v in properties.items()}
@@ -168,7 +176,7 @@ def test_fold_equals_replay(spark, run_length=4):
     }
     assert {(r[0], r[1].split(":")[1]) for r in rows["node_tombstones"]} == buried
     assert {(r[0], r[1].split(":")[1]) for r in rows["edge_tombstones"]} == edge_buried
-    assert sorted(d[2] for d in dead) == refused
+    assert sorted(d[2] for d in dead) == refused and len(refused) > 10
 
 
 def test_unique_keys(spark):
