@@ -31,8 +31,12 @@ def classify(files: DataFrame, state: DataFrame, parser_version=PARSER_VERSION,
 
 
 def removed_ids(previous: DataFrame, current: DataFrame, keys: list[str]) -> DataFrame:
-    """Recorded entities the current graph no longer has; nothing recorded, nothing removed."""
-    return previous.select(keys).distinct().join(current.select(keys), keys, "left_anti")
+    """Recorded entities the current graph no longer has; nothing recorded, nothing removed.
+
+    Repeats go after the join: for a small change Spark broadcasts the current ids, and the recorded ones stay where
+    they are.
+    """
+    return previous.select(keys).join(current.select(keys), keys, "left_anti").distinct()
 
 
 def graph_diff(previous: DataFrame, current: DataFrame, keys: list[str]):

@@ -5,6 +5,7 @@ from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from arborflow.constants import ALL_PYTHON, NOT_INCLUDED_REASON, SCOPES, Scope
 from arborflow.functions.paths import matches_glob
@@ -19,8 +20,9 @@ MANIFEST_COLUMNS = [
     "included",
     "exclusion_reason",
 ]
-# Rows of one ordered run checked together; a run's edges are compared in a second, far smaller pass.
+# Rows of one ordered run checked together; a run's edges are compared in further, far smaller passes.
 RUN_LENGTH = 100_000
+FAN = 10_000  # runs, and runs of runs, looked at together
 
 
 def resolved(name: str, scopes=SCOPES) -> Scope:
@@ -79,26 +81,27 @@ def write_manifest(manifest: DataFrame, path: str) -> None:
     manifest.orderBy("file_path").write.mode("overwrite").json(path)
 
 
-def out_of_order(rows: DataFrame, value: Column, position: Column, keys=(), run_length=RUN_LENGTH) -> DataFrame:
+def out_of_order(rows: DataFrame, value: Column, position: Column, keys=(), run_length=RUN_LENGTH, fan=FAN) -> DataFrame:
     """Count, per key, of rows whose value is not above that of the row before it.
 
-    One key may hold most of the rows, so order is checked in two levels: inside runs of consecutive positions,
-    which spread over the cluster, then between the last row of a run and the first of the next.
+    One key may hold most of the rows, so order is checked in levels: inside runs of consecutive positions, which
+    spread over the cluster, then between the last row of a run and the first of the next, inside runs of runs, and
+    once more; what is left for one task is a row per run_length * fan * fan positions.
     """
     keys = list(keys)
-    numbered = rows.select(*keys, value.alias("_v"), position.cast("bigint").alias("_p")).withColumn(
-        "_run", F.floor(F.col("_p") / run_length)
-    )
-    inside = Window.partitionBy(*keys, "_run").orderBy("_p")
-    previous = F.lag("_v").over(inside)
-    runs = (
-        numbered.withColumn("_bad", F.when(previous >= F.col("_v"), 1).otherwise(0))
-        .groupBy(*keys, "_run")
-        .agg(F.sum("_bad").alias("_bad"), F.min_by("_v", "_p").alias("_first"), F.max_by("_v", "_p").alias("_last"))
-    )
-    across = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("_run")
-    jump = F.when(F.lag("_last").over(across) >= F.col("_first"), 1).otherwise(0)
-    checked = runs.withColumn("_bad", F.col("_bad") + jump)
+    value, position = value.alias("_first"), position.cast("bigint").alias("_at")
+    level = rows.select(*keys, value, position).withColumns({"_last": F.col("_first"), "_bad": F.lit(0).cast("bigint")})
+    jump = lambda window: F.col("_bad") + F.when(F.lag("_last").over(window) >= F.col("_first"), 1).otherwise(0)
+    for width in (run_length, fan, fan):
+        level = level.withColumn("_run", F.floor(F.col("_at") / width))
+        inside = Window.partitionBy(*keys, "_run").orderBy("_at")
+        level = (
+            level.withColumn("_bad", jump(inside))
+            .groupBy(*keys, "_run")
+            .agg(F.sum("_bad").alias("_bad"), F.min_by("_first", "_at").alias("_first"), F.max_by("_last", "_at").alias("_last"))
+            .withColumnRenamed("_run", "_at")
+        )
+    checked = level.withColumn("_bad", jump(Window.partitionBy(*(keys or [F.lit(0)])).orderBy("_at")))
     return (checked.groupBy(*keys) if keys else checked.groupBy()).agg(
         F.coalesce(F.sum("_bad"), F.lit(0)).cast("bigint").alias("out_of_order")
     )
@@ -178,3 +181,44 @@ def set_difference(left: DataFrame, right: DataFrame) -> DataFrame:
 def missing_from(part: DataFrame, whole: DataFrame, key="file_path") -> DataFrame:
     """Rows of `part` whose key `whole` lacks; empty when `part` is a subset."""
     return part.join(whole.select(key), key, "left_anti")
+
+
+def _hashed(column: str, kind) -> list[Column]:
+    """What the row hash takes of a column: its value, and whether it is there, as hashes pass over nulls."""
+    value = F.col(f"`{column}`")
+    if isinstance(kind, T.MapType):
+        value = F.array_sort(F.map_entries(value))
+    elif isinstance(kind, (T.FloatType, T.DoubleType)):
+        value = value + F.lit(0.0)  # no negative zero
+    nested = isinstance(kind, (T.ArrayType, T.StructType, T.MapType))
+    return [F.to_json(F.struct(value.alias("v")), {"ignoreNullFields": "false"}) if nested else value, value.isNull()]
+
+
+def multiset_digest(rows: DataFrame, group=()) -> DataFrame:
+    """One row (per group): `rows` and a `digest` of all rows as a multiset, whatever their order, in one aggregate.
+
+    Each row has a hash of 128 bits; the digest is of their number, sums and exclusive ors, so repeated rows count and
+    two halves can be added up. Columns go in by name. Equal tables have equal digests; unequal ones differ but for a
+    chance that no table of real size reaches.
+    """
+    group = list(group)
+    parts = [p for f in sorted(rows.schema.fields, key=lambda f: f.name) if f.name not in group for p in _hashed(f.name, f.dataType)]
+    hashed = rows.select(*group, *[F.xxhash64(F.lit(seed), *parts).alias(f"_h{seed}") for seed in (1, 2)])
+    sums = [F.sum(F.col(h).cast("decimal(20,0)")).alias(f"{h}_sum") for h in ("_h1", "_h2")]
+    xors = [F.bit_xor(h).alias(f"{h}_xor") for h in ("_h1", "_h2")]
+    grouped = (hashed.groupBy(*group) if group else hashed.groupBy()).agg(F.count("*").alias("rows"), *sums, *xors)
+    told = F.concat_ws(",", *[F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in grouped.columns if c not in group])
+    return grouped.select(*group, "rows", F.sha2(told, 256).alias("digest"))
+
+
+def same_runs(rows: DataFrame, run: str) -> DataFrame:
+    """run, rows and same_as: the smallest run with just the same rows, as often each. One aggregate over the rows."""
+    digests = multiset_digest(rows, [run])
+    first = digests.groupBy("rows", "digest").agg(F.min(run).alias("same_as"))
+    return digests.join(first, ["rows", "digest"]).select(run, "rows", "same_as")
+
+
+def run_difference(left: DataFrame, right: DataFrame) -> DataFrame:
+    """set_difference of two runs, but only if their digests differ: equal runs are told by one aggregate each."""
+    one, other = (multiset_digest(side).first() for side in (left, right))
+    return set_difference(left, right).limit(0) if one == other else set_difference(left, right)

@@ -12,11 +12,13 @@ from arborflow.operators import calls, diff, events, graph, manifest, state, val
 from arborflow.operators.flatten import flatten, parse_errors
 from arborflow.session import work_tables, written
 from arborflow.sources.files import check_sources, identify, measure_sources, read_sources, scan_files
-from arborflow.sources.snapshots import current_version, read_tables, write_tables
+from arborflow.sources.buckets import BUCKETS, Change, Store, touched_buckets
 
 Run = namedtuple("Run", "results events state summary replay")
 _MEASURED = ("size_bytes", "line_count")
 TO_PARSE = ("NEW", "CHANGED", "VERSION_REFRESH")
+WAVES = 16  # ranges of paths that a run with fail_fast parses one after the other
+DIGESTS = "version bigint, name string, rows bigint, digest string"
 
 
 class Sources(NamedTuple):
@@ -62,12 +64,35 @@ def _stamped(sources, repository_id, commit_sha):
     return identify(sources.withColumns(stamps), repository_id)
 
 
-def process(sources: Sources, previous: dict[str, DataFrame], publish=None, limit=None, fail_fast=False, only=None, when=None) -> Run:
+def _parsed_in_waves(sources: Sources, changed: DataFrame, unread: DataFrame) -> DataFrame:
+    """Flattened rows of the changed files, by ranges of paths one after the other, until one of them has a failure.
+
+    Files beyond the first that could not be read are not parsed at all, nor are those of ranges after a failing one.
+    """
+    first = unread.agg(F.min("file_path")).first()[0]
+    if first is not None:
+        changed = changed.where(F.col("file_path") < first)
+    ranged = changed.select("file_id", "file_path").repartitionByRange(WAVES, "file_path").withColumn("wave", F.spark_partition_id())
+    ranged = written(ranged, "waves")
+    flat = None
+    for wave in range(WAVES):
+        files = ranged.where(F.col("wave") == wave).drop("wave")
+        if wave and files.isEmpty():
+            continue
+        rows = written(flatten(sources.read(files), counted=True), "flat")
+        flat = rows if flat is None else flat.unionByName(rows)
+        if not parse_errors(rows).isEmpty():
+            break
+    return flat
+
+
+def process(sources: Sources, previous: dict[str, DataFrame], publish=None, limit=None, fail_fast=False, only=None, when=None, narrowed=None) -> Run:
     """Parse what changed, publish its events, return the next state.
 
     `publish` gets the events of the run; an exception in it leaves the state as it was. A file with an event that
     breaks its contract sends an error event instead of all its events. Failed files keep their old state and graph. With fail_fast, files after the first failed
-    one (by path) are left for the next run.
+    one (by path) are left for the next run. `narrowed` gives, for the rows to parse, the part of `previous` that holds
+    them; the state of the run is then that part's.
     """
     files = sources.measured
     if only is not None:
@@ -80,23 +105,25 @@ def process(sources: Sources, previous: dict[str, DataFrame], publish=None, limi
     # Narrow rows decide what to parse; only the files that changed are read.
     classified = written(diff.classify(files, previous["files"]), "classified")
     changed = classified.where(F.col("change").isin(*TO_PARSE))
-    flat = written(flatten(sources.read(changed.select("file_id", "file_path"))), "flat")
+    unread = classified.where("change = 'FAILED'").withColumn("message", F.col("read_error")).withColumn("error_type", F.lit("ReadFileError"))
+    flat = _parsed_in_waves(sources, changed, unread) if fail_fast else written(flatten(sources.read(changed.select("file_id", "file_path")), counted=True), "flat")
     failures = parse_errors(flat)
-    read_failures = classified.where("change = 'FAILED'").withColumn("message", F.col("read_error")).withColumn("error_type", F.lit("ReadFileError"))
     syntax = classified.join(failures, "file_id").withColumn("error_type", F.substring_index("message", " in ", 1))
-    failed = read_failures.unionByName(syntax)
+    failed = unread.unionByName(syntax)
     if fail_fast:
         first = failed.agg(F.min("file_path")).first()[0]
         if first is not None:
             up_to = F.col("file_path") <= first
             classified, changed, failed = classified.where(up_to), changed.where(up_to), failed.where(up_to)
+    if narrowed is not None:
+        previous = narrowed(changed)
     parsed = changed.join(failures.select("file_id"), "file_id", "left_anti")
     wanted = lambda rows: rows.join(parsed.select("file_id"), "file_id", "left_semi")
 
     rows = wanted(flat)
     resolved = written(calls.resolve_calls(rows), "calls")
     nodes, edges = written(graph.graph_nodes(rows, resolved), "nodes"), written(graph.graph_edges(rows, resolved), "edges")
-    stats = graph.file_stats(parsed, rows, nodes, edges)
+    stats = graph.file_stats(parsed, rows, resolved)
     gone_nodes = diff.removed_ids(wanted(previous["nodes"]), nodes, ["file_id", "node_id"])
     gone_edges = diff.removed_ids(wanted(previous["edges"]), edges, ["file_id", "edge_id"])
     about = parsed.select("file_id", "repository_id", "commit_sha", "file_path", "content_hash", "previous_hash")
@@ -120,14 +147,38 @@ def process(sources: Sources, previous: dict[str, DataFrame], publish=None, limi
     return Run(results, outgoing, following, events.run_summary(results, discovered), replay)
 
 
-def run(sources: Sources, store: str, publish, **options) -> dict:
-    """process() on the state at `store`: publish first, then record the new state as its next version.
+def _digests(made: Run, version: int) -> DataFrame:
+    """Digests of what a run sent and kept, without times: equal for equal runs, see manifest.run_difference."""
+    tables = {"events": made.events.select("topic", "key", "event_type", "event_id"), "nodes": made.state["nodes"], "edges": made.state["edges"]}
+    rows = None
+    for name, table in tables.items():
+        row = manifest.multiset_digest(table).select(F.lit(version).cast("bigint").alias("version"), F.lit(name).alias("name"), "rows", "digest")
+        rows = row if rows is None else rows.unionByName(row)
+    return rows
+
+
+def read_digests(spark: SparkSession, store: str) -> DataFrame:
+    """Version, table, number of rows and digest of each recorded run."""
+    return spark.read.schema(DIGESTS).parquet(f"{store}/digests")
 
-    When publishing fails nothing is recorded, and the next run sends the same events under the same ids again.
+
+def run(sources: Sources, store: str, publish, buckets: int = BUCKETS, **options) -> dict:
+    """process() on the state at `store`: publish first, then record the new state of the files that changed.
+
+    When publishing fails nothing is recorded, and the next run sends the same events under the same ids again. Of
+    the recorded ids only the buckets of files to parse are read, and only those are rewritten.
     """
     spark = sources.measured.sparkSession
-    done = current_version(spark, store)
+    kept = Store(spark, store, state.STATE_TABLES, {name: "file_id" for name in state.STATE_TABLES}, buckets)
+    touched: list = []
+
+    def narrowed(changed):
+        touched.extend(touched_buckets(changed.select("file_id"), kept.buckets))
+        return kept.read({name: touched for name in state.STATE_TABLES})
+
     with work_tables(spark):
-        made = process(sources, read_tables(spark, store, state.STATE_TABLES), publish, **options)
-        write_tables(made.state, store, 0 if done is None else done + 1)
+        made = process(sources, kept.read(), publish, narrowed=narrowed, **options)
+        told = _digests(made, 0 if kept.version is None else kept.version + 1).collect()  # three rows
+        kept.commit({name: Change(rows, "file_id", touched) for name, rows in made.state.items()})
+        spark.createDataFrame(told, DIGESTS).coalesce(1).write.mode("append").parquet(f"{store}/digests")
         return made.summary.first().asDict()

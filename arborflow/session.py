@@ -51,6 +51,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder of the shared folder."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 @contextmanager
 def work_tables(spark: SparkSession):
     """Removes, at its end, what `written` wrote inside it in this thread; results have to be stored by then."""
@@ -61,8 +67,7 @@ def work_tables(spark: SparkSession):
         yield
     finally:
         for path in _open.scopes.pop():
-            place = spark._jvm.org.apache.hadoop.fs.Path(path)
-            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+            remove(spark, path)
 
 
 def empty_table(spark: SparkSession, schema: str) -> DataFrame:

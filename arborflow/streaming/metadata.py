@@ -1,9 +1,10 @@
 """Metadata topic -> one statistics row per file."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from arborflow.operators.metadata import TABLE_SCHEMA, merge_metadata, metadata_events
-from arborflow.sources.snapshots import current_version, read_tables, write_tables
+from arborflow.session import work_tables, written
+from arborflow.sources.buckets import BUCKETS, Change, Store, touched_buckets
 
 
 def with_trigger(writer, processing_time=None, available_now=False):
@@ -30,19 +31,26 @@ def mongodb_writer(records: DataFrame, checkpoint: str, uri: str, database: str,
     return with_trigger(writer.options(**options), **trigger)
 
 
-def table_writer(records: DataFrame, checkpoint: str, path: str, **trigger):
-    """The same into a snapshot table: each micro-batch is merged by file_id. A repeated batch is a no-op."""
+def _store(spark: SparkSession, path: str, buckets: int = BUCKETS) -> Store:
+    return Store(spark, path, {"files": TABLE_SCHEMA}, {"files": "file_id"}, buckets)
 
-    def merge(batch: DataFrame, batch_id: int):
-        spark = batch.sparkSession
-        done = current_version(spark, path)
-        if done is None or done < batch_id:
-            table = read_tables(spark, path, {"files": TABLE_SCHEMA})["files"]
-            write_tables({"files": merge_metadata(table, batch)}, path, batch_id)
 
-    writer = records.writeStream.option("checkpointLocation", checkpoint).outputMode("append").foreachBatch(merge)
-    return with_trigger(writer, **trigger)
+def merge_batch(records: DataFrame, path: str, buckets: int = BUCKETS) -> None:
+    """Merge the records that the table does not have yet by file_id; only the buckets of their files are rewritten."""
+    spark = records.sparkSession
+    store = _store(spark, path, buckets)
+    with work_tables(spark):
+        fresh = written(store.new_records(records), "metadata-records")
+        touched = touched_buckets(metadata_events(fresh).select("file_id"), store.buckets)
+        rows = merge_metadata(store.read({"files": touched})["files"], fresh)
+        store.commit({"files": Change(rows, "file_id", touched)}, fresh)
+
+
+def table_writer(records: DataFrame, checkpoint: str, path: str, buckets: int = BUCKETS, **trigger):
+    """The same into a table in hash buckets: each micro-batch is merged by file_id."""
+    writer = records.writeStream.option("checkpointLocation", checkpoint).outputMode("append")
+    return with_trigger(writer.foreachBatch(lambda batch, _: merge_batch(batch, path, buckets)), **trigger)
 
 
 def read_metadata(spark, path: str) -> DataFrame:
-    return read_tables(spark, path, {"files": TABLE_SCHEMA})["files"]
+    return _store(spark, path).read()["files"]

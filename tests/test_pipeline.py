@@ -3,15 +3,17 @@
 import hashlib
 import json
 import os
+from functools import partial
 
 import pytest
 from pyspark.sql import functions as F
 
-from arborflow.operators import events, state
+from arborflow.operators import diff, events, state
 from arborflow.operators.flatten import flatten
 from arborflow.plans import pipeline
 from arborflow.session import work_tables, written
 from arborflow.sources.files import measure_sources, read_sources, resolve_root, scan_files
+from arborflow.sources.files import scan_files as list_files
 from arborflow.streaming.graph import fold_batch, read_dead_letters, read_graph
 
 FILES = {
@@ -51,6 +53,36 @@ def test_scan_and_manifest(spark, tree):
         resolve_root(str(tree), "nowhere")
 
 
+@pytest.mark.parametrize("budget", [1, 7, 20_000])
+def test_listing_in_rounds(spark, tmp_path, budget):
+    """A deep chain, a wide folder and a wide tree, from a plain path and from a URI."""
+    top = tmp_path / "wide"
+    for folder in ["/".join("abcdefgh"), "flat", *[f"t{i}/{j}" for i in range(4) for j in range(3)], ".git", "__pycache__"]:
+        (top / folder).mkdir(parents=True)
+        for i in range(40 if folder == "flat" else 1):
+            (top / folder / f"_f{i}.py").write_text("x = 1\n")
+    (top / "flat" / "dangling.py").symlink_to(top / "nowhere")
+    (top / "loop").symlink_to(top)
+    want = sorted(str(p.relative_to(top)) for p in top.rglob("*.py") if not {".git", "__pycache__"} & set(p.relative_to(top).parts) and "loop" not in p.parts)
+    scan_files = partial(list_files, prune={".git", "__pycache__"})
+    rows = scan_files(spark, str(top), budget=budget).collect()
+    assert sorted(r.file_path for r in rows) == want
+    assert {r.file_path: r.size_bytes for r in rows}["flat/dangling.py"] == 0
+    inside = sorted(r.file_path for r in scan_files(spark, f"file://{top}", "t1", budget=budget).collect())
+    assert inside == [p for p in want if p.startswith("t1/")]
+    measured = measure_sources(scan_files(spark, f"file://{top}", "t1", budget=budget), f"file://{top}").collect()
+    assert {(r.line_count, r.read_error) for r in measured} == {(1, None)}
+    assert read_sources(scan_files(spark, f"file://{top}", "t1"), f"file://{top}").first().content == b"x = 1\n"
+
+
+def test_one_wide_folder_spreads(spark, tmp_path):
+    for i in range(3_000):
+        (tmp_path / f"f{i}.py").touch()
+    found = scan_files(spark, str(tmp_path))
+    sizes = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 3_000 and max(sizes) < 0.5 * 3_000
+
+
 def kept(run):
     return {name: written(table, f"state-{name}") for name, table in run.state.items()}
 
@@ -76,8 +108,8 @@ def test_incremental_runs(spark, tree, tmp_path):
     assert {e["event_type"] for e in made} == {"NODE_UPSERT", "EDGE_UPSERT", "FILE_METADATA_UPSERT"}
     recorded = kept(first)
     store = str(tmp_path / "graph")
-    fold_batch(records_of(first), store, 0)
-    fold_batch(records_of(first), store, 0)
+    fold_batch(records_of(first), store, buckets=8)
+    fold_batch(records_of(first), store)
     nodes = read_graph(spark, store)["nodes"]
     assert nodes.count() == got["node_events"] and nodes.where("placeholder").count() == 0
     assert read_graph(spark, store)["edges"].count() == got["edge_events"]
@@ -125,7 +157,7 @@ def test_only_changed_files_are_read_and_texts_stay(spark, tree):
 
 def test_run_publishes_in_order_and_holds_back_a_bad_file(spark, tree, tmp_path, monkeypatch):
     store, out = str(tmp_path / "state"), str(tmp_path / "topics")
-    run = lambda: pipeline.run(pipeline.tree_sources(spark, str(tree), "demo", "c1"), store, lambda e: events.publish(e, "json", out, mode="overwrite"))
+    run = lambda: pipeline.run(pipeline.tree_sources(spark, str(tree), "demo", "c1"), store, lambda e: events.publish(e, "json", out, mode="overwrite"), buckets=8)
     assert run()["processed"] == 3
     assert run()["skipped_unchanged"] == 3
 
@@ -154,6 +186,60 @@ def test_run_publishes_in_order_and_holds_back_a_bad_file(spark, tree, tmp_path,
     assert run()["processed"] == 1
 
 
+def test_a_small_change_shuffles_no_recorded_ids(spark, tmp_path):
+    keys = ["file_id", "node_id"]
+    spark.range(20_000).selectExpr("cast(id % 100 as string) as file_id", "cast(id as string) as node_id").write.parquet(str(tmp_path / "state"))
+    spark.createDataFrame([("1", "1"), ("1", "x")], "file_id string, node_id string").write.parquet(str(tmp_path / "current"))
+    recorded, current = spark.read.parquet(str(tmp_path / "state")), spark.read.parquet(str(tmp_path / "current"))
+    removed = diff.removed_ids(recorded.unionByName(recorded.limit(5)).where("file_id = '1'"), current, keys)
+    assert removed.count() == 199
+    plan = diff.removed_ids(recorded, current, keys)._jdf.queryExecution().executedPlan().toString()
+    below = plan[plan.index("BroadcastHashJoin") :]
+    assert "hashpartitioning" not in below and "BroadcastExchange" in below
+
+
+def test_fail_fast_stops_parsing(spark, tmp_path, monkeypatch):
+    """An early failure: of 40 files a few are parsed after it, none beyond its range of paths."""
+    for i in range(40):
+        (tmp_path / f"f{i:02}.py").write_text("x = (\n" if i == 5 else f"x = {i}\n")
+    parsed = []
+    real = pipeline.flatten
+
+    def counting(sources):
+        parsed.extend(r.file_path for r in sources.select("file_path").collect())
+        return real(sources)
+
+    monkeypatch.setattr(pipeline, "flatten", counting)
+    sources = pipeline.tree_sources(spark, str(tmp_path), "demo", "c1")
+    got = totals(pipeline.process(sources, state.empty_state(spark), fail_fast=True))
+    assert (got["processed"], got["failed"]) == (5, 1) and len(parsed) == len(set(parsed))
+    assert set(parsed) >= {f"f{i:02}.py" for i in range(6)} and len(parsed) <= 12
+    (tmp_path / "f03.py").write_bytes(b"\xff")
+    parsed.clear()
+    got = totals(pipeline.process(pipeline.tree_sources(spark, str(tmp_path), "demo", "c1"), state.empty_state(spark), fail_fast=True))
+    assert (got["processed"], got["failed"]) == (3, 1) and max(parsed) == "f02.py"
+
+
+def test_run_limit_and_only_one_file(spark, tree):
+    sources = pipeline.tree_sources(spark, str(tree), "demo", "c1")
+    got = totals(pipeline.process(sources, state.empty_state(spark), limit=2))
+    assert (got["eligible"], got["processed"]) == (2, 2)
+    got = totals(pipeline.process(sources, state.empty_state(spark), only="src/main.py"))
+    assert (got["eligible"], got["processed"]) == (1, 1)
+
+
+def test_equal_runs_have_equal_digests(spark, tree, tmp_path):
+    def digests(store):
+        pipeline.run(pipeline.tree_sources(spark, str(tree), "demo", "c1"), str(tmp_path / store), lambda e: e.count(), buckets=4)
+        rows = pipeline.read_digests(spark, str(tmp_path / store)).orderBy("version", "name").collect()
+        return [(r.name, r.rows, r.digest) for r in rows]
+
+    one, other = digests("one"), digests("other")
+    assert one == other and [n for n, *_ in one] == ["edges", "events", "nodes"] and all(rows for _, rows, _ in one)
+    (tree / "src/main.py").write_text("def run(x):\n    return x + 1\n")
+    assert digests("one")[3:] != one and digests("third")[1] != one[1]
+
+
 def test_work_tables_are_removed(spark, tmp_path):
     with work_tables(spark):
         table = written(spark.range(3), "kept")

@@ -20,7 +20,7 @@ def test_metadata_stream_and_restart(spark, sf, tmp_path):
 
     def drain():
         stream = stream_records(spark, "parquet", source)
-        query = table_writer(stream, checkpoint, table, available_now=True).start()
+        query = table_writer(stream, checkpoint, table, buckets=8, available_now=True).start()
         query.awaitTermination()
         return sum(p["numInputRows"] for p in query.recentProgress)
 
