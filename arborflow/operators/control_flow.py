@@ -61,9 +61,7 @@ def scope_nodes(flat: DataFrame) -> DataFrame:
     """Entry and exit node of every scope with a body, made from the scope's first statement."""
     kinds = F.array(*[F.lit(k) for k in ("ScopeEntry", "ScopeExit")])
     label = F.lower(F.regexp_replace("node_type", "^Scope", ""))
-    first = syntax_rows(flat).where(
-        F.col("blocks").isNotNull() & F.col("blocks")[0]["owner_type"].isin(*SCOPES) & (F.col("blocks")[0]["idx"] == 0)
-    )
+    first = syntax_rows(flat).where(opens_scope())
     nothing = [F.lit(None).cast("int").alias(c) for c in ("line_start", "column_start", "line_end", "column_end")]
     return (
         first.select("file_id", "qualified_scope", F.explode(kinds).alias("node_type"), path_above(F.col("ast_path")).alias("scope_path"))
@@ -112,16 +110,42 @@ def _followed(stmts: DataFrame) -> DataFrame:
     return joined.withColumn("follow", F.coalesce("direct", "sibling"))
 
 
-def cfg_edges(flat: DataFrame) -> DataFrame:
-    stmts = statements(flat)
+def _leaving() -> Column:
+    """Type of the edge from a statement to what follows it, NULL where it has none of its own."""
     kind = F.col("node_type")
-    # Leaving a statement.
-    leaving = (
+    return (
         F.when(kind == "If", F.when(~F.col("has_else"), "CFG_FALSE"))
         .when(kind.isin(*LOOPS) | (kind == "Break"), "CFG_LOOP_EXIT")
         .when(kind == "Continue", "CFG_LOOP_BACK")
         .otherwise("CFG_NEXT")
     )
+
+
+def edge_count() -> Column:
+    """How many control-flow edges a flattened row stands for, by the rules of cfg_edges without its join."""
+    blocks, kind = F.col("blocks"), F.col("node_type")
+    block, jumps = F.get(blocks, 0), kind.isin(*JUMPS)
+    leaves_loop = kind.isin("Break", "Continue")
+    skip = F.when(leaves_loop, _first(blocks, lambda b: b["owner_type"].isin(*LOOPS))).otherwise(0)
+    route = F.slice(blocks, skip + 1, F.greatest(F.size(blocks) - skip, F.lit(0)))
+    decider = F.get(F.filter(route, lambda b: ~b["is_last"] | (b["owner_type"] != "If")), 0)
+    onward = (kind != "Return") & (~leaves_loop | (skip > 0)) & _leaving().isNotNull() & (decider["is_last"] | ~decider["next_jumps"])
+    into = ~jumps & (block["idx"] == 0)
+    back = ~jumps & block["owner_type"].isin(*LOOPS) & block["is_last"]
+    one = lambda test: F.coalesce(test.cast("int"), F.lit(0))
+    return F.when(blocks.isNotNull(), one(onward) + one(into) + one(back) + one(kind == "Return")).otherwise(0)
+
+
+def opens_scope() -> Column:
+    """Whether a flattened row is the first statement of a scope, which has an entry and an exit node."""
+    block = F.get("blocks", 0)
+    return F.coalesce(block["owner_type"].isin(*SCOPES) & (block["idx"] == 0), F.lit(False))
+
+
+def cfg_edges(flat: DataFrame) -> DataFrame:
+    stmts = statements(flat)
+    kind = F.col("node_type")
+    leaving = _leaving()
     onward = (
         _followed(stmts.where(kind != "Return"))
         .where(F.col("follow").isNotNull() & leaving.isNotNull())

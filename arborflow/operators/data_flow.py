@@ -6,7 +6,8 @@ uses in evaluation order, each with the `if` arms and loops around it. Spark spr
 only the run it is in, so no group is ever collected, and a run is bounded by one source file's size.
 
 What reaches a point follows the usual gen/kill rules: a definition replaces what was there, the arms of an
-`if` are united, and a loop adds its own definitions to what entered it without replacing that.
+`if` are united, and a loop adds its own definitions to what entered it without replacing that. Pairs go out as they
+are found; a run holds its definitions and the uses of its open loops.
 """
 
 from itertools import groupby
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 
 from arborflow.functions.runs import in_runs
 from arborflow.operators.flatten import syntax_rows
+from arborflow.operators.reaching import reaching_pairs
 from arborflow.operators.syntax_graph import EDGE_COLUMNS, edge, own_id
 
 _RUN = ["file_id", "scope_seq", "variable"]
@@ -35,50 +37,6 @@ def accesses(flat: DataFrame) -> DataFrame:
     )
 
 
-def reaching_pairs(events):
-    """(definition, use) pairs of one run of (kind, node, frames); frames are (statement, arm), outermost first."""
-    pairs = {}
-    reach = frozenset()
-    open_frames = []  # [statement, arm, reach on entry, reach after the other arm, uses that saw the entry]
-
-    def close():
-        nonlocal reach
-        statement, arm, entry, other, looked = open_frames.pop()
-        if arm != "loop":
-            reach |= other
-            return
-        made = reach - entry - {("entry of", statement)}
-        reach = entry | made
-        pairs.update(((definition, use), None) for use in looked for definition in sorted(made))
-
-    for kind, node, frames in events:
-        shared = 0
-        while shared < min(len(frames), len(open_frames)) and open_frames[shared][:2] == list(frames[shared]):
-            shared += 1
-        turns = shared < min(len(frames), len(open_frames)) and open_frames[shared][0] == frames[shared][0]
-        while len(open_frames) > shared + turns:
-            close()
-        if turns:  # from the first arm of an `if` to its second
-            frame = open_frames[shared]
-            frame[1], frame[3], reach = frames[shared][1], reach, frame[2]
-            shared += 1
-        for statement, arm in frames[shared:]:
-            open_frames.append([statement, arm, reach, reach, []])
-            if arm == "loop":
-                reach |= {("entry of", statement)}
-        if kind == "def":
-            reach = frozenset([node])
-            continue
-        for found in reach:
-            if isinstance(found, str):
-                pairs[found, node] = None
-            else:
-                next(f for f in open_frames if f[0] == found[1])[4].append(node)
-    while open_frames:
-        close()
-    return pairs
-
-
 def _pair_batches(batches):
     def rows():
         for batch in batches:

@@ -8,6 +8,7 @@ A row carries small facts about its surroundings so that most edges need no join
 * caller_*      on calls: the function, or module, the call sits in, and how deep that one is
 * blocks        on statements of a control-flow block: the enclosing blocks up to the scope, nearest first
 * reads         on names, parameters and nested definitions: each time data-flow evaluation meets them
+* dfg_pairs     on the module, if counts are asked for: how many definition-use pairs the file has
 
 A file costs its own tree in one Python worker. What the grammar rejects becomes the file's error; a worker that
 runs out of memory or stack fails its task instead.
@@ -24,16 +25,18 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
+from arborflow.operators.reaching import reaching_pairs
+
 FLAT_SCHEMA = """
     file_id string, seq int, depth int, node_type string, ast_path string, qualified_scope string,
     semantic_key string, name string, line_start int, column_start int, line_end int, column_end int,
     value_type string, field string, child_index int, parent_seq int, parent_type string, parent_scope string,
     parent_key string, caller_type string, caller_scope string, caller_key string, caller_depth int,
     call_text string, alias_as string, import_module string, import_level int, has_else boolean,
-    blocks array<struct<owner_seq:int, owner_type:string, field:string, idx:int, is_last:boolean>>,
+    blocks array<struct<owner_seq:int, owner_type:string, field:string, idx:int, is_last:boolean, next_jumps:boolean>>,
     scope_seq int, scope_name string,
     reads array<struct<at:int, kind:string, frames:array<struct<seq:int, arm:string>>>>,
-    parse_ms bigint, error string
+    dfg_pairs bigint, parse_ms bigint, error string
 """
 _ROWS_PER_BATCH = 20_000
 
@@ -42,6 +45,7 @@ DEFINITIONS = FUNCTIONS + (ast.ClassDef,)
 SCOPES = (*FUNCTIONS, ast.Module)
 LOOPS = (ast.While, ast.For)
 BRANCHES = (ast.If,) + LOOPS
+JUMPS = (ast.Return, ast.Break, ast.Continue)
 
 
 _KEY_FIELD = {ast.Name: "id", ast.arg: "arg", ast.Attribute: "attr"} | dict.fromkeys(DEFINITIONS, "name")
@@ -148,16 +152,33 @@ def _reads(scope):
     return met
 
 
+def _pairs(scopes) -> int:
+    """Number of definition-use pairs in the scopes of a file."""
+    total = 0
+    for scope, met in scopes:
+        events = {}
+        for node in ast.walk(scope):
+            for at, way, frames in met.get(id(node), ()):
+                events.setdefault(_key(node), []).append((at, way, str(id(node)), frames))
+        for own in events.values():
+            own.sort(key=lambda e: e[0])
+            total += sum(1 for _ in reaching_pairs(event[1:] for event in own))
+    return total
+
+
 # What a row hands down to the rows below it.
 _Above = namedtuple("_Above", "seq type path depth scope key inner caller blocks module level")
 
 
-def _rows(tree, file_id, parse_ms):
+def _rows(tree, file_id, parse_ms, counted):
     """Rows in pre-order, in the column order of FLAT_SCHEMA."""
-    reads = {}
+    reads, scopes = {}, []
     for scope in ast.walk(tree):
         if isinstance(scope, SCOPES):
-            reads |= {met: (id(scope), found) for met, found in _reads(scope).items()}
+            met = _reads(scope)
+            reads |= {node: (id(scope), found) for node, found in met.items()}
+            scopes.append((scope, met))
+    pairs = _pairs(scopes) if counted else None
     numbers, scope_names = {}, {}  # of scopes, ifs and loops: all come before what is inside them
     seq = 0
     todo = [(tree, None, None, None, None)]
@@ -196,7 +217,7 @@ def _rows(tree, file_id, parse_ms):
             *((node.asname, up.module, up.level) if cls is ast.alias else (None, None, None)),
             bool(node.orelse) if cls is ast.If else None,
             blocks, scope_seq, scope_name if met else None, met,
-            parse_ms if up is None else None, None,
+            pairs if up is None else None, parse_ms if up is None else None, None,
         )
         if cls._fields:
             above = _Above(
@@ -208,14 +229,16 @@ def _rows(tree, file_id, parse_ms):
             for child_field, child_index, child in _children(node):
                 chain = None
                 if active and child_index is not None and _opens_block(node, child_field):
-                    last = child_index == len(getattr(node, child_field)) - 1
-                    chain = [(seq, kind, child_field, child_index, last)] + (above.blocks if cls in BRANCHES else [])
+                    block = getattr(node, child_field)
+                    last = child_index == len(block) - 1
+                    jumps = not last and isinstance(block[child_index + 1], JUMPS)
+                    chain = [(seq, kind, child_field, child_index, last, jumps)] + (above.blocks if cls in BRANCHES else [])
                 below.append((child, above, child_field, child_index, chain))
             todo.extend(reversed(below))
         seq += 1
 
 
-def _parsed(file_id, file_path, content, width):
+def _parsed(file_id, file_path, content, width, counted):
     """Rows of one file; a file that does not parse gives one row with seq -1 and its error."""
     started = time.perf_counter()
     if content is None:
@@ -227,12 +250,15 @@ def _parsed(file_id, file_path, content, width):
     except ValueError as bad:  # null bytes
         message = f"ValueError in {file_path}: {bad}"
     else:
-        return _rows(tree, file_id, int((time.perf_counter() - started) * 1000))
+        return _rows(tree, file_id, int((time.perf_counter() - started) * 1000), counted)
     return [(file_id, -1, *(None,) * (width - 3), message)]
 
 
-def flatten(sources: DataFrame) -> DataFrame:
-    """`sources` needs file_id, file_path and content; texts stay in the splits they come in."""
+def flatten(sources: DataFrame, counted=False) -> DataFrame:
+    """`sources` needs file_id, file_path and content; texts stay in the splits they come in.
+
+    With `counted`, the module's row has the number of data-flow pairs, for statistics without building edges.
+    """
     arrow = to_arrow_schema(StructType.fromDDL(FLAT_SCHEMA))
 
     def batch_of(rows):
@@ -242,7 +268,7 @@ def flatten(sources: DataFrame) -> DataFrame:
         held = []
         for batch in batches:
             for file_id, file_path, content in zip(*[column.to_pylist() for column in batch.columns]):
-                for row in _parsed(file_id, file_path, content, len(arrow)):
+                for row in _parsed(file_id, file_path, content, len(arrow), counted):
                     held.append(row)
                     if len(held) == _ROWS_PER_BATCH:
                         yield batch_of(held)

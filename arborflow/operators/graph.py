@@ -55,8 +55,13 @@ def graph_edges(flat: DataFrame, resolved: DataFrame | None = None) -> DataFrame
 
 
 def syntax_counts(flat: DataFrame) -> DataFrame:
-    """Functions, classes, imported names and parse time per file: one aggregate with map-side combine."""
+    """Functions, classes, imported names, nodes and edges (without external symbols) and parse time per file.
+
+    One aggregate with map-side combine over `flat`, which was flattened with counts: no edge is built.
+    """
     kind = F.col("node_type")
+    is_call = (kind == "Call") & (F.col("call_text") != "")
+    edges = F.col("parent_seq").isNotNull().cast("int") + control_flow.edge_count() + F.coalesce(is_call, F.lit(False)).cast("int")
     return (
         syntax_rows(flat)
         .groupBy("file_id")
@@ -64,6 +69,8 @@ def syntax_counts(flat: DataFrame) -> DataFrame:
             F.count_if(kind.isin("FunctionDef", "AsyncFunctionDef")).alias("function_count"),
             F.count_if(kind == "ClassDef").alias("class_count"),
             F.count_if((kind == "alias") & F.col("parent_type").isin("Import", "ImportFrom")).alias("import_count"),
+            (F.count("*") + 2 * F.count_if(control_flow.opens_scope())).alias("node_count"),
+            (F.sum(edges) + F.coalesce(F.max("dfg_pairs"), F.lit(0))).alias("edge_count"),
             F.max("parse_ms").alias("parse_duration_ms"),
         )
     )
@@ -75,15 +82,16 @@ def measures() -> list[Column]:
     return [size, line_count(F.col("content").cast("string")).alias("line_count")]
 
 
-def file_stats(measured: DataFrame, flat: DataFrame, nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """One row per parsed file: the metadata payload. `measured` has file_id, size_bytes and line_count."""
-    sizes = nodes.select("file_id", F.lit(1).alias("n"), F.lit(0).alias("e")).unionByName(
-        edges.select("file_id", F.lit(0).alias("n"), F.lit(1).alias("e"))
-    )
-    counted = sizes.groupBy("file_id").agg(F.sum("n").alias("node_count"), F.sum("e").alias("edge_count"))
+def file_stats(measured: DataFrame, flat: DataFrame, resolved: DataFrame) -> DataFrame:
+    """One row per parsed file: the metadata payload. `measured` has file_id, size_bytes and line_count.
+
+    Entities are counted where their rows are made; only external symbols, one per file and name, need the calls.
+    """
+    external = resolved.where(F.col("local_id").isNull()).groupBy("file_id").agg(F.count_distinct("qualified_name").alias("external"))
     return (
         syntax_counts(flat)
-        .join(counted, "file_id")
+        .join(external, "file_id", "left")
+        .withColumn("node_count", F.col("node_count") + F.coalesce("external", F.lit(0)))
         .join(measured.select("file_id", "size_bytes", "line_count"), "file_id")
         .select(
             "file_id",
@@ -102,8 +110,8 @@ def file_stats(measured: DataFrame, flat: DataFrame, nodes: DataFrame, edges: Da
 
 
 def build_graph(sources: DataFrame, flat: DataFrame | None = None) -> Graph:
-    """Graph of readable sources. Pass `flat` when it was already written once for several consumers."""
-    flat = flatten(sources) if flat is None else flat
+    """Graph of readable sources. Pass `flat`, with counts, when it was already written once for several consumers."""
+    flat = flatten(sources, counted=True) if flat is None else flat
     resolved = calls.resolve_calls(flat)
     nodes, edges = graph_nodes(flat, resolved), graph_edges(flat, resolved)
-    return Graph(nodes, edges, file_stats(sources.select("file_id", *measures()), flat, nodes, edges), parse_errors(flat))
+    return Graph(nodes, edges, file_stats(sources.select("file_id", *measures()), flat, resolved), parse_errors(flat))

@@ -1,6 +1,7 @@
 """Graph extraction on small sources with known node and edge counts."""
 
 import ast
+import random
 
 import pytest
 
@@ -45,7 +46,7 @@ def sources_of(spark, texts):
 @pytest.fixture(scope="module")
 def built(spark):
     sources = sources_of(spark, SOURCES).persist()
-    flat = flatten(sources).persist()
+    flat = flatten(sources, counted=True).persist()
     names = {r.file_id: r.file_path[:-3] for r in sources.collect()}
     return sources, flat, graph.build_graph(sources, flat), names
 
@@ -84,6 +85,44 @@ def test_statistics_and_errors(built):
     assert set(errors) == {"broken", "null"} and errors["broken"].startswith("SyntaxError in broken.py: ")
 
 
+def nested(pick, depth=0, loop=False):
+    """Lines of random nested statements: branches, loops with and without else, jumps, definitions, calls."""
+    out = []
+    for _ in range(pick.randint(1, 4)):
+        kind = pick.choice(["x = y", "y = x + z", "z += x", "f(x)", "m.g(f(y))", "pass", "if", "if", "while", "for", "def", "class", "try", "with", *(["return x"] if depth else []), *(["break", "continue"] if loop else [])])
+        inner = lambda loop=loop: ["    " + line for line in (nested(pick, depth + 1, loop) if depth < 4 else ["x = 1"])]
+        if kind == "if":
+            out += ["if x:", *inner(), *(["elif y:", *inner()] if pick.random() < 0.3 else []), *(["else:", *inner()] if pick.random() < 0.5 else [])]
+        elif kind in ("while", "for"):
+            out += ["while x:" if kind == "while" else "for x in z:", *inner(True), *(["else:", *inner()] if pick.random() < 0.2 else [])]
+        elif kind in ("def", "class"):
+            out += ["def f(x, w=1):" if kind == "def" else "class K:", *inner(False)]
+        elif kind in ("try", "with"):
+            out += [*(["try:", *inner(), "except E as y:", *inner(), "finally:", *inner()] if kind == "try" else ["with f(x) as y:", *inner()])]
+        else:
+            out.append(kind)
+    return out
+
+
+def test_statistics_count_what_is_built(spark):
+    texts = {f"t{seed}": "import m\nfrom q import f as g\n" + "\n".join(nested(random.Random(seed))) + "\n" for seed in range(300)}
+    texts = {name: text for name, text in texts.items() if parses(text)}
+    sources = sources_of(spark, texts)
+    made = graph.build_graph(sources, flatten(sources, counted=True).persist())
+    stats = {r.file_id: (r.node_count, r.edge_count) for r in made.metadata.collect()}
+    nodes = {r.file_id: r["count"] for r in made.nodes.groupBy("file_id").count().collect()}
+    edges = {r.file_id: r["count"] for r in made.edges.groupBy("file_id").count().collect()}
+    assert len(stats) > 150 and stats == {f: (n, edges[f]) for f, n in nodes.items()}
+
+
+def parses(text):
+    try:
+        ast.parse(text)
+    except SyntaxError:
+        return False
+    return True
+
+
 def test_call_resolution(built):
     _, flat, _, names = built
     found = {
