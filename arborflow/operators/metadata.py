@@ -1,9 +1,10 @@
 """File statistics from metadata events: flatten, keep the newest per file, merge into the table."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from arborflow.constants import ENVELOPE_FIELDS, METADATA_COUNTERS, METADATA_FIELDS
+from arborflow.functions.runs import sequence
 from arborflow.operators.state import upsert
 
 _STATISTICS = ", ".join(f"{c}: {'bigint' if c in METADATA_COUNTERS else 'string'}" for c in METADATA_FIELDS)
@@ -23,15 +24,16 @@ def metadata_events(records: DataFrame, keep=()) -> DataFrame:
     return wanted.select(*keep, *envelope, *[F.col(f"event.metadata.{c}").alias(c) for c in METADATA_FIELDS])
 
 
-def latest_by_key(rows: DataFrame, key: str, order: list[str]) -> DataFrame:
-    """The last row of each key. max_by combines map-side, so a hot key is one row per task when shuffled."""
-    fields = [c for c in rows.columns if c != key]
-    newest = rows.groupBy(key).agg(F.max_by(F.struct(*fields), F.struct(*order)).alias("_row"))
-    return newest.select(key, *[F.col(f"_row.{c}").alias(c) for c in fields])
+def latest_by_key(rows: DataFrame, key: str, order: Column) -> DataFrame:
+    """The last row of each key by a number. The narrow maximum comes first, so of wide rows only the last ones move
+    (Spark broadcasts the maxima while they are few); a row that came twice counts once."""
+    numbered = rows.withColumn("_at", order)
+    last = numbered.groupBy(key).agg(F.max("_at").alias("_at"))
+    return numbered.join(last, [key, "_at"]).dropDuplicates([key]).select(rows.columns)
 
 
 def merge_metadata(table: DataFrame, records: DataFrame) -> DataFrame:
     """Table after the records: one row per file, replaced whole by its newest event."""
     fresh = metadata_events(records, keep=("partition", "offset"))
-    newest = latest_by_key(fresh, "file_id", ["partition", "offset"]).select(TABLE_FIELDS)
+    newest = latest_by_key(fresh, "file_id", sequence(F.col("partition"), F.col("offset"))).select(TABLE_FIELDS)
     return upsert(table, newest)

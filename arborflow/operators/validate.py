@@ -57,6 +57,9 @@ def _base_type(document: Column, path: str) -> Column:
     return F.coalesce(F.substring_index(F.substring_index(found, "<", 1), "(", 1), F.lit(""))
 
 
+NOT_FINITE = r'[:\[,]\s*(?:NaN|-?Infinity)\s*[,}\]]'
+
+
 def _type_at(document: Column, path: str, wanted: str) -> Column:
     found = _base_type(document, path)
     if not wanted.startswith("integer"):
@@ -110,7 +113,8 @@ def violations(text: Column, document: Column | None = None, event_types=tuple(C
     """
     document = F.try_parse_json(text) if document is None else document
     kind = F.try_variant_get(document, "$.event_type", "string")
-    dispatch = F.when(document.isNull(), "not JSON")
+    # Writers that let NaN and infinities through make text that is no JSON; such an event is held back as well.
+    dispatch = F.when(document.isNull() & text.rlike(NOT_FINITE), "non-finite number").when(document.isNull(), "not JSON")
     for event_type in event_types:
         dispatch = dispatch.when(kind == event_type, _contract_violations(document, text, event_type))
     lines = F.split(dispatch.otherwise("unknown event_type"), "\n")

@@ -23,6 +23,12 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """A table of few files over all cores; one with enough of them stays where it is."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows if len(rows.inputFiles()) >= cores else rows.repartition(cores)
+
+
 def document_files(spark, sf) -> DataFrame:
     """documents as source files spread over test, generated and main folders."""
     folder = F.when(F.col("lang") == "de", "tests").when(F.col("lang") == "es", "generated").otherwise("main")
@@ -86,7 +92,7 @@ def document_versions(spark, sf) -> DataFrame:
 
 def event_columns(spark, sf) -> DataFrame:
     """events with the number in props and a content version h."""
-    return table(spark, sf, "events").select(
+    return spread(table(spark, sf, "events")).select(
         "event_id",
         "ts",
         "user_id",
@@ -131,6 +137,15 @@ def node_records(spark, sf) -> DataFrame:
     return _record(event_columns(spark, sf), "cpg.nodes", F.struct(*_envelope(kind), node.alias("node")))
 
 
+def faulty_node_records(spark, sf) -> DataFrame:
+    """The same, some of them broken: k < 5 no JSON, k < 10 no event, k < 20 an upsert without an id."""
+    rows = node_records(spark, sf)
+    k = F.pmod(F.col("offset"), F.lit(100))
+    unnamed = F.regexp_replace("value", '"node_id":"[^"]*",?', "")
+    value = F.when(k < 5, F.substr("value", F.lit(2))).when(k < 10, "{}").when(k < 20, unnamed).otherwise(F.col("value"))
+    return rows.withColumn("value", value)
+
+
 def edge_records(spark, sf) -> DataFrame:
     """One edge per user, from its node to one named after the event type; a signup deletes it."""
     gone = F.col("event_type") == "signup"
@@ -166,11 +181,22 @@ def metadata_records(spark, sf) -> DataFrame:
     return records.withColumn("value", F.when(broken, F.lit("{broken")).otherwise(F.col("value")))
 
 
+#: kinds of record that events of a type stand for
+CONTRACT_KINDS = {
+    "view": ("NODE_UPSERT", "NODE_DELETE"),
+    "click": ("EDGE_UPSERT", "EDGE_DELETE"),
+    "signup": ("FILE_METADATA_UPSERT",),
+    "error": ("PARSER_ERROR",),
+    "purchase": ("NODE_UPSERT", "EDGE_DELETE"),
+}
+
+
 def contract_records(spark, sf, event_type: str, upsert: str, delete: str | None = None) -> DataFrame:
     """Events of one topic built as text, broken in ways that depend on k.
 
     k < 10: no event_id; < 20: other schema_version; < 30: extra key; < 40: wrong type in the payload;
-    < 50: required payload field missing; < 55: unknown type; < 60: not JSON; < 65: payload is no object.
+    < 50: required payload field missing; < 55: unknown type; < 60: not JSON; < 65: payload is no object;
+    < 70: a number that is not finite.
     """
     k = F.col("k")
     payloads = {
@@ -192,6 +218,7 @@ def contract_records(spark, sf, event_type: str, upsert: str, delete: str | None
         comma = "," if base else ""
         field = F.when((k >= 30) & (k < 40), comma + bad).when((k >= 40) & (k < 50), "").otherwise(comma + good)
         body = F.when((k >= 60) & (k < 65), F.lit(f'"{name}":"flat"')).otherwise(F.concat(F.lit(f'"{name}":{{{base}'), field, F.lit("}")))
+        body = F.when((k >= 65) & (k < 70), F.lit(f'"{name}":{{"x":-Infinity}}')).otherwise(body)
         return F.concat(
             F.lit('{"event_time":"t","repository_id":"r","commit_sha":"c","file_path":"p","content_hash":"h","parser_version":"1.0.0","file_id":"f"'),
             F.when(k >= 10, F.concat(F.lit(',"event_id":"'), "event_id", F.lit('"'))).otherwise(""),

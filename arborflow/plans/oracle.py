@@ -23,7 +23,7 @@ CLASSIFIED = """(SELECT d.*, p.h AS previous_hash, sha256(d.text) AS content_has
 ORDER_EVENTS = """(SELECT CAST(l_orderkey AS VARCHAR) AS file_id, CAST(l_partkey AS VARCHAR) AS entity_id,
     CASE l_returnflag WHEN 'A' THEN 'NODE_UPSERT' WHEN 'N' THEN 'EDGE_UPSERT' ELSE 'NODE_DELETE' END AS event_type,
     CASE l_returnflag WHEN 'N' THEN 'cpg.edges' ELSE 'cpg.nodes' END AS topic
-  FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE o_orderstatus <> 'F')"""
+  FROM lineitem)"""
 RESULTS = f"""(SELECT o_orderkey || '.py' AS file_path,
     CASE WHEN o_totalprice < 20000 THEN 'FAILED' WHEN o_orderstatus = 'F' THEN 'SKIPPED_UNCHANGED' ELSE 'SUCCESS' END AS status,
     CAST(coalesce(n, 0) AS BIGINT) AS node_count, CAST(coalesce(e, 0) AS BIGINT) AS edge_count,
@@ -85,15 +85,17 @@ _TYPES = {
     "click": ("edge", "EDGE_UPSERT", "edge_type", "EDGE_DELETE", "edge_id"),
     "signup": ("metadata", "FILE_METADATA_UPSERT", "size_bytes", None, None),
     "error": ("error", "PARSER_ERROR", "retryable", None, None),
+    "purchase": ("node", "NODE_UPSERT", "node_type", "EDGE_DELETE", "edge_id"),
 }
 
 
 def _contract(event_type):
-    payload, _, field, _, other = _TYPES[event_type]
+    payload, _, field, second, other = _TYPES[event_type]
+    payload = f"CASE WHEN value < 50 THEN '{second.split('_')[0].lower()}' ELSE '{payload}' END" if second else f"'{payload}'"
     name = f"CASE WHEN value < 50 THEN '{other}' ELSE '{field}' END" if other else f"'{field}'"
     return f"""SELECT event_id, CASE WHEN k < 10 THEN 'missing event_id' WHEN k < 20 THEN 'const schema_version' WHEN k < 30 THEN 'extra source_path'
-      WHEN k < 40 THEN 'type {payload}.' || {name} WHEN k < 50 THEN 'missing {payload}.' || {name} WHEN k < 55 THEN 'unknown event_type'
-      WHEN k < 60 THEN 'not JSON' WHEN k < 65 THEN 'type {payload}' ELSE '' END AS violations FROM {EV} WHERE event_type = '{event_type}'"""
+      WHEN k < 40 THEN 'type ' || {payload} || '.' || {name} WHEN k < 50 THEN 'missing ' || {payload} || '.' || {name} WHEN k < 55 THEN 'unknown event_type'
+      WHEN k < 60 THEN 'not JSON' WHEN k < 65 THEN 'type ' || {payload} WHEN k < 70 THEN 'non-finite number' ELSE '' END AS violations FROM {EV} WHERE event_type = '{event_type}'"""
 
 
 def _event_record(kind, topic, entity, content, payload, source):
@@ -147,6 +149,7 @@ def statements() -> dict[str, str]:
         "manifest_problems": f"SELECT CAST(0 AS BIGINT) AS wrong_repository, count(*) AS wrong_commit, CAST(0 AS BIGINT) AS not_python, {_per_topic('content_sha256 IS NULL')} AS no_hash FROM {MANIFEST}",
         "manifest_subset": f"SELECT file_path FROM {MANIFEST} WHERE included AND file_path NOT IN (SELECT file_path FROM {SAMPLE} WHERE included)",
         "set_difference": "SELECT source, lang, CASE WHEN n > 0 THEN 'left' ELSE 'right' END AS only_in, CAST(abs(n) AS BIGINT) AS copies FROM (SELECT d.source, d.lang, count(*) - count(*) FILTER (l.quality = 1) AS n FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id GROUP BY 1, 2) WHERE n <> 0",
+        "run_digests": "WITH d AS (SELECT doc_id, list_sort(string_split(text, chr(10))) AS ls FROM documents WHERE text IS NOT NULL) SELECT doc_id, CAST(len(ls) AS BIGINT) AS rows, min(doc_id) OVER (PARTITION BY ls) AS same_as FROM d",
         "read_rules": "SELECT url AS file_path, CASE WHEN n > 20000 THEN url || ': ' || n || ' bytes, more than the limit of 20000' END AS read_error, CASE WHEN n <= 20000 THEN n END AS size_bytes FROM (SELECT url, octet_length(encode(html)) AS n FROM pages)",
         "change_classification": f"SELECT file_path, change, previous_hash FROM {CLASSIFIED}",
         "unchanged_skip": f"SELECT file_path, content_hash FROM {CLASSIFIED} WHERE change = 'UNCHANGED'",
@@ -172,8 +175,10 @@ def statements() -> dict[str, str]:
         "validate_edge": _contract("click"),
         "validate_metadata": _contract("signup"),
         "validate_error": _contract("error"),
+        "validate_stream": " UNION ALL ".join(map(_contract, _TYPES)),
         "nonfinite_reject": f"SELECT event_type, count(*) AS rejected FROM (SELECT event_type, CASE WHEN event_type = 'error' THEN CAST('nan' AS DOUBLE) WHEN k > 90 THEN CAST('-inf' AS DOUBLE) ELSE value END AS v FROM {EV}) WHERE isnan(v) OR isinf(v) GROUP BY event_type",
         "stream_audit": f"SELECT topic, {audit_flags}, CAST(NULL AS BIGINT) AS duplicate_event_ids FROM {AUDIT} GROUP BY topic UNION ALL SELECT NULL, {audit_flags}, CAST(count(eid) - count(DISTINCT eid) AS BIGINT) FROM {AUDIT}",
+        "audit_expected_ids": f"SELECT topic, {audit_flags.replace('CAST(0 AS BIGINT)', _per_topic("user_id <> 8"))}, CAST(NULL AS BIGINT) AS duplicate_event_ids FROM {AUDIT} GROUP BY topic UNION ALL SELECT NULL, {audit_flags.replace('CAST(0 AS BIGINT)', _per_topic("user_id <> 8"))}, CAST(count(eid) - count(DISTINCT eid) AS BIGINT) FROM {AUDIT}",
         "partition_consistency": f"SELECT topic, CASE WHEN foreign_key THEN 'other' ELSE 'f' || user_id END AS file_id, count(DISTINCT partition) AS partitions FROM {AUDIT} GROUP BY 1, 2 HAVING count(DISTINCT partition) > 1",
         "offset_order": "SELECT event_type AS topic, user_id AS key, count(*) FILTER (before >= o) AS out_of_order FROM (SELECT event_type, user_id, floor(value) AS o, lag(floor(value)) OVER (PARTITION BY event_type, user_id ORDER BY event_id) AS before FROM events) GROUP BY 1, 2",
         "offset_window": f"""SELECT topic, partition, count(*) AS records, min("offset") AS first, max("offset") AS last FROM {AUDIT} JOIN {window} USING (topic, partition) WHERE "offset" >= s AND "offset" < e GROUP BY topic, partition""",
@@ -192,6 +197,8 @@ def statements() -> dict[str, str]:
         "edge_tombstones": f"{EDGE_HISTORY} SELECT 'e' || user_id AS id, 'f' || user_id || ':' || d || '{_V}' AS generation_id, 'f' || user_id AS file_id, d AS content_hash FROM (SELECT DISTINCT user_id, unnest(dels) AS d FROM fin)",
         "placeholders": f"{EDGE_HISTORY} SELECT id, 'f' || u AS file_id, 'f' || u || ':' || h || '{_V}' AS generation_id, h AS content_hash FROM (SELECT id, arg_min(user_id, seq) AS u, arg_min(eh, seq) AS h FROM (SELECT 'n' || user_id AS id, user_id, eh, seq FROM r WHERE outcome = 'up' UNION ALL SELECT et, user_id, eh, seq FROM r WHERE outcome = 'up') GROUP BY id) WHERE id NOT IN (SELECT id FROM live)",
         "dead_letters": f"{EDGE_HISTORY} SELECT 'connector.errors' AS topic, 'f' || user_id AS key, 'edge endpoints differ from the stored edge' AS reason, seq FROM r WHERE outcome = 'dead'",
+        "dead_letters_of_long_histories": f"{EDGE_HISTORY} SELECT 'connector.errors' AS topic, 'f' || user_id AS key, 'edge endpoints differ from the stored edge' AS reason, seq FROM r WHERE outcome = 'dead'",
+        "node_dead_letters": f"SELECT 'cpg.nodes' AS topic, 'f' || user_id AS key, CASE WHEN event_id % 100 < 10 THEN 'malformed event' ELSE 'NODE_UPSERT without node_id' END AS reason, event_id AS seq FROM {EV} WHERE event_id % 100 < 10 OR event_id % 100 < 20 AND event_type <> 'purchase'",
         "state_upsert": f"SELECT file_id, CASE WHEN c_name IS NULL THEN 'other' ELSE 'docs' END AS repository_id, coalesce(c_name, p_name) AS file_path, coalesce(p_brand, c_mktsegment) AS content_hash, CASE WHEN p_brand IS NOT NULL THEN '1.0.0' END AS parser_version, CASE WHEN p_brand IS NOT NULL THEN '1.0' END AS schema_version FROM {cust} FULL JOIN {part} USING (file_id)",
         "state_delete": f"SELECT file_id, c_name AS file_path FROM {cust} WHERE file_id NOT IN (SELECT CAST(o_custkey AS VARCHAR) FROM orders WHERE o_orderstatus = 'P')",
         "state_load": f"SELECT file_id, c_name AS file_path, CAST(NULL AS VARCHAR) AS parser_version FROM {part} LEFT JOIN {cust} USING (file_id)",

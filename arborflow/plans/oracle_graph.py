@@ -135,16 +135,16 @@ def _values(text, width):
 
 # One row per document, and one per line of it; header statements are 0 to 3, line i is 4 + i.
 _BASE = f"""
-docs AS (SELECT doc_id, sha256('docs|' || source || '/' || doc_id || '.py') AS fid, source || '/' || doc_id || '.py' AS file_path,
+docs AS MATERIALIZED (SELECT doc_id, sha256('docs|' || source || '/' || doc_id || '.py') AS fid, source || '/' || doc_id || '.py' AS file_path,
          string_split(text, chr(10)) AS ls, text, n_chars FROM documents),
-l AS (SELECT fid, file_path, i, CAST(length(ls[i]) % 5 AS VARCHAR) AS kind, 'Module.body[' || (i + 3) || ']' AS stem, len(ls) AS n
+l AS MATERIALIZED (SELECT fid, file_path, i, CAST(length(ls[i]) % 5 AS VARCHAR) AS kind, 'Module.body[' || (i + 3) || ']' AS stem, len(ls) AS n
       FROM (SELECT *, unnest(range(1, len(ls) + 1)) AS i FROM docs)),
-placed AS (SELECT fid, kind, i, stem, n FROM l UNION ALL SELECT fid, 'h', 0, 'Module', len(ls) FROM docs),
+placed AS MATERIALIZED (SELECT fid, kind, i, stem, n FROM l UNION ALL SELECT fid, 'h', 0, 'Module', len(ls) FROM docs),
 t AS (SELECT * FROM {_values(NODES, 5)} x(kind, rel, type, key, name)),
 p AS (SELECT fid, kind, i, rel, type, key, stem || rel AS ast_path,
         CASE WHEN name = '=' THEN key WHEN name <> '' THEN name END AS name,
         CASE WHEN kind = '4' AND rel <> '' THEN 'Module.part' ELSE 'Module' END AS scope FROM placed JOIN t USING (kind)),
-nodes AS (SELECT *, sha256(fid || '|' || type || '|' || scope || '|' || key || '|' || ast_path) AS id FROM p)"""
+nodes AS MATERIALIZED (SELECT *, sha256(fid || '|' || type || '|' || scope || '|' || key || '|' || ast_path) AS id FROM p)"""
 _CALLS = """
 parts AS (SELECT fid, max(i) AS last_part FROM l WHERE kind = '4' GROUP BY fid),
 c AS (SELECT n.fid, n.kind, n.i, n.id AS site, n.rel FROM nodes n WHERE type = 'Call'),
@@ -195,7 +195,7 @@ def graph_statements() -> dict[str, str]:
     parent = "regexp_replace(ast_path, '[.][^.]*$', '')"
     step = "regexp_extract(ast_path, '[^.]*$')"
     field, index = f"split_part({step}, '[', 1)", f"coalesce(nullif(regexp_extract({step}, '[0-9]+'), ''), '0')"
-    children = f"""child AS (SELECT c.id AS target_id, p.id AS source_id, {field.replace('ast_path', 'c.ast_path')} AS f, {index.replace('ast_path', 'c.ast_path')} AS ix
+    children = f"""child AS MATERIALIZED (SELECT c.id AS target_id, p.id AS source_id, {field.replace('ast_path', 'c.ast_path')} AS f, {index.replace('ast_path', 'c.ast_path')} AS ix
         FROM nodes c JOIN nodes p ON p.fid = c.fid AND p.ast_path = {parent.replace('ast_path', 'c.ast_path')} AND c.ast_path <> 'Module' AND c.type NOT LIKE 'Scope%')"""
     return {
         "ast_nodes": f"""WITH {_BASE} SELECT id AS node_id, type AS node_type, name, CASE WHEN type = 'Module' THEN 'Module' WHEN type LIKE 'Scope%' AND kind = '4' THEN 'Module.part.' || name WHEN name IS NOT NULL THEN scope || '.' || name END AS qualified_name, ast_path,

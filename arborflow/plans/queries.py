@@ -118,11 +118,10 @@ def _order_files(spark, sf):
 
 
 def _order_events(spark, sf):
-    """Line items of unfinished orders as event rows."""
+    """All line items as event rows of their orders."""
     flag = F.col("l_returnflag")
-    o = table(spark, sf, "orders").where("o_orderstatus <> 'F'").select(F.col("o_orderkey").alias("l_orderkey"))
     kind = F.when(flag == "A", "NODE_UPSERT").when(flag == "N", "EDGE_UPSERT").otherwise("NODE_DELETE")
-    return table(spark, sf, "lineitem").join(o, "l_orderkey").select(
+    return table(spark, sf, "lineitem").select(
         F.col("l_orderkey").cast("string").alias("file_id"),
         F.col("l_partkey").cast("string").alias("entity_id"),
         kind.alias("event_type"),
@@ -244,6 +243,15 @@ def _contract(event_type, upsert, delete=None):
     return query
 
 
+def _validate_stream(spark, sf):
+    """Events of all types in one stream, dispatched to their contracts."""
+    rows = None
+    for event_type, kinds in derive.CONTRACT_KINDS.items():
+        part = derive.contract_records(spark, sf, event_type, *kinds)
+        rows = part if rows is None else rows.unionByName(part)
+    return validate.validate_events(rows).select("event_id", F.array_join("violations", "; ").alias("violations"))
+
+
 def _non_finite(spark, sf):
     e = derive.event_columns(spark, sf)
     number = F.when(F.col("event_type") == "error", F.lit(float("nan"))).when(F.col("k") > 90, F.lit(float("-inf"))).otherwise(F.col("value"))
@@ -254,6 +262,10 @@ def _stream_audit(spark, sf):
     return audit.audit_stream(derive.audit_records(spark, sf))
 
 
+def _expected_ids(spark, sf):
+    return audit.audit_stream(derive.audit_records(spark, sf), expected_file_id="f8", expected_error_file_id="f9")
+
+
 def _partition_consistency(spark, sf):
     return audit.partition_consistency(derive.audit_records(spark, sf))
 
@@ -292,6 +304,12 @@ def _set_difference(spark, sf):
     return manifest.set_difference(d.select("source", "lang"), good.select("source", "lang"))
 
 
+def _run_digests(spark, sf):
+    """Each document as a run whose rows are its lines."""
+    lines = table(spark, sf, "documents").select("doc_id", F.explode(F.split("text", "\n", -1)).alias("line"))
+    return manifest.same_runs(lines, "doc_id")
+
+
 def _manifest_subset(spark, sf):
     full = _manifest(spark, sf).where("included")
     return manifest.missing_from(full, _scope_limit(spark, sf).where("included")).select("file_path")
@@ -367,6 +385,19 @@ def _dead_letters(spark, sf):
     return _folded_edges(spark, sf).dead_letters.select("topic", "key", "reason", "seq")
 
 
+def _dead_letters_of_long_histories(spark, sf):
+    """The same by the way that long histories go, for all edges."""
+    good, _ = fold.edge_events(derive.edge_records(spark, sf))
+    empty = fold.empty_graph(spark)
+    folded = fold.fold_edges(empty["edges"], empty["edge_tombstones"], _folded_nodes(spark, sf), good, run_length=1 << 12, short_history=0)
+    return folded.dead_letters.select("topic", "key", "reason", "seq")
+
+
+def _node_dead_letters(spark, sf):
+    _, dead = fold.node_events(derive.faulty_node_records(spark, sf))
+    return dead.select("topic", "key", "reason", "seq")
+
+
 def _state(spark, sf):
     old = table(spark, sf, "customer").select(
         F.col("c_custkey").cast("string").alias("file_id"), F.lit(REPOSITORY).alias("repository_id"),
@@ -444,14 +475,8 @@ def _edge_types(spark, sf):
     return quality.edge_type_distribution(derive.graph_tables(spark, sf)["edges"])
 
 
-def _spread(sources):
-    """A table in few splits over all cores; one with enough of them stays where it is."""
-    cores = sources.sparkSession.sparkContext.defaultParallelism
-    return sources if sources.rdd.getNumPartitions() >= cores else sources.repartition(cores)
-
-
-def _flat(spark, sf):
-    return flatten(_spread(derive.document_sources(spark, sf)))
+def _flat(spark, sf, counted=False):
+    return flatten(derive.spread(derive.document_sources(spark, sf)), counted)
 
 
 def _flat_once(spark, sf):
@@ -503,14 +528,16 @@ def _local_symbols(spark, sf):
 
 
 def _parse_errors(spark, sf):
-    flat = flatten(_spread(derive.document_sources(spark, sf, broken=True)))
+    flat = flatten(derive.spread(derive.document_sources(spark, sf, broken=True)))
     return _named(spark, sf, parse_errors(flat)).select("file_path", F.substring_index("message", " in ", 1).alias("error"))
 
 
 def _file_stats(spark, sf):
-    sources = derive.document_sources(spark, sf)
-    made = graph.build_graph(sources, _flat_once(spark, sf))
-    return _named(spark, sf, made.metadata).drop("parse_duration_ms")
+    rows = ["file_id", "seq", "depth", "node_type", "ast_path", "qualified_scope", "semantic_key", "name", "parent_seq", "parent_type"]
+    rows += ["caller_type", "caller_scope", "caller_key", "caller_depth", "call_text", "alias_as", "import_module", "import_level"]
+    flat = written(_flat(spark, sf, counted=True).select(*rows, "has_else", "blocks", "dfg_pairs", "parse_ms"), "flat")
+    sources = derive.document_sources(spark, sf).select("file_id", *graph.measures())
+    return _named(spark, sf, graph.file_stats(sources, flat, calls.resolve_calls(flat))).drop("parse_duration_ms")
 
 
 def _edge_counts(spark, sf):
@@ -532,6 +559,7 @@ QUERIES = {
     "manifest_problems": lambda spark, sf: manifest.manifest_problems(_manifest(spark, sf), REPOSITORY, "other"),
     "manifest_subset": _manifest_subset,
     "set_difference": _set_difference,
+    "run_digests": _run_digests,
     "read_rules": _read_rules,
     "change_classification": _change_classification,
     "unchanged_skip": _unchanged_skip,
@@ -549,8 +577,10 @@ QUERIES = {
     "validate_edge": _contract("click", "EDGE_UPSERT", "EDGE_DELETE"),
     "validate_metadata": _contract("signup", "FILE_METADATA_UPSERT"),
     "validate_error": _contract("error", "PARSER_ERROR"),
+    "validate_stream": _validate_stream,
     "nonfinite_reject": _non_finite,
     "stream_audit": _stream_audit,
+    "audit_expected_ids": _expected_ids,
     "partition_consistency": _partition_consistency,
     "offset_order": _out_of_order_offsets,
     "offset_window": _offset_window,
@@ -568,6 +598,8 @@ QUERIES = {
     "edge_tombstones": _edge_tombstones,
     "placeholders": _placeholders,
     "dead_letters": _dead_letters,
+    "dead_letters_of_long_histories": _dead_letters_of_long_histories,
+    "node_dead_letters": _node_dead_letters,
     "state_upsert": _state_upsert,
     "state_delete": _state_delete,
     "state_load": _state_load,

@@ -29,6 +29,14 @@ COMPARED = [
     "publish_gate",
     "validate_node",
     "validate_metadata",
+    "validate_stream",
+    "audit_expected_ids",
+    "run_digests",
+    "node_dead_letters",
+    "dead_letters",
+    "dead_letters_of_long_histories",
+    "edge_fold",
+    "run_summary",
     "offset_order",
     "offset_window",
     "offset_delta",
