@@ -13,16 +13,18 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from arborflow.llm.common import clustered, group_starts
 from arborflow.llm.components import components
+from arborflow.llm.vectors import matrix, units, vector_rows
 from arborflow.session import written
 
 RECALL = 0.985  # of pairs exactly at the threshold, for the cells; the count keeps 0.995 of those
 COUNTED = 16  # projections whose windows are counted
-CELL_ROWS = 256  # rows of a cell that the number of leading projections aims at
+CELL_ROWS = 1024  # rows of a cell that the number of leading projections aims at
 TILE_ROWS = 2048  # larger cells are dealt out as pairs of slices
 
 
@@ -54,61 +56,70 @@ def _directions(dimension: int, settings: dict):
     return counted, leading, random.uniform(0, settings["cell"], len(leading))
 
 
-def _unit(data: bytes) -> np.ndarray:
-    vector = np.frombuffer(data, "<f8")
-    return vector / np.linalg.norm(vector / np.abs(vector).max()) / np.abs(vector).max()
+def _places(points: np.ndarray, leading: np.ndarray, offsets: np.ndarray, settings: dict) -> np.ndarray:
+    """Cell of each vector in each table, as the numbers of its ranges: rows x tables x leading projections."""
+    # Sums in a fixed order: a vector has the same cells in whatever batch it comes.
+    values = np.stack([np.einsum("ij,j->i", points, direction) for direction in leading], axis=1)
+    return np.floor((values + offsets) / settings["cell"]).astype("<i8").reshape(len(points), settings["tables"], settings["leading"])
 
 
-def _usable(batches):
-    """Vectors as bytes; those that can link with nothing as null."""
-    schema = pa.schema([("vec_id", pa.int64()), ("vector", pa.binary())])
-    for batch in batches:
-        out = []
-        for values in batch.column("vector").to_pylist():
-            data = None
-            if values and None not in values:
-                vector = np.array(values, "<f8") + 0.0  # no negative zeros
-                data = vector.tobytes() if np.isfinite(vector).all() and vector.any() else None
-            out.append(data)
-        yield pa.RecordBatch.from_arrays([batch.column("vec_id"), pa.array(out, pa.binary())], schema=schema)
+def _by_length(data: list) -> list:
+    """Places of the vectors of each length."""
+    sizes = np.array([len(d) for d in data])
+    return [np.flatnonzero(sizes == size) for size in np.unique(sizes)]
 
 
-def _celled(settings):
-    schema = pa.schema([("node", pa.int64()), ("copies", pa.int64()), ("vector", pa.binary()), ("cells", pa.list_(pa.int64()))])
+def _celled(settings, kind):
+    """A row per vector and table: node, table, cell."""
+    schema = pa.schema([("node", pa.binary()), ("table", pa.int32()), ("cell", pa.int64())])
 
     def run(batches):
         from xxhash import xxh64_intdigest
 
         known: dict = {}
         for batch in batches:
-            cells = []
-            for data in batch.column("vector").to_pylist():
-                size = len(data) // 8
+            data, nodes = batch.column("vector").to_pylist(), batch.column("node")
+            for at in _by_length(data):
+                points = units(matrix([data[i] for i in at], kind))
+                size = points.shape[1]
                 _, leading, offsets = known.setdefault(size, _directions(size, settings))
-                places = np.floor((leading @ _unit(data) + offsets) / settings["cell"]).astype("<i8").reshape(settings["tables"], -1)
-                cells.append([xxh64_intdigest(row.tobytes(), seed=size * 4096 + t) - (1 << 63) for t, row in enumerate(places)])
-            yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("copies"), batch.column("vector"), pa.array(cells, pa.list_(pa.int64()))], schema=schema)
+                places = _places(points, leading, offsets, settings)
+                for table in range(settings["tables"]):
+                    cells = [xxh64_intdigest(row.tobytes(), seed=size * 4096 + table) - (1 << 63) for row in places[:, table]]
+                    yield pa.RecordBatch.from_arrays([nodes.take(pa.array(at)), pa.array(np.full(len(at), table, np.int32)), pa.array(cells, pa.int64())], schema=schema)
 
     return run
 
 
-def _compared(settings, cosine):
+def _with_cells(settings, kind):
+    """Each vector, with its cells, once per table: what a tile needs of it, and no more."""
+    schema = pa.schema([("node", pa.binary()), ("copies", pa.int64()), ("vector", pa.binary()), ("table", pa.int32()), ("cell", pa.int64())])
+
+    def run(batches):
+        for batch in batches:
+            for cells in _celled(settings, kind)([batch]):
+                place = pa.compute.index_in(cells.column("node"), value_set=batch.column("node"))
+                yield pa.RecordBatch.from_arrays([cells.column("node"), batch.column("copies").take(place), batch.column("vector").take(place), cells.column("table"), cells.column("cell")], schema=schema)
+
+    return run
+
+
+def _compared(settings, cosine, kind):
     """Per tile: links of each vector (copies of its partners), and edges that connect the tile's linked vectors."""
-    schema = pa.schema([("u", pa.int64()), ("v", pa.int64()), ("n", pa.int64())])
+    schema = pa.schema([("u", pa.binary()), ("v", pa.binary()), ("n", pa.int64())])
 
     def tile(rows, known):
-        vectors = rows["vector"]
-        size = len(vectors[0]) // 8
-        if any(len(v) != 8 * size for v in vectors):  # two lengths can meet by a collision of cell hashes only
-            for own in {len(v) for v in vectors}:
-                pick = [i for i, v in enumerate(vectors) if len(v) == own]
-                yield from tile({k: [c[i] for i in pick] for k, c in rows.items()}, known)
-            return
-        counted, *_ = known.setdefault(size, _directions(size, settings))
-        units = np.array([_unit(v) for v in vectors])
-        values = np.ascontiguousarray((units @ counted.T).T)
-        nodes, copies, slices = np.array(rows["node"]), np.array(rows["copies"]), np.array(rows["slice"])
-        cells, table, cross = np.array(rows["cells"]), rows["table"][0], rows["cross"][0]
+        for at in _by_length(rows["vector"]):  # two lengths meet by a collision of cell hashes only
+            if len(at) > 1:
+                yield from own_length({n: [c[i] for i in at] for n, c in rows.items()}, known)
+
+    def own_length(rows, known):
+        points = units(matrix(rows["vector"], kind))
+        size = points.shape[1]
+        counted, leading, offsets = known.setdefault(size, _directions(size, settings))
+        values = np.ascontiguousarray((points @ counted.T).T)
+        nodes, copies, slices = rows["node"], np.array(rows["copies"]), np.array(rows["slice"])
+        places, table, cross = _places(points, leading, offsets, settings), rows["table"][0], rows["cross"][0]
         total, label, edges = np.zeros(len(nodes), np.int64), np.arange(len(nodes)), []
         for begin in range(0, len(nodes), 256):
             block = slice(begin, begin + 256)
@@ -119,9 +130,10 @@ def _compared(settings, cosine):
             one, other = one + begin, other + begin
             keep = (other > one) & ((slices[one] != slices[other]) if cross else True)
             one, other = one[keep], other[keep]
-            keep = np.einsum("ij,ij->i", units[one], units[other]) >= cosine
+            keep = np.einsum("ij,ij->i", points[one], points[other]) >= cosine
             one, other = one[keep], other[keep]
-            first = (cells[one] == cells[other]).argmax(axis=1) == table  # each pair counts in its first table only
+            common = (places[one] == places[other]).all(axis=2)
+            first = common.any(axis=1) & (common.argmax(axis=1) == table)  # each pair counts in its first table only
             np.add.at(total, one[first], copies[other[first]])
             np.add.at(total, other[first], copies[one[first]])
             for start, end in zip(starts := group_starts(one), np.append(starts[1:], len(one))):
@@ -131,18 +143,18 @@ def _compared(settings, cosine):
                 if len(others):
                     edges += [(nodes[here], nodes[o]) for o in others]
                     label[np.isin(label, others)] = label[here]
-        linked = np.flatnonzero(total)
-        u = [*nodes[linked], *[a for a, _ in edges]]
+        linked = np.flatnonzero(total).tolist()
+        u = [nodes[i] for i in linked] + [a for a, _ in edges]
         v = [None] * len(linked) + [b for _, b in edges]
-        n = [*total[linked], *[None] * len(edges)]
-        yield pa.RecordBatch.from_arrays([pa.array(map(int, u), pa.int64()), pa.array([x if x is None else int(x) for x in v], pa.int64()), pa.array([x if x is None else int(x) for x in n], pa.int64())], schema=schema)
+        n = [int(total[i]) for i in linked] + [None] * len(edges)
+        yield pa.RecordBatch.from_arrays([pa.array(u, pa.binary()), pa.array(v, pa.binary()), pa.array(n, pa.int64())], schema=schema)
 
     def run(batches):
         known: dict = {}
         held, key = None, None
         for batch in batches:
             keys = batch.column("tile").to_numpy()
-            columns = {n: batch.column(n).to_pylist() for n in ("node", "copies", "vector", "cells", "table", "slice", "cross")}
+            columns = {n: batch.column(n).to_pylist() for n in ("node", "copies", "vector", "table", "slice", "cross")}
             starts = group_starts(keys)
             for start, end in zip(starts, np.append(starts[1:], len(keys))):
                 part = {n: c[start:end] for n, c in columns.items()}
@@ -162,34 +174,35 @@ def near_duplicates(table: DataFrame, cosine: float = 0.95, id_col: str = "vec_i
     """vec_id, n_links, component_id and kept of every row: links are pairs of cosine >= the threshold.
 
     No pair below it is linked; of those above, at least RECALL (0.98 with the count) at the threshold itself and
-    more the closer they are. Equal vectors are one row with a number of copies. Vectors that are null, empty, zero or hold
-    null or non-finite components, and vectors of another length, link with nothing. A null id is never a
-    component's name while another id is there, and is not kept. Rows with one id and different vectors count as
-    one node for components. An empty table gives no rows.
+    more the closer they are. Equal vectors (by a 128-bit digest) are one node with a number of copies, whatever their
+    ids. Vectors that are null, empty, zero or hold null or non-finite components, and vectors of another length, link
+    with nothing. Rows without an id are compared like all others; a null id is never a component's name while another
+    id is there, and is not kept. Rows of one id and different vectors are judged each by its own vector. An empty
+    table gives no rows.
     """
-    rows = table.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("vector"))
-    rows = written(rows.mapInArrow(_usable, "vec_id long, vector binary"), "vectors")
-    groups = rows.where(F.col("vector").isNotNull()).groupBy("vector").agg(F.min("vec_id").alias("node"), F.count("*").alias("copies"))
+    rows, kind = vector_rows(table, id_col, vector_col)
+    rows = written(rows.withColumn("node", F.unhex(F.md5("vector"))), "vectors")
+    groups = rows.where(F.col("vector").isNotNull()).groupBy("node").agg(F.first("vector").alias("vector"), F.min("vec_id").alias("first_id"), F.count("*").alias("copies"))
     groups = written(groups, "vectors-distinct")
     settings = plan(groups.count(), cosine)
 
-    celled = groups.where(F.col("node").isNotNull()).select("node", "copies", "vector")
-    celled = written(celled.mapInArrow(_celled(settings), "node long, copies long, vector binary, cells array<long>"), "vectors-cells")
-    keys = celled.select(F.explode("cells").alias("cell")).groupBy("cell").count()
-    large = keys.where(F.col("count") > TILE_ROWS).select("cell", F.ceil(F.col("count") / TILE_ROWS).cast("int").alias("slices"))
-    spread = celled.select("node", "copies", "vector", "cells", F.posexplode("cells").alias("table", "cell")).join(large, "cell", "left")
-    slices = F.coalesce("slices", F.lit(1))
-    spread = spread.withColumn("slice", F.pmod(F.xxhash64("node", "table"), slices).cast("int"))
-    spread = spread.withColumn("partner", F.explode(F.sequence(F.lit(0), slices - 1)))
+    # Cells of one vector join nothing; their vectors stay where they are.
+    keys = groups.select("node", "vector").mapInArrow(_celled(settings, kind), "node binary, table int, cell long").groupBy("cell").count()
+    shared = written(keys.where("count > 1").select("cell", F.ceil(F.col("count") / TILE_ROWS).cast("int").alias("slices")), "vectors-cells")
+    spread = groups.select("node", "copies", "vector").mapInArrow(_with_cells(settings, kind), "node binary, copies long, vector binary, table int, cell long")
+    spread = spread.join(shared, "cell")
+    spread = spread.withColumn("slice", F.pmod(F.xxhash64("node", "table"), F.col("slices")).cast("int"))
+    spread = spread.withColumn("partner", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
     tile = F.xxhash64("cell", "table", F.least("slice", "partner"), F.greatest("slice", "partner"))
-    spread = spread.select(tile.alias("tile"), "node", "copies", "vector", "cells", "table", "slice", (F.col("slice") != F.col("partner")).alias("cross"))
-    found = clustered(spread, "tile").mapInArrow(_compared(settings, cosine), "u long, v long, n long")
+    spread = spread.select(tile.alias("tile"), "node", "copies", "vector", "table", "slice", (F.col("slice") != F.col("partner")).alias("cross"))
+    found = clustered(spread, "tile").mapInArrow(_compared(settings, cosine, kind), "u binary, v binary, n long")
     found = written(found, "vectors-links")
 
     linked = found.where(F.col("n").isNotNull()).groupBy("u").agg(F.sum("n").alias("n")).select(F.col("u").alias("node"), "n")
     roots = components(found.where(F.col("v").isNotNull()).select("u", "v"), "vectors").select(F.col("u").alias("node"), "root")
-    nodes = groups.join(linked, "node", "left").join(roots, "node", "left")
-    nodes = nodes.select("vector", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).cast("long").alias("n_links"), F.coalesce("root", "node").alias("component_id"))
-    placed = rows.where(F.col("vector").isNotNull()).join(nodes, "vector").select("vec_id", "n_links", "component_id")
+    placed = groups.select("node", "first_id", "copies").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    named = placed.join(placed.groupBy("root").agg(F.min("first_id").alias("component_id")), "root").join(linked, "node", "left")
+    nodes = named.select("node", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).cast("long").alias("n_links"), "component_id")
+    judged = rows.where(F.col("vector").isNotNull()).join(nodes, "node").select("vec_id", "n_links", "component_id")
     alone = rows.where(F.col("vector").isNull()).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
-    return placed.union(alone).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
+    return judged.union(alone).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))

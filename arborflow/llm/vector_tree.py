@@ -14,9 +14,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, FloatType
 
 from arborflow.llm.common import NO_ID, by_key
+from arborflow.llm.vectors import matrix, units, vector_rows
 from arborflow.session import written
 
 SAMPLE, SAMPLE_BYTES = 16_384, 128 << 20  # vectors that the tree is fitted on, and bytes of them
@@ -28,12 +28,6 @@ TILE_ROWS = 8_192  # a leaf's vectors that a task compares at a time
 HELD_QUERIES = 50_000  # whose best rows a task adds up before it passes them on
 
 
-def units(vectors: np.ndarray) -> np.ndarray:
-    """Rows of length one, also of components near the ends of the range."""
-    scaled = vectors / np.abs(vectors).max(axis=1, keepdims=True)
-    return scaled / np.linalg.norm(scaled, axis=1, keepdims=True)
-
-
 class Tree:
     """Centres of all nodes, children of each inner one, and leaf numbers."""
 
@@ -106,46 +100,6 @@ def _kmeans(points, k, random):
     return centres, _distances(points, centres).argmin(axis=1)
 
 
-def _matrix(column, kind) -> np.ndarray:
-    """Binary vectors of one length as doubles."""
-    data = column.to_pylist()
-    return np.frombuffer(b"".join(data), kind).reshape(len(data), -1).astype("<f8") if data else np.zeros((0, 1))
-
-
-def _usable(kind):
-    schema = pa.schema([("vec_id", pa.int64()), ("vector", pa.binary())])
-
-    def run(batches):
-        for batch in batches:
-            out = []
-            for values in batch.column("vector").to_pylist():
-                data = None
-                if values and None not in values:
-                    vector = np.array(values, kind) + np.zeros(1, kind)  # no negative zeros
-                    data = vector.tobytes() if np.isfinite(vector).all() and vector.any() else None
-                out.append(data)
-            yield pa.RecordBatch.from_arrays([batch.column("vec_id"), pa.array(out, pa.binary())], schema=schema)
-
-    return run
-
-
-def _vectors(table: DataFrame, wanted: Column, id_col: str, vector_col: str) -> tuple:
-    """(rows, numpy type): vec_id, wanted, vector as bytes of its own width; those that take no part are left out."""
-    own = table.schema[vector_col].dataType
-    narrow = isinstance(own, ArrayType) and isinstance(own.elementType, FloatType)
-    source = table.select(F.col(id_col).cast("long").alias("vec_id"), F.coalesce(wanted, F.lit(False)).alias("wanted"), F.col(vector_col).cast("array<float>" if narrow else "array<double>").alias("vector"))
-    kind = "<f4" if narrow else "<f8"
-
-    def run(batches):
-        for batch in batches:
-            usable = next(_usable(kind)([batch]))
-            yield pa.RecordBatch.from_arrays([batch.column("vec_id"), batch.column("wanted"), usable.column("vector")], names=["vec_id", "wanted", "vector"])
-
-    rows = source.mapInArrow(run, "vec_id long, wanted boolean, vector binary").where(F.col("vector").isNotNull())
-    lengths = rows.groupBy(F.length("vector").alias("length")).count().orderBy(F.desc("count"), "length").first()
-    return rows.where(F.length("vector") == (lengths[0] if lengths else 0)).withColumn("node", F.unhex(F.md5("vector"))), kind
-
-
 def _calibrate(tree: Tree, nodes: DataFrame, queries: list, vectors: np.ndarray, kind: str, near: int, leaf_rows: np.ndarray) -> int:
     """Smallest number of visits by which the calibration queries find RECALL of their true neighbours."""
     own = {node: i for i, node in enumerate(queries)}
@@ -153,7 +107,7 @@ def _calibrate(tree: Tree, nodes: DataFrame, queries: list, vectors: np.ndarray,
     def run(batches):
         best = [(np.zeros(0), np.zeros(0, np.int64))] * len(vectors)
         for batch in batches:
-            points = units(_matrix(batch.column("vector"), kind))
+            points = units(matrix(batch.column("vector").to_pylist(), kind))
             leaf, cosine = batch.column("leaf").to_numpy(), vectors @ points.T
             for at, node in enumerate(batch.column("node").to_pylist()):
                 if node in own:
@@ -181,7 +135,7 @@ def _placed(tree, kind):
 
     def run(batches):
         for batch in batches:
-            leaf = tree.value.assign(units(_matrix(batch.column("vector"), kind))) if batch.num_rows else np.zeros(0, np.int64)
+            leaf = tree.value.assign(units(matrix(batch.column("vector").to_pylist(), kind))) if batch.num_rows else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(leaf)], names=[*batch.schema.names, "leaf"])
 
     return run
@@ -195,7 +149,7 @@ def _visited(tree, kind, tiles, leaf_rows, least, rows):
         for whole in batches:
             for begin in range(0, whole.num_rows, 256):
                 batch = whole.slice(begin, 256)
-                leaves = tree.value.visits(units(_matrix(batch.column("vector"), kind)), least, leaf_rows, rows)
+                leaves = tree.value.visits(units(matrix(batch.column("vector").to_pylist(), kind)), least, leaf_rows, rows)
                 own = [[leaf << 32 | t for leaf in found for t in range(tiles[leaf])] for found in leaves]
                 at = pa.array(np.repeat(np.arange(batch.num_rows), list(map(len, own))))
                 count = len(at)
@@ -219,21 +173,21 @@ def _compared(kind, kept):
     def run(batches):
         best: dict = {}  # (-score, vec_id, own) of each query, best first
 
-        def compare(queries, nodes, ids, matrix):
-            asked = units(np.frombuffer(b"".join(q["vector"] for q in queries), kind).reshape(len(queries), -1).astype("<f8"))
-            for query, vector, cosine in zip(queries, asked, asked @ matrix.T):
+        def compare(queries, nodes, ids, stored):
+            asked = units(matrix([q["vector"] for q in queries], kind))
+            for query, vector, cosine in zip(queries, asked, asked @ stored.T):
                 found = best.get(query["node"], [])
                 least = -found[-1][0] if len(found) == kept else -2.0
                 if len(cosine) > kept:
                     least = max(least, np.partition(cosine, -kept)[-kept])
                 at = np.flatnonzero(cosine >= least - 1e-12)  # all that tie with the last
-                score = np.einsum("ij,j->i", matrix[at], vector)
+                score = np.einsum("ij,j->i", stored[at], vector)
                 score[[nodes[i] == query["node"] for i in at]] = 1.0
                 here = [(-s, i, nodes[a] == query["node"]) for a, s in zip(at.tolist(), np.clip(score, -1, 1).tolist()) for i in ids[a]]
                 best[query["node"]] = sorted(found + here)[:kept]
 
         for _, rows in by_key(batches, "tile"):
-            nodes, ids, points, held, matrix = [], [], [], [], None
+            nodes, ids, points, held, stored = [], [], [], [], None
             for row in rows:
                 if not row["query"]:
                     nodes.append(row["node"])
@@ -242,14 +196,14 @@ def _compared(kind, kept):
                     continue
                 if not points:
                     break  # a tile that no vector fell into
-                if matrix is None:
-                    matrix = units(np.frombuffer(b"".join(points), kind).reshape(len(points), -1).astype("<f8"))
+                if stored is None:
+                    stored = units(matrix(points, kind))
                 held.append(row)
                 if len(held) == 256:
-                    compare(held, nodes, ids, matrix)
+                    compare(held, nodes, ids, stored)
                     held = []
             if held:
-                compare(held, nodes, ids, matrix)
+                compare(held, nodes, ids, stored)
             if len(best) > HELD_QUERIES:
                 yield out(best)
                 best.clear()
@@ -270,8 +224,10 @@ def search(table: DataFrame, wanted: Column, near: int = 5, id_col: str = "vec_i
     An empty table gives no rows. Columns other than the two named are not read, but for `wanted`.
     """
     spark, kept = table.sparkSession, near + 1
-    rows, kind = _vectors(table, wanted, id_col, vector_col)
-    rows = written(rows, "vectors")
+    rows, kind = vector_rows(table, id_col, vector_col, wanted=F.coalesce(wanted, F.lit(False)))
+    rows = written(rows.where(F.col("vector").isNotNull()).withColumn("node", F.unhex(F.md5("vector"))), "vectors")
+    lengths = rows.groupBy(F.length("vector").alias("length")).count().orderBy(F.desc("count"), "length").first()
+    rows = rows.where(F.length("vector") == (lengths[0] if lengths else 0))
     least_id = Window.partitionBy("node").orderBy(F.col("id"))
     named = rows.select("node", "vector", F.coalesce("vec_id", F.lit(NO_ID)).alias("id")).withColumn("place", F.row_number().over(least_id)).where(F.col("place") <= kept)
     nodes = written(named.groupBy("node").agg(F.first("vector").alias("vector"), F.array_sort(F.collect_list("id")).alias("ids")), "vectors-nodes")
@@ -286,7 +242,7 @@ def search(table: DataFrame, wanted: Column, near: int = 5, id_col: str = "vec_i
     drawn = nodes.select("node", "vector").withColumn("draw", F.xxhash64("node", F.lit(1)))
     share = min(1.0, 2 * size / count)
     drawn = drawn.where(F.pmod("draw", F.lit(1 << 30)) < int(share * (1 << 30))).orderBy("draw").limit(size).toArrow()
-    points = units(_matrix(drawn.column("vector"), kind))
+    points = units(matrix(drawn.column("vector").to_pylist(), kind))
     tree = Tree(points, count)
     shared = spark.sparkContext.broadcast(tree)  # at most 2 * SAMPLE / LEAF_SAMPLE centres
 

@@ -10,6 +10,7 @@ import numpy as np
 import pytest
 
 from arborflow.llm import collocations, periodic_runs, queries, vector_tree
+from arborflow.llm import vectors as vectors_of
 
 
 def naive_collocations(rows, least, top):
@@ -65,7 +66,7 @@ def test_scores_beyond_64_bits(spark, monkeypatch):
 
 def naive_nearest(ids, vectors, near=5):
     usable = [i for i, v in enumerate(vectors) if v and None not in v and np.isfinite(v).all() and any(v)]
-    unit = vector_tree.units(np.array([vectors[i] for i in usable], float))
+    unit = vectors_of.units(np.array([vectors[i] for i in usable], float))
     cosine = unit @ unit.T
     out = {}
     for a, i in enumerate(usable):

@@ -112,6 +112,16 @@ def test_vectors(spark):
     assert embedding_dedup.near_duplicates(table.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("kind", ["double", "float"])
+def test_vectors_without_ids_and_of_one_id(spark, kind):
+    """Rows are judged by their vectors: a missing id hides none, a shared one adds no links."""
+    rows = [(None, [1.0, 0.0, 0.01]), (1, [1.0, 0.0, 0.0]), (4, [0.0, 1.0, 0.0]), (4, [0.0, 0.99, 0.1]), (7, [0.0, 1.0, 0.05]), (9, [0.0, 0.0, 1.0]), (9, [0.0, 0.0, -1.0]), (None, [-1.0, 0.0, 0.0]), (None, [-1.0, 0.0, 0.0])]
+    found = embedding_dedup.near_duplicates(spark.createDataFrame(rows, f"vec_id long, embedding array<{kind}>"))
+    got = [(r.vec_id, r.n_links, r.component_id, r.kept) for r in found.collect()]
+    want = [(None, 1, 1, False), (1, 1, 1, True), (4, 2, 4, True), (4, 2, 4, True), (7, 2, 4, False), (9, 0, 9, True), (9, 0, 9, True), (None, 1, None, False), (None, 1, None, False)]
+    assert sorted(map(str, got)) == sorted(map(str, want))
+
+
 def test_pipeline_stages(spark, docs, benchmark, tmp_path):
     benchmark.write.parquet(f"{tmp_path}/benchmark.parquet")
     for rows in (docs, spark.createDataFrame([], SCHEMA)):
