@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -67,3 +67,40 @@ def found_spans(text: Column, pattern: str, group: int = 0) -> Column:
 
     none = F.array().cast("array<struct<start:int,end:int,value:string>>")
     return F.when(text.rlike(pattern), let(parts, spans)).otherwise(none)
+
+
+FILTER_BITS = 24  # of a bitmap: 2**18 rows, whatever is put in
+BITMAP_COLUMNS = ("__set", "__word", "__bits", "__bit")
+
+
+def _place(hash_: Column) -> tuple:
+    """(word, bit) of a hash in a bitmap of 64-bit words."""
+    at = F.shiftrightunsigned(hash_, 64 - FILTER_BITS)
+    return F.shiftright(at, 6), at.bitwiseAND(F.lit(63).cast("long")).cast("int")
+
+
+def bitmap(hashes: DataFrame) -> DataFrame:
+    """A bitmap over the column `hash` as rows (word, bits): at most 2**(FILTER_BITS - 6), so it may be broadcast."""
+    word, _ = _place(F.col("hash"))
+    bit = F.expr(f"shiftleft(1L, cast(shiftrightunsigned(hash, {64 - FILTER_BITS}) & 63 as int))")
+    return hashes.select(word.alias("__word"), bit.alias("bit")).groupBy("__word").agg(F.bit_or("bit").alias("__bits"))
+
+
+def marked(rows: DataFrame, hash_: Column, bits: DataFrame) -> DataFrame:
+    """rows with `__set`: the hash may be in the bitmap."""
+    word, bit = _place(hash_)
+    joined = rows.withColumns({"__word": word, "__bit": bit}).join(F.broadcast(bits), "__word", "left")
+    return joined.withColumn("__set", F.coalesce(F.expr("getbit(__bits, __bit) = 1"), F.lit(False))).drop("__word", "__bits", "__bit")
+
+
+def document_key(id_col: str, text_col: str) -> Column:
+    """16 bytes for a document's id and text."""
+    return F.unhex(F.md5(F.concat_ws(":", F.coalesce(F.col(id_col).cast("string"), F.lit("-")), F.coalesce(F.md5(F.col(text_col)), F.lit("-")))))
+
+
+def without(docs: DataFrame, keys: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """docs without the documents of the given keys (column `key`); only rows that a bitmap of the keys passes are shuffled."""
+    keys = keys.select(F.col("key").alias("__key")).distinct()
+    found = marked(docs.withColumn("__key", document_key(id_col, text_col)), F.xxhash64("__key"), bitmap(keys.select(F.xxhash64("__key").alias("hash"))))
+    kept = found.where("__set").join(keys, "__key", "left_anti")
+    return found.where("NOT __set").select(*docs.columns).unionByName(kept.select(*docs.columns))

@@ -1,7 +1,10 @@
-"""Removal of repeated multi-line chunks, with chunk bounds chosen by the lines themselves.
+"""Removal of repeated multi-line chunks, with chunk bounds that the lines themselves choose.
 
-A rolling hash over the hashes of the last LINES lines ends a chunk where it is 0 modulo SPACING. Lines put in or
-taken out elsewhere move no bound, so a passage that documents share is cut alike in each of them.
+A rolling hash over the hashes of two neighbouring lines is taken at every line. Where it recurs in the corpus, the two
+lines are a seed; seeds that follow each other join into one chunk, whose bounds lie where the rolling hash stops
+recurring. Lines put in or taken out elsewhere move no such bound, a shared passage of two lines or more always has a
+seed at each of its lines, and a single line never is a chunk. Hashes only propose: what counts as repeated is decided
+by the lines' bytes.
 """
 
 from __future__ import annotations
@@ -9,116 +12,86 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from arborflow.llm.columns import let
+from arborflow.llm.columns import BITMAP_COLUMNS, bitmap, document_key, let, marked
 from arborflow.llm.common import id_or_last
+from arborflow.session import written
 
-LINES, SPACING, BASE = 2, 3, 31
-SHIFT = 1 << 31  # a chunk is first line * SHIFT + lines
+OWN = ("n_lines", "n_chunks", "n_removed_lines")
 
 
-def line_hash(line: Column) -> Column:
-    """48 bits of the line's MD5."""
-    return F.conv(F.substring(F.md5(line), 1, 12), 16, 10).cast("long")
+def _lines(text: Column) -> Column:
+    return F.split(text, "\n", -1)
 
 
-def chunks(lines: Column) -> Column:
-    """Codes of the chunks that the lines fall into, in order."""
+def rolling_hashes(lines: Column) -> Column:
+    """(at, hash) of every two neighbouring lines that hold more than white space; at least two lines are given."""
 
-    def ends(hashes):
-        rolling = lambda i: sum((F.when(i >= back, F.get(hashes, i - back)).otherwise(0) * BASE**back for back in range(1, LINES)), F.get(hashes, i))
-        last = F.size(hashes) - 1
-        return F.filter(F.sequence(F.lit(0), last), lambda i: (F.pmod(rolling(i), F.lit(SPACING)) == 0) | (i == last))
+    def pairs(lines):
+        hashes = F.transform(lines, lambda line: F.xxhash64(line))
+        blank = F.transform(lines, lambda line: ~line.rlike(r"\S"))
+        known = F.struct(hashes.alias("h"), blank.alias("b"))
+        pair = lambda k, i: F.struct(i.alias("at"), F.when(~(k["b"][i] & k["b"][i + 1]), F.xxhash64(k["h"][i], k["h"][i + 1])).alias("hash"))
+        return let(known, lambda k: F.transform(F.sequence(F.lit(0), F.size(k["h"]) - 2), lambda i: pair(k, i)))
 
-    def coded(ends):
-        first = lambda k: F.when(k > 0, F.get(ends, k - 1) + 1).otherwise(0).cast("long")
-        return F.transform(ends, lambda e, k: first(k) * SHIFT + e - first(k) + 1)
+    return F.filter(pairs(lines), lambda s: s["hash"].isNotNull())
 
-    return let(let(F.transform(lines, line_hash), ends), coded)
 
+def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """__doc and __gone (numbers of the first lines of repeated pairs) of every row that loses lines.
 
-def _first(code: Column) -> Column:
-    return F.floor(code / SHIFT).cast("int")
-
-
-def _count(code: Column) -> Column:
-    return (code % SHIFT).cast("int")
-
-
-def _text(lines: Column, code: Column) -> Column:
-    return F.array_join(F.slice(lines, _first(code) + 1, _count(code)), "\n")
-
-
-def remove_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """All columns of docs, the text without repeated chunks, and n_lines, n_chunks, n_removed_lines.
-
-    A chunk of two lines or more that holds more than white space stays where it stands first in the corpus, by id
-    and place, and goes everywhere else. Equality is of the chunk's bytes: chunks are grouped by their text, with
-    map-side combine, so a passage in a third of all documents is one row per task. A null text stays null and has
-    no lines; a null id comes after all others. Rows of one id count as one document and never lose a chunk to each
-    other at the same place. An empty table gives no rows. Names that docs and the operator share are the operator's.
+    Three steps, of which none shuffles the texts: count the rolling hashes, 8 bytes a line with map-side combine; read
+    the texts again and keep the pairs whose hash recurs, by a filter of fixed size; group those by their bytes, again
+    with map-side combine, and join each with its first place.
     """
     text = F.col(text_col)
-    kept_columns = [c for c in docs.columns if c not in ("n_lines", "n_chunks", "n_removed_lines", "__doc", "__lines", "__chunks", "__gone")]
-    rows = docs.select(*kept_columns, F.md5(F.concat_ws(":", F.col(id_col).cast("string"), F.md5(text))).alias("__doc"))
-    source = docs.where(text.isNotNull()).select(id_or_last(id_col).alias("rank"), F.md5(F.concat_ws(":", F.col(id_col).cast("string"), F.md5(text))).alias("__doc"), F.split(text, "\n", -1).alias("lines"))
-    coded = let(F.struct("lines", chunks(F.col("lines")).alias("codes")), lambda s: F.transform(F.filter(s["codes"], lambda c: _count(c) >= 2), lambda c: F.struct(c.alias("code"), _text(s["lines"], c).alias("chunk"))))
-    exploded = source.select("rank", "__doc", F.explode(coded).alias("c")).select("rank", "__doc", "c.code", "c.chunk").where(F.col("chunk").rlike(r"\S"))
-
-    place = (F.col("rank").cast("decimal(38,0)") * SHIFT + _first(F.col("code"))).cast("decimal(38,0)")
-    key = [F.md5("chunk").alias("key"), F.xxhash64("chunk").alias("key2")]
-    groups = exploded.select(*key, "chunk", place.alias("place")).groupBy("key", "key2", "chunk").agg(F.min("place").alias("first"), F.count("*").alias("n"))
-    repeated = groups.where(F.col("n") > 1).select("key", "key2", "first")
-    gone = exploded.select("__doc", *key, "code", place.alias("place")).join(repeated, ["key", "key2"]).where(F.col("place") > F.col("first"))
-    gone = gone.groupBy("__doc").agg(F.collect_set("code").alias("__gone"))
-
-    def kept(lines, codes, gone):
-        return F.array_join(F.transform(F.array_except(codes, gone), lambda c: _text(lines, c)), "\n")
-
-    joined = rows.join(gone, "__doc", "left")
-    cut = let(F.split(text, "\n", -1), lambda lines: let(chunks(lines), lambda codes: F.struct(
-        F.size(lines).cast("long").alias("lines"),
-        F.size(codes).cast("long").alias("chunks"),
-        F.when(F.col("__gone").isNull(), text).otherwise(kept(lines, codes, F.coalesce("__gone", F.array().cast("array<bigint>")))).alias("text"),
-    )))
-    removed = F.coalesce(F.aggregate("__gone", F.lit(0).cast("long"), lambda a, c: a + _count(c)), F.lit(0).cast("long"))
-    joined = joined.withColumn("__cut", F.when(text.isNotNull(), cut))
-    zero = F.lit(0).cast("long")
-    return joined.select(
-        *[F.col("__cut.text").alias(c) if c == text_col else F.col(c) for c in kept_columns],
-        F.coalesce("__cut.lines", zero).alias("n_lines"),
-        F.coalesce("__cut.chunks", zero).alias("n_chunks"),
-        removed.alias("n_removed_lines"),
-    )
-
+    source = docs.where(F.contains(text, F.lit("\n"))).select(id_or_last(id_col).alias("rank"), document_key(id_col, text_col).alias("__doc"), _lines(text).alias("lines"))
+    counted = source.select(F.explode(rolling_hashes(F.col("lines"))).alias("s")).groupBy(F.col("s.hash").alias("hash")).agg(F.count("*").alias("n"))
+    chunk = lambda s: F.struct(s["at"].alias("at"), s["hash"].alias("hash"), F.concat_ws("\n", F.get("lines", s["at"]), F.get("lines", s["at"] + 1)).alias("chunk"))
+    pairs = source.select("rank", "__doc", F.explode(F.transform(rolling_hashes(F.col("lines")), chunk)).alias("s")).select("rank", "__doc", "s.*")
+    seeds = marked(pairs, F.col("hash"), bitmap(counted.where("n > 1"))).where("__set")
+    seeds = written(seeds.select("rank", "__doc", "at", "chunk"), "line-seeds")
+
+    place = F.struct("rank", "at")
+    key = [F.unhex(F.md5("chunk")).alias("key"), F.xxhash64("chunk").alias("key2")]
+    groups = seeds.select(*key, "chunk", place.alias("place")).groupBy("key", "key2", "chunk").agg(F.min("place").alias("first"), F.max("place").alias("last"))
+    # A place counts if an earlier one does not overlap it: in another document, or two lines before at least.
+    after = lambda p: (p["rank"] > F.col("first.rank")) | (p["at"] > F.col("first.at") + 1)
+    repeated = groups.where(after(F.col("last"))).select("key", "key2", "first")
+    gone = seeds.select("rank", "__doc", "at", *key).join(repeated, ["key", "key2"]).where(after(F.struct("rank", "at")))
+    return written(gone.groupBy("__doc").agg(F.array_sort(F.collect_set("at")).alias("__gone")), "line-repeats")
 
-def remove_repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """All columns of docs, the text without any run of two or more lines that stands earlier in the corpus.
 
-    Every two neighbouring lines that hold more than white space are a seed, so each such run, wherever it begins, is
-    covered by seeds from its first line to its last, and no single line goes. The earlier place, by id and line, may
-    be in the same document if the two do not overlap. Equality is of the two lines' bytes by their SHA-256, so what
-    is shuffled is one digest a line; digests are grouped with map-side combine. Each line that goes stays at its
-    first place in the corpus. Nulls, ids and empty tables are as in remove_repeated_lines.
+def remove_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """All columns of docs, the text without repeated chunks, and n_lines, n_chunks (removed) and n_removed_lines.
+
+    Every run of two or more lines that stands earlier in the corpus goes whole, unless all its lines are blank; the
+    first of all places, by id and line, keeps it. The earlier place may be in the same document if the two do not
+    overlap. Only documents that lose lines are shuffled, by a filter of fixed size that lets all of them through. A
+    null text stays null and has no lines; a null id comes after all others. Rows of one id count as one document: what
+    they hold at the same line is no repeat. An empty table gives no rows. Names that docs and the operator share are
+    the operator's.
     """
     text = F.col(text_col)
-    document = F.md5(F.concat_ws(":", F.col(id_col).cast("string"), F.md5(text))).alias("__doc")
-    kept_columns = [c for c in docs.columns if c not in ("__doc", "__gone")]
-    source = docs.where(F.contains(text, F.lit("\n"))).select(id_or_last(id_col).alias("rank"), document, F.split(text, "\n", -1).alias("lines"))
-
-    def seeds(lines):
-        pair = lambda i: F.concat_ws("\n", F.get(lines, i), F.get(lines, i + 1))
-        digest = lambda i: let(pair(i), lambda two: F.when(two.rlike(r"\S"), F.unhex(F.sha2(two, 256))))
-        return F.transform(F.sequence(F.lit(0), F.size(lines) - 2), lambda i: F.struct(i.alias("at"), digest(i).alias("key")))
-
-    exploded = source.select("rank", "__doc", F.explode(seeds(F.col("lines"))).alias("s")).select("rank", "__doc", "s.at", "s.key").where(F.col("key").isNotNull())
-    placed = exploded.select("__doc", "at", "key", (F.col("rank").cast("decimal(38,0)") * SHIFT + F.col("at")).cast("decimal(38,0)").alias("place"))
-    repeated = placed.groupBy("key").agg(F.min("place").alias("first"), F.max("place").alias("last")).where(F.col("last") > F.col("first") + 1).select("key", "first")
-    gone = placed.join(repeated, "key").where(F.col("place") > F.col("first") + 1).groupBy("__doc").agg(F.collect_set("at").alias("__gone"))
+    kept_columns = [c for c in docs.columns if c not in (*OWN, *BITMAP_COLUMNS, "__doc", "__gone", "__cut")]
+    gone = repeated_lines(docs, id_col, text_col)
+    keyed = docs.select(*kept_columns, document_key(id_col, text_col).alias("__doc"))
+    judged = marked(keyed, F.xxhash64("__doc"), bitmap(gone.select(F.xxhash64("__doc").alias("hash"))))
+    zero = F.lit(0).cast("long")
+    whole = F.struct(text.alias("text"), F.coalesce(F.size(_lines(text)).cast("long"), zero).alias("lines"), zero.alias("chunks"), zero.alias("removed"))
 
-    def kept(lines):
+    def cut(lines):
         covered = F.array_union("__gone", F.transform("__gone", lambda i: i + 1))
-        return F.array_join(F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), covered), lambda i: F.get(lines, i)), "\n")
-
-    joined = docs.select(*kept_columns, document).join(gone, "__doc", "left")
-    cut = F.when(F.col("__gone").isNull(), text).otherwise(let(F.split(text, "\n", -1), kept))
-    return joined.select(*[cut.alias(c) if c == text_col else F.col(c) for c in kept_columns])
+        starts = F.filter("__gone", lambda i, k: (k == 0) | (F.get("__gone", k - 1) < i - 1))
+        kept = F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), covered), lambda i: F.get(lines, i))
+        return F.struct(F.array_join(kept, "\n").alias("text"), F.size(lines).cast("long").alias("lines"), F.size(starts).cast("long").alias("chunks"), F.size(covered).cast("long").alias("removed"))
+
+    changed = judged.where("__set").join(gone, "__doc", "left")
+    changed = changed.withColumn("__cut", F.when(F.col("__gone").isNull(), whole).otherwise(let(_lines(text), cut)))
+    same = judged.where(~F.col("__set")).withColumn("__cut", whole)
+    out = lambda rows: rows.select(
+        *[F.col("__cut.text").alias(c) if c == text_col else F.col(c) for c in kept_columns],
+        F.col("__cut.lines").alias("n_lines"),
+        F.col("__cut.chunks").alias("n_chunks"),
+        F.col("__cut.removed").alias("n_removed_lines"),
+    )
+    return out(same).unionByName(out(changed))

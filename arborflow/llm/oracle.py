@@ -49,28 +49,21 @@ FROM kept
 LINES = r"""
 WITH docs AS MATERIALIZED (
   SELECT doc_id, row_number() OVER () AS r, coalesce(doc_id, 9223372036854775807) AS rank, string_split(text, chr(10)) AS lines FROM documents
-), lines AS MATERIALIZED (
-  SELECT r, rank, i, line, CAST('0x' || substr(md5(line), 1, 12) AS BIGINT) AS h, n
-  FROM (SELECT r, rank, len(lines) AS n, unnest(lines) AS line, generate_subscripts(lines, 1) - 1 AS i FROM docs)
-), bounds AS (
-  SELECT *, i = n - 1 OR (coalesce(lag(h) OVER (PARTITION BY r ORDER BY i), 0) * 31 + h) % 3 = 0 AS is_end FROM lines
-), placed AS MATERIALIZED (
-  SELECT *, coalesce(sum(CAST(is_end AS INTEGER)) OVER (PARTITION BY r ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS c FROM bounds
-), chunks AS MATERIALIZED (
-  SELECT r, rank, c, min(i) AS start, count(*) AS n, string_agg(line, chr(10) ORDER BY i) AS chunk FROM placed GROUP BY r, rank, c
-), gone AS (
-  SELECT r, c FROM (
-    SELECT r, c, CAST(rank AS HUGEINT) * 2147483648 + start AS place, min(CAST(rank AS HUGEINT) * 2147483648 + start) OVER (PARTITION BY chunk) AS first
-    FROM chunks WHERE n >= 2 AND regexp_matches(chunk, '[^\x20\x09-\x0D]')
-  ) WHERE place > first
-), kept AS (
-  SELECT r, count(*) AS n_lines, count(DISTINCT p.c) AS n_chunks, count(g.c) AS n_removed,
-         string_agg(line, chr(10) ORDER BY i) FILTER (WHERE g.c IS NULL) AS text
-  FROM placed p LEFT JOIN gone g USING (r, c) GROUP BY r
+), pairs AS MATERIALIZED (
+  SELECT r, rank, i, list_slice(lines, i, i + 1) AS pair
+  FROM (SELECT r, rank, lines, unnest(range(1, len(lines))) AS i FROM docs WHERE len(lines) > 1)
+), firsts AS MATERIALIZED (
+  SELECT pair, min((rank, i)) AS first FROM pairs WHERE regexp_matches(array_to_string(pair, ''), '[^\x20\x09-\x0D]') GROUP BY pair HAVING count(*) > 1
+), gone AS MATERIALIZED (
+  SELECT r, i FROM pairs JOIN firsts USING (pair) WHERE rank > first[1] OR i > first[2] + 1
+), chunks AS (
+  SELECT r, count(*) AS n_chunks FROM (SELECT r, i, lag(i) OVER (PARTITION BY r ORDER BY i) AS before FROM gone) WHERE before IS NULL OR before < i - 1 GROUP BY r
+), covered AS (
+  SELECT r, list_distinct(flatten(list([i, i + 1]))) AS g FROM gone GROUP BY r
 )
-SELECT doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_chunks, 0) AS n_chunks, coalesce(n_removed, 0) AS n_removed_lines,
-       sha256(coalesce(text, '')) AS kept_sha256
-FROM docs LEFT JOIN kept USING (r)
+SELECT doc_id, coalesce(len(lines), 0) AS n_lines, coalesce(n_chunks, 0) AS n_chunks, coalesce(len(g), 0) AS n_removed_lines,
+       sha256(coalesce(array_to_string(list_filter(lines, lambda x, i: NOT list_contains(coalesce(g, []), i)), chr(10)), '')) AS kept_sha256
+FROM docs LEFT JOIN covered USING (r) LEFT JOIN chunks USING (r)
 """
 
 EMBEDDINGS = """
