@@ -66,26 +66,18 @@ def graph_of(spark, store):
 
 def test_a_new_checkpoint_folds_new_records_and_skips_old_ones(spark, sf, tmp_path):
     """Progress is the store's own: offsets, not batch numbers."""
-    source, store, whole = (str(tmp_path / name) for name in ("in", "graph", "whole"))
-    records = shaped(derive.node_records(spark, sf)).unionByName(shaped(derive.edge_records(spark, sf))).where("offset < 300")
-
-    def drain(checkpoint):
+    source, store, again = (str(tmp_path / name) for name in ("in", "graph", "again"))
+    records = shaped(derive.node_records(spark, sf)).unionByName(shaped(derive.edge_records(spark, sf))).where("offset < 200")
+    parts = [records.where("offset < 120"), records.where("offset >= 120")]
+    for part, checkpoint in zip(parts, ("one", "two")):  # the second checkpoint is new: it reads all files, as batch 0
+        part.write.mode("append").parquet(source)
         graph_writer(stream_records(spark, "parquet", source), str(tmp_path / checkpoint), store, buckets=4, available_now=True).start().awaitTermination()
-
-    for part, checkpoint in enumerate(("one", "one", "two", "three")):  # the second batch of `one`, then lost checkpoints
-        records.where((F.col("offset") >= part * 75) & (F.col("offset") < part * 75 + 75)).write.mode("append").parquet(source)
-        drain(checkpoint)
-    fold_batch(records, whole, buckets=4)
-    found, want = graph_of(spark, store), graph_of(spark, whole)
-    # Nodes go before edges in each batch, so tombstones and endpoints may differ from one large batch; ids do not.
-    assert found["nodes"] and found["edges"]
-    again = str(tmp_path / "again")
-    for part in range(4):
-        fold_batch(records.where((F.col("offset") >= part * 75) & (F.col("offset") < part * 75 + 75)), again, buckets=4)
-    assert found == graph_of(spark, again) and found["node_tombstones"] == want["node_tombstones"]
-    before = Store(spark, store, fold.GRAPH_TABLES, KEYS).version
-    drain("four")  # everything once more: nothing is new
-    assert graph_of(spark, store) == found and Store(spark, store, fold.GRAPH_TABLES, KEYS).version == before + 1
+    for part in parts:
+        fold_batch(part, again, buckets=4)
+    found = graph_of(spark, store)
+    assert found["nodes"] and found["edges"] and found == graph_of(spark, again)
+    left = Store(spark, store, fold.GRAPH_TABLES, KEYS).new_records(records.unionByName(records.withColumn("offset", F.col("offset") + 200)))
+    assert left.count() == records.where("offset >= 0").count()
 
 
 def node_event(key, offset, content="h1"):
