@@ -17,14 +17,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 TOKEN = re.compile(
-    r"<!--.*?(?:--!?>|\Z)"
+    r"<!--(?:-?>|.*?(?:--!?>|\Z))"
     r"|<(script|style|noscript|template|svg|iframe|head|textarea|select|object|canvas|math|audio|video)(?=[\s/>])(?:[^>\"'=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')?+|[\"'])*+>"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"'=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')?+|[\"'])*+)>"
     r"|<[!?][^>]*>",
     re.S | re.I,
 )
 ATTRIBUTE = re.compile(r"""\b(class|id|role|aria-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", re.I)
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
+# Phrasing elements: what stands inside a sentence ends no block.
+INLINE = frozenset("a abbr acronym area b bdi bdo big blink button cite code data del dfn em embed font i img input ins kbd keygen label link map mark meta meter nobr output picture progress q rb rp rt rtc ruby s samp slot small source span strike strong sub sup time track tt u var wbr".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 CLOSES_P = frozenset("address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split())
 RAW = frozenset("script style textarea iframe".split())
@@ -116,7 +117,7 @@ def blocks(page: str) -> list:
             if not end and close == "head":
                 end = re.compile(r"(?=<body\b)", re.I).search(page, at)
             at = end.end() if end else _unclosed(page, at, close)
-            if close not in ("svg", "math", "textarea", "select"):
+            if close == "head":
                 close_block()
             continue
         tag = (found[3] or "").lower()
@@ -171,9 +172,9 @@ def text_features(text: str, linked: float) -> list:
     words = text.count(" ") + 1
     found = ["always", f"words {sum(words >= least for least in (2, 4, 8, 16, 32, 64))}", f"linked {sum(linked > least for least in (0, 0.3, 0.7, 0.95))}"]
     found.append("sentence" if text[-1] in ".!?…。:;\"”" else "no stop")
-    if PHRASES.search(text[:200]):
+    if PHRASES.search(text):
         found.append("phrase")
-    if sum(map(str.isdigit, text[:100])) * 5 > len(text[:100]):
+    if sum(map(str.isdigit, text)) * 5 > len(text):
         found.append("digits")
     return found
 
