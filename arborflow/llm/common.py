@@ -17,6 +17,21 @@ LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 ITEM_WORDS = bytes(LOWER[c] if 48 <= c <= 57 or 65 <= c <= 90 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 
 
+_caches: dict = {}  # of this Python worker, which runs tasks of one operator after the other
+
+
+def worker_cache(owner: str, key=None, make=None):
+    """The worker's cache of an operator, kept over its tasks; what other operators kept is let go."""
+    for other in [o for o in _caches if o != owner]:
+        del _caches[other]
+    if make is None:
+        return None
+    kept = _caches.get(owner)
+    if kept is None or kept[0] != key:
+        _caches[owner] = kept = (key, make())
+    return kept[1]
+
+
 def id_or_last(name: str):
     """An id column as long, a null as the largest value."""
     return F.coalesce(F.col(name).cast("long"), F.lit(NO_ID))

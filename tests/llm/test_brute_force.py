@@ -280,3 +280,34 @@ def test_extraction_of_articles(spark, sf):
         inner = re.search(r"<article>(.*?)</article>", row.html, re.S)[1]
         same += row.text == " ".join(entities.unescape(re.sub(r"<[^>]*>", " ", inner)).split())
     assert same >= 0.98 * len(rows)
+
+
+def test_words_are_tokenized_as_texts_are(monkeypatch):
+    """Plain and odd words, through caches that overflow, against the tokenizer on the whole text."""
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(packing, "CACHE_WORDS", 60)
+    path = queries.tokenizer_path()
+    whole, own = Tokenizer.from_file(path), packing.WordTokens(path, 2)
+    odd = "it's IT'S we'll 'tis ''d' a1b2 12,345.67 x--y Straße ÀÉÎ ĮÆ İstanbul ŁÓDŹ ﬁne été 你好 😀! a b c\u0085d ­ <|endoftext|> a<|startoftext|>b ΣΑΣ ½ ² ª º '' '' … “quoted” \x00 \x1c x\x1dy".split(" ")
+    random = np.random.default_rng(5)
+    letters = list("abcdeABCDEéüßÄñç'’.,!?-0123456789")
+    words = odd + ["".join(random.choice(letters, random.integers(1, 12))) for _ in range(500)]
+    for at in range(0, len(words), 40):
+        part = words[at : at + 40]
+        ids, sizes = own.ids([*[w.encode() for w in part], None])
+        assert ids.tolist() == [*whole.encode(" ".join(part), add_special_tokens=False).ids, 2] and sizes[-1] == 1
+
+
+def test_rejection_is_calibrated(spark, documents):
+    """Shuffled texts and an unknown language go, held-out labelled texts stay; rows of one id are drawn by their texts."""
+    model = language.fit(documents)
+    kept, left_out, shuffled = model.shares
+    assert kept <= 0.01 and left_out >= 0.8 and shuffled >= 0.95
+    random = np.random.default_rng(1)
+    letters = [chr(c) for c in range(ord("a"), ord("z") + 1)]
+    junk = [(i, " ".join("".join(random.choice(letters, random.integers(3, 9))) for _ in range(60))) for i in range(40)]
+    found = language.predict(spark.createDataFrame(junk, "doc_id long, text string"), model).collect()
+    assert sum(r.rejected for r in found) >= 38
+    same = language.fit(documents.selectExpr("1 as doc_id", "text", "lang"))
+    assert same.languages == model.languages
