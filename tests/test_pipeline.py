@@ -206,9 +206,9 @@ def test_fail_fast_stops_parsing(spark, tmp_path, monkeypatch):
     parsed = []
     real = pipeline.flatten
 
-    def counting(sources):
+    def counting(sources, **options):
         parsed.extend(r.file_path for r in sources.select("file_path").collect())
-        return real(sources)
+        return real(sources, **options)
 
     monkeypatch.setattr(pipeline, "flatten", counting)
     sources = pipeline.tree_sources(spark, str(tmp_path), "demo", "c1")
