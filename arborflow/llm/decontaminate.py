@@ -8,14 +8,15 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from arborflow.llm.common import FLUSH_WORDS, ITEM_WORDS, as_batch, gram_hashes, texts_of, word_codes
+from arborflow.llm.common import ITEM_WORDS, as_batch, gram_hashes, texts_of, word_codes, worker_cache
 from arborflow.session import written
 
 SPAN = 10  # words of a window
 GRAM, WINDOW = 5, 6  # WINDOW + GRAM - 1 == SPAN
+HELD_WORDS = 250_000  # words that a task holds at a time, whole texts; results do not depend on it
 FILTER_BITS = 24  # the filter of fingerprints has 2**24 bits (2 MB), however large the benchmark is
 
 
@@ -44,10 +45,11 @@ def _short_hashes(codes, owners, size):
 def _flushes(batches, id_name):
     held, words = [], 0
     for batch in batches:
-        for key, text in zip(batch.column(id_name).to_pylist(), texts_of(batch, "text")):
-            held.append((key, words_of(text)))
+        extra = batch.column("carried").to_pylist() if "carried" in batch.schema.names else [None] * batch.num_rows
+        for key, text, carried in zip(batch.column(id_name).to_pylist(), texts_of(batch, "text"), extra):
+            held.append((key, words_of(text), carried))
             words += len(held[-1][1])
-            if words >= FLUSH_WORDS or len(held) >= 100_000:
+            if words >= HELD_WORDS or len(held) >= 100_000:
                 yield held
                 held, words = [], 0
     if held:
@@ -55,7 +57,7 @@ def _flushes(batches, id_name):
 
 
 def _arrays(held):
-    parts = [words for _, words in held]
+    parts = [words for _, words, _ in held]
     sizes = np.array([len(p) for p in parts])
     flat = [word for words in parts for word in words]
     return flat, word_codes(flat), np.repeat(np.arange(len(held)), sizes), np.cumsum(sizes) - sizes, sizes
@@ -100,8 +102,8 @@ def _filter_of(windows: DataFrame) -> np.ndarray:
     return np.unpackbits(table.view(np.uint8), bitorder="little").astype(bool)
 
 
-DOC_SCHEMA = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("n_words", pa.int64()), ("hash", pa.int64()), ("at", pa.int64()), ("left", pa.int32()), ("context", pa.string())])
-DOC_DDL = "row long, doc_id long, n_words long, hash long, at long, left int, context string"
+DOC_SCHEMA = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("n_words", pa.int64()), ("hash", pa.int64()), ("at", pa.int64()), ("left", pa.int32()), ("context", pa.string()), ("carried", pa.binary())])
+DOC_DDL = "row long, doc_id long, n_words long, hash long, at long, left int, context string, carried binary"
 
 
 def _document_rows(packed_filter, shorts):
@@ -110,6 +112,7 @@ def _document_rows(packed_filter, shorts):
     def run(batches):
         from pyspark import TaskContext
 
+        worker_cache("decontaminate")
         bits = np.unpackbits(np.frombuffer(packed_filter.value, np.uint8)).astype(bool)
         row = TaskContext.get().partitionId() << 40
         known = lambda h: bits[(h >> np.uint64(64 - FILTER_BITS)).astype(np.int64)]
@@ -117,7 +120,7 @@ def _document_rows(packed_filter, shorts):
             flat, codes, owners, begins, sizes = _arrays(held)
             out = {f.name: [] for f in DOC_SCHEMA}
             none = [None] * len(held)
-            for name, values in zip(out, (range(row, row + len(held)), [k for k, _ in held], sizes.tolist(), none, none, none, none)):
+            for name, values in zip(out, (range(row, row + len(held)), [k for k, _, _ in held], sizes.tolist(), none, none, none, none, [c for *_, c in held])):
                 out[name].extend(values)
 
             def add(places, found, before, after):
@@ -125,7 +128,7 @@ def _document_rows(packed_filter, shorts):
                     owner = owners[place]
                     first = max(place - before, begins[owner])
                     context = b" ".join(flat[first : min(place + after, begins[owner] + sizes[owner])]).decode()
-                    for name, value in zip(out, (row + int(owner), held[owner][0], None, hash_, place - int(begins[owner]), place - int(first), context)):
+                    for name, value in zip(out, (row + int(owner), held[owner][0], None, hash_, place - int(begins[owner]), place - int(first), context, None)):
                         out[name].append(value)
 
             if len(flat) >= SPAN:
@@ -147,9 +150,11 @@ def _document_rows(packed_filter, shorts):
     return run
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", carried: Column | None = None) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items (sorted ids as strings) and contaminated of every document.
 
+    With `carried`, a column of bytes, its value comes along under that name, to tell rows of one id apart.
+
     One pass over the documents emits only fingerprints that pass a filter of fixed size over the benchmark's, with
     the words around; an equi-join with the benchmark's windows and a comparison of the words themselves decide.
     Null or empty texts have no words; items without words have no windows. An item without id makes hits but is
@@ -159,7 +164,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     windows = written(item_windows(benchmark, item_col, item_text_col), "benchmark-windows")
     packed = spark.sparkContext.broadcast(np.packbits(_filter_of(windows)).tobytes())
     shorts = sorted(r[0] for r in windows.where(F.col("size") < SPAN).select("size").distinct().collect())  # nine at most
-    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    extra = [] if carried is None else [carried.alias("carried")]
+    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), *extra)
     rows = written(source.mapInArrow(_document_rows(packed, shorts), DOC_DDL), "benchmark-hits")
 
     spans = windows.select("hash", "offset", "size", "span").distinct()
@@ -177,11 +183,12 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     covered = hits.select("row", fresh.alias("fresh")).groupBy("row").agg(F.sum("fresh").alias("n_hit"))
     items = hits.select("row", "span").distinct().join(windows.where(F.col("item_id").isNotNull()).select("span", "item_id").distinct(), "span")
     items = items.groupBy("row").agg(F.sort_array(F.collect_set("item_id")).alias("items"))
-    base = rows.where(F.col("n_words").isNotNull()).select("row", "doc_id", "n_words")
+    base = rows.where(F.col("n_words").isNotNull()).select("row", "doc_id", "n_words", *(["carried"] if extra else []))
     return base.join(covered, "row", "left").join(items, "row", "left").select(
         "doc_id",
         "n_words",
         F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"),
         (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"),
+        *(["carried"] if extra else []),
     )
