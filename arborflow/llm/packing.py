@@ -7,6 +7,7 @@ fills its own bins in one pass; bins left open at its end are joined with each o
 
 from __future__ import annotations
 
+import re
 import zlib
 
 import numpy as np
@@ -14,12 +15,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arborflow.llm.common import as_batch, texts_of
+from arborflow.llm.common import as_batch, texts_of, worker_cache
 
 CAPACITY = 4096
 END = 2  # id that closes each document
 SLACK = 1 / 32  # share of a slot that a whole piece may leave empty
-CACHE_WORDS = 3_000_000
+CACHE_WORDS = 1_500_000  # words whose ids a worker keeps from one part of a task to the next
+HELD_WORDS = 1_000_000  # words that a task holds at a time, whole texts
 
 
 def slot_counts(capacity: int) -> list:
@@ -46,60 +48,140 @@ def cut_lengths(length: int, capacity: int = CAPACITY, slack: float = SLACK) ->
     return pieces
 
 
+# Words of these characters only are lower-cased and cut alike by Python and by the tokenizer: no white space, nothing
+# that composes with a neighbour, no letter whose lower case is two. The rest goes through the whole tokenizer.
+PLAIN = re.compile("[!-~\u00a1-\u012f]+")
+LETTERS = "a-z" + "".join(c for c in map(chr, range(0xA1, 0x130)) if c.isalpha())
+NUMBERS = "0-9" + "".join(c for c in map(chr, range(0xA1, 0x130)) if c.isnumeric())
+# Fixed value: how the tokenizer cuts a lower-cased word; its classes of letters and numbers, as far as plain words go.
+PIECES = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{NUMBERS}]|[^{LETTERS}{NUMBERS}]+")
+
+
+class _Numbered(dict):
+    """A number for each key, in order of first sight; `fresh` has the keys since it was last emptied."""
+
+    def __init__(self, *first):
+        super().__init__(zip(first, range(len(first))))
+        self.fresh: list = []
+
+    def __missing__(self, key):
+        self[key] = number = len(self)
+        self.fresh.append(key)
+        return number
+
+    def taken(self) -> list:
+        fresh, self.fresh = self.fresh, []
+        return fresh
+
+
+def _grown(array: np.ndarray, size: int) -> np.ndarray:
+    """The array, twice as long as often as it takes to hold so many."""
+    while len(array) < size:
+        array = np.concatenate((array, np.zeros_like(array)))
+    return array
+
+
+def _spans(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Places of spans, one after the other."""
+    return np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+
+
 class WordTokens:
-    """Token ids of texts through a cache of words: the tokenizer never joins what white space parts."""
+    """Token ids of words, which the tokenizer never joins across white space; None stands for a text's closing id.
 
-    def __init__(self, path: str):
+    Plain words are cut here and their pieces encoded by the tokenizer's merges alone, each piece once.
+    """
+
+    def __init__(self, path: str, end: int):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        self.whole, self.merges, self.end = Tokenizer.from_file(path), Tokenizer.from_file(path), end
+        self.merges.normalizer = None
+        self.merges.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        vocabulary = self.whole.get_vocab()
+        self.closing = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.closing[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.clear()
 
     def clear(self):
-        self.places, self.flat = {}, np.zeros(0, np.uint32)
-        self.starts, self.sizes = np.zeros(0, np.int64), np.zeros(0, np.int64)
-
-    def learn(self, words: set):
-        """Adds words that are not known yet."""
-        fresh = [w for w in words if w not in self.places]
-        if len(self.places) + len(fresh) > CACHE_WORDS:
-            self.clear()
-            fresh = list(words)
+        self.places, self.pieces = _Numbered(None), _Numbered()
+        self.flat, self.used = np.full(1 << 16, self.end, np.uint32), 1
+        self.starts, self.sizes = np.zeros(1 << 14, np.int64), np.ones(1 << 14, np.int64)  # of words, None the first
+        self.piece_starts, self.piece_sizes = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
+
+    def _store(self, ids: np.ndarray) -> int:
+        """Place of ids in the flat array."""
+        self.flat = _grown(self.flat, self.used + len(ids))
+        self.flat[self.used : self.used + len(ids)] = ids
+        self.used += len(ids)
+        return self.used - len(ids)
+
+    def _encoded(self, pieces: list) -> tuple:
+        """(ids, sizes) of pieces, 100 at a time; each ends with its only token that closes a word."""
+        lines = [pieces[i : i + 100] for i in range(0, len(pieces), 100)]
         ids, sizes = [], []
-        for at in range(0, len(fresh), 20_000):
-            part = [w.decode() for w in fresh[at : at + 20_000]]
-            lines = [part[i : i + 400] for i in range(0, len(part), 400)]
-            for line, found in zip(lines, self.tokenizer.encode_batch([" ".join(line) for line in lines], add_special_tokens=False)):
-                begins = np.cumsum([0] + [len(w) + 1 for w in line])
-                owner = np.searchsorted(begins, np.array([a for a, _ in found.offsets], np.int64), "right") - 1
-                ids.append(np.array(found.ids, np.uint32))
-                sizes.append(np.bincount(owner, minlength=len(line)))
+        for line, found in zip(lines, self.merges.encode_batch_fast([" ".join(line) for line in lines], add_special_tokens=False)):
+            own = np.array(found.ids, np.uint32)
+            ends = np.flatnonzero(self.closing[own])
+            if len(ends) != len(line) or ends[-1] != len(own) - 1:
+                each = [e.ids for e in self.merges.encode_batch_fast(line, add_special_tokens=False)]
+                own, ends = np.array([i for e in each for i in e], np.uint32), np.cumsum([len(e) for e in each]) - 1
+            ids.append(own)
+            sizes.append(np.diff(ends, prepend=-1))
+        return np.concatenate(ids), np.concatenate(sizes)
+
+    def _learn(self, words: list):
+        """Ids of words that were numbered one after the other, up to the last number."""
+        numbers, counts, other, pieces = [], [], [], self.pieces
+        for at, word in enumerate(words):
+            text = word.decode()
+            if word.isalpha():
+                numbers.append(pieces[text.lower()])
+                counts.append(1)
+            elif PLAIN.fullmatch(text) and "<|" not in text:  # special tokens are the whole tokenizer's
+                own = PIECES.findall(text.lower())
+                numbers += [pieces[p] for p in own]
+                counts.append(len(own))
+            else:
+                counts.append(0)
+                other.append((at, text))
+        fresh = pieces.taken()
         if fresh:
-            sizes = np.concatenate(sizes)
-            self.places.update(zip(fresh, range(len(self.places), len(self.places) + len(fresh))))
-            self.starts = np.concatenate((self.starts, np.cumsum(sizes) - sizes + len(self.flat)))
-            self.sizes = np.concatenate((self.sizes, sizes))
-            self.flat = np.concatenate((self.flat, *ids))
-
-    def ids(self, words: list) -> np.ndarray:
-        """Ids of a text's words; they have to be known."""
+            ids, sizes = self._encoded(fresh)
+            first = len(pieces) - len(fresh)
+            self.piece_starts, self.piece_sizes = _grown(self.piece_starts, len(pieces)), _grown(self.piece_sizes, len(pieces))
+            self.piece_sizes[first : len(pieces)] = sizes
+            self.piece_starts[first : len(pieces)] = self._store(ids) + np.cumsum(sizes) - sizes
+
+        numbers, counts = np.array(numbers, np.int64), np.array(counts, np.int64)
+        owner = np.repeat(np.arange(len(words)), counts)
+        sizes = np.bincount(owner, self.piece_sizes[numbers], len(words)).astype(np.int64)
+        starts = np.zeros(len(words), np.int64)
+        alone = counts[owner] == 1
+        starts[owner[alone]] = self.piece_starts[numbers[alone]]  # a word of one piece has its ids
+        several, joined = np.flatnonzero(counts > 1), numbers[~alone]
+        if len(several):
+            ids = self.flat[_spans(self.piece_starts[joined], self.piece_sizes[joined])]
+            starts[several] = self._store(ids) + np.cumsum(sizes[several]) - sizes[several]
+        for (at, _), found in zip(other, self.whole.encode_batch_fast([text for _, text in other], add_special_tokens=False) if other else ()):
+            starts[at], sizes[at] = self._store(np.array(found.ids, np.uint32)), len(found.ids)
+        first, end = len(self.places) - len(words), len(self.places)
+        self.starts, self.sizes = _grown(self.starts, end), _grown(self.sizes, end)
+        self.starts[first:end], self.sizes[first:end] = starts, sizes
+
+    def ids(self, words: list) -> tuple:
+        """(ids of all the words in order, number of ids of each)."""
+        if len(self.places) > CACHE_WORDS:
+            self.clear()
         at = np.fromiter(map(self.places.__getitem__, words), np.int64, len(words))
+        fresh = self.places.taken()
+        if fresh:
+            self._learn(fresh)
         sizes = self.sizes[at]
-        shift = self.starts[at] - (np.cumsum(sizes) - sizes)
-        return self.flat[np.repeat(shift, sizes) + np.arange(sizes.sum())]
-
-
-_tokens: dict = {}
-
-
-def tokens_for(path: str) -> WordTokens:
-    """One cache per Python worker, kept over tasks."""
-    if path not in _tokens:
-        _tokens[path] = WordTokens(path)
-    return _tokens[path]
+        return self.flat[_spans(self.starts[at], sizes)], sizes
 
 
 SCHEMA = pa.schema([(n, pa.int64()) for n in ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")])
@@ -109,9 +191,10 @@ def _packer(path, capacity, end, slack):
     def run(batches):
         from pyspark import TaskContext
 
-        tokens = tokens_for(path)
+        tokens = worker_cache("packing", (path, end), lambda: WordTokens(path, end))
         following = [TaskContext.get().partitionId() << 36]
         open_bins: dict = {}  # class: pieces of its open bin
+        cuts: dict = {}  # pieces of a document by its length
         out = {f.name: [] for f in SCHEMA}
 
         def close(pieces):
@@ -123,28 +206,38 @@ def _packer(path, capacity, end, slack):
             following[0] += 1
 
         def texts():
-            held, size = [], 0
+            keys, words, ends = [], [], []
             for batch in batches:
                 for key, text in zip(batch.column("doc_id").to_pylist(), texts_of(batch, "text")):
-                    held.append((key, (text or b"").split()))
-                    size += len(held[-1][1])
-                    if size > 1_000_000:
-                        yield held
-                        held, size = [], 0
-            yield held
-
-        for held in texts():
-            tokens.learn({word for _, words in held for word in words})
-            for key, words in held:
-                ids = np.append(tokens.ids(words), np.uint32(end)).astype("<u4")
+                    keys.append(key)
+                    words += (text or b"").split()
+                    words.append(None)
+                    ends.append(len(words))
+                    if len(words) > HELD_WORDS:
+                        yield keys, words, ends
+                        keys, words, ends = [], [], []
+            if keys:
+                yield keys, words, ends
+
+        for keys, words, ends in texts():
+            ids, sizes = tokens.ids(words)
+            ids = ids.astype("<u4", copy=False)
+            bounds = np.cumsum(sizes)[np.array(ends) - 1].tolist()
+            begin = 0
+            for key, bound in zip(keys, bounds):
+                size = bound - begin
+                pieces = cuts.get(size)
+                if pieces is None:
+                    pieces = cuts[size] = cut_lengths(size, capacity, slack)
                 start = 0
-                for length, fit in cut_lengths(len(ids), capacity, slack):
-                    crc = zlib.crc32(ids[start : start + length])
+                for length, fit in pieces:
+                    crc = zlib.crc32(ids[begin + start : begin + start + length])
                     bin_ = open_bins.setdefault(fit, [])
-                    bin_.append((key, start, length, crc, len(ids)))
+                    bin_.append((key, start, length, crc, size))
                     start += length
                     if len(bin_) == fit:
                         close(open_bins.pop(fit))
+                begin = bound
                 if len(out["doc_id"]) > 20_000:
                     yield as_batch(out, SCHEMA)
                     out = {f.name: [] for f in SCHEMA}
