@@ -6,20 +6,23 @@ small, their number gives near copies a common one with a chance of RECALL. Insi
 whole fingerprint proposes, one pair for each text, and the shingles decide:
 
 * first each text goes with the first one that is so close that the similarity is all but sure (a tree per group);
-* then, round by round, with the nearest text that it is not connected to yet.
+* then, round by round, with the nearest texts that it is not connected to yet and was not compared with, one in the
+  first round and twice as many in each further one, until no text has any left.
 
-So the number of pairs follows the number of texts, however large the groups of near copies are.
+So texts that are connected are not compared again, and the number of pairs follows the number of texts and of their
+neighbours that turn out to be less similar, however large the groups of near copies are.
 """
 
 from __future__ import annotations
 
 import math
 from itertools import chain
+from itertools import count as count_up
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from arborflow.llm.columns import BITMAP_COLUMNS, bitmap, document_key, marked
@@ -33,11 +36,9 @@ BITS = 64 * PARTS
 AGREE = 0.8485  # chance that a bit agrees at the similarity: 1 - acos(2s / (1 + s)) / pi
 RECALL = 0.99  # of pairs at the similarity, by common blocks
 GROUP_ROWS = 256  # texts of a block's group that the length of blocks aims at
-LARGE_GROUP = 8192  # larger groups are dealt again by longer blocks, at last in slices
+LARGE_GROUP = 8192  # larger groups are dealt again by longer blocks, at last in tiles of two slices
 LONGER = (0, 6, 12)  # bits that blocks grow by
-ANCHORS = 256  # texts of a sliced group that all its slices hold
 CLOSE, FAR = 22, 56  # bits of BITS: 39 +- 6 differ at the similarity, 22 +- 4 at 0.93
-ROUNDS = 4
 COMPARED = 1 << 20  # distances that a task holds at a time
 FINGERPRINT = [f"f{i}" for i in range(PARTS)]
 
@@ -116,10 +117,11 @@ def _dealt(nodes: DataFrame, rows: int, large: list) -> DataFrame:
             dealt = found.where("slices IS NULL").drop("slices")
             over = found.where("slices IS NOT NULL")
             if longer == LONGER[-1]:
+                # Any two slices share a tile, so any two texts of the group meet.
                 own = F.pmod(F.xxhash64("node", "key"), F.col("slices")).cast("int")
-                anchor = F.pmod(F.xxhash64("node", F.lit(1)), F.col("slices") * LARGE_GROUP) < ANCHORS
-                over = over.withColumn("slice", F.explode(F.when(anchor, F.sequence(F.lit(0), F.col("slices") - 1)).otherwise(F.array(own))))
-                dealt = dealt.unionByName(over.withColumn("key", F.xxhash64("key", "slice")).drop("slice", "slices"))
+                over = over.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
+                tile = F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other"))
+                dealt = dealt.unionByName(over.withColumn("key", tile).drop("own", "other", "slices"))
         out = dealt if out is None else out.unionByName(dealt)
         if keys is None:
             break
@@ -175,21 +177,21 @@ def _tree_links(prints):
     return ones, others, np.flatnonzero(near)
 
 
-def _nearest(prints, root, node, refused):
-    """(i, j, distance): the nearest row of another root, not refused and not FAR, of each that has any."""
+def _nearest(prints, root, nodes, refused, most):
+    """(i, j, distance): of each row up to `most` of the nearest rows of another root, not refused and not FAR."""
     size = len(prints[0])
     step = max(1, COMPARED // size)
-    equal = lambda one, other, a, b: (one[a:b, 0, None] == other[None, :, 0]) & (one[a:b, 1, None] == other[None, :, 1])
+    place = {node: j for j, node in enumerate(nodes)} if any(refused) else {}
     for a in range(0, size, step):
         b = min(a + step, size)
         far = _distances(prints, slice(a, b), slice(0, size))
-        far[equal(root, root, a, b)] = BITS
-        for mine in refused:
-            far[equal(mine, node, a, b)] = BITS
-        best = far.argmin(axis=1)
-        least = far[np.arange(b - a), best]
-        hit = np.flatnonzero(least <= FAR)
-        yield a + hit, best[hit], least[hit]
+        far[(root[a:b, 0, None] == root[None, :, 0]) & (root[a:b, 1, None] == root[None, :, 1])] = BITS
+        for i in range(a, b) if place else ():
+            far[i - a, [place[v] for v in refused[i] or () if v in place]] = BITS
+        for i in np.flatnonzero((far <= FAR).any(axis=1)):
+            found = np.flatnonzero(far[i] <= FAR)
+            found = found[np.argsort(far[i, found], kind="stable")[:most]]
+            yield np.full(len(found), a + i), found, far[i, found]
 
 
 def _regions(batches, columns):
@@ -211,27 +213,27 @@ def _regions(batches, columns):
             held = held.slice(cut)
 
 
-def _proposed(again: bool, refused: int):
-    """Rows (u, v, far). First round: links of trees, and (u, null, null) for texts with any near; later the nearest."""
+def _proposed(most: int):
+    """Rows (u, v, far). First (`most` is 0): links of trees, and (u, null, null) for texts with any near; later the nearest."""
     schema = pa.schema([("u", pa.binary()), ("v", pa.binary()), ("far", pa.int32())])
-    columns = ["key", "node", *FINGERPRINT, *(["root", *[f"x{i}" for i in range(refused)]] if again else [])]
+    columns = ["key", "node", *FINGERPRINT, *(["root", "refused"] if most else [])]
 
     def run(batches):
         worker_cache("near_copies")
         for rows, starts, ends in _regions(batches, columns):
             all_prints = [rows.column(f).to_numpy() for f in FINGERPRINT]
             nodes = pa.concat_arrays(rows.column("node").chunks)
-            if again:
-                root, node, tried = _halves(rows.column("root")), _halves(nodes), [_halves(rows.column(f"x{k}")) for k in range(refused)]
+            root = _halves(rows.column("root")) if most else None
             u, v, far = [], [], []
             for start, end in zip(starts, ends):
                 prints = [f[start:end] for f in all_prints]
-                if not again:
+                if not most:
                     ones, others, near = _tree_links(prints)
                     u += [np.array(ones, np.int64) + start, near + start]
                     v += [np.array(others, np.int64) + start, np.full(len(near), -1)]
                 elif not (root[start:end] == root[start]).all():
-                    for i, j, d in _nearest(prints, root[start:end], node[start:end], [x[start:end] for x in tried]):
+                    own, refused = nodes.slice(start, end - start).to_pylist(), rows.column("refused").slice(start, end - start).to_pylist()
+                    for i, j, d in _nearest(prints, root[start:end], own, refused, most):
                         u.append(i + start)
                         v.append(j + start)
                         far.append(d)
@@ -268,9 +270,9 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     A link joins texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more; no other does. Equal
     sets are one node (by a 128-bit digest), so copies never meet. component_id is the smallest doc_id that links
     reach, first_key the document of that id (of several, the smallest key). A null id comes after all others. Texts
-    without words are one group. Groups of near copies are never compared pair by pair: a link may be missed if its
-    two texts have no common block (1 - RECALL at the similarity), or if each of them is nearer to others that are
-    less similar by their shingles ROUNDS times over.
+    without words are one group. All texts that share a block and are not FAR end up connected or compared, whatever
+    the size of their group; a link may be missed only if its two texts have no common block (1 - RECALL at the
+    similarity) or are FAR (3 standard deviations at the similarity).
     """
     key = document_key(id_col, text_col).alias("key")
     source = docs.select(id_or_last(id_col).alias("rank"), key, F.col(text_col).alias("text"))
@@ -282,7 +284,7 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     large = _large_groups(prints, count)
 
     schema = "u binary, v binary, far int"
-    met = _dealt(prints, count, large).mapInArrow(_proposed(False, 0), schema)
+    met = _dealt(prints, count, large).mapInArrow(_proposed(0), schema)
     met = written(met.groupBy("u").agg(F.min("v").alias("v")), "near-met")
     # Shingles are needed of texts with a near one only, of one document each; the bitmap is of fixed size.
     wanted = met.select(F.col("u").alias("node")).join(nodes, "node").select("node", F.col("first.key").alias("key"))
@@ -294,17 +296,21 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     open_nodes = written(prints.join(wanted.select("node"), "node"), "near-open")
     judged = written(_compared(met.where("v IS NOT NULL"), sets), "near-judged")
     roots = components(judged.where("similar").select("u", "v"), "near-roots")
-    for again in range(1, ROUNDS):
-        tried = judged.where("NOT similar").groupBy("u").agg(F.array_distinct(F.collect_list("v")).alias("x"))
-        state = open_nodes.join(roots.select(F.col("u").alias("node"), "root"), "node", "left").join(tried.withColumnRenamed("u", "node"), "node", "left")
-        state = state.select("node", *FINGERPRINT, F.coalesce("root", "node").alias("root"), *[F.get("x", i).alias(f"x{i}") for i in range(again)])
-        nearest = _dealt(state, count, large).mapInArrow(_proposed(True, again), schema)
-        nearest = nearest.groupBy("u").agg(F.min_by("v", F.struct("far", "v")).alias("v"))
-        fresh = written(_compared(nearest, sets), "near-judged")
-        if fresh.where("similar").isEmpty():
+    for again in count_up():
+        most = 1 << again  # so rounds follow the logarithm of the neighbours of a text
+        tried = judged.where("NOT similar").groupBy(F.col("u").alias("node")).agg(F.collect_set("v").alias("refused"))
+        state = open_nodes.join(roots.select(F.col("u").alias("node"), "root"), "node", "left").join(tried, "node", "left")
+        state = state.select("node", *FINGERPRINT, F.coalesce("root", "node").alias("root"), "refused")
+        nearest = _dealt(state, count, large).mapInArrow(_proposed(most), schema)
+        nearest = nearest.groupBy("u", "v").agg(F.min("far").alias("far"))
+        nearest = nearest.withColumn("place", F.row_number().over(Window.partitionBy("u").orderBy("far", "v"))).where(F.col("place") <= most)
+        fresh = written(_compared(nearest.join(judged, ["u", "v"], "left_anti"), sets), "near-judged")
+        if fresh.isEmpty():
             break
         judged = judged.unionByName(fresh)
-        roots = _merged(roots, fresh.where("similar").select("u", "v"))
+        similar = fresh.where("similar").select("u", "v")
+        if not similar.isEmpty():
+            roots = _merged(roots, similar)
     placed = nodes.join(roots.select(F.col("u").alias("node"), "root"), "node", "left").select("node", "first", F.coalesce("root", "node").alias("root"))
     named = placed.join(placed.groupBy("root").agg(F.min("first").alias("winner")), "root").select("node", "winner")
     given = lambda c: F.nullif(c, F.lit((1 << 63) - 1))
