@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -17,13 +19,18 @@ LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 ITEM_WORDS = bytes(LOWER[c] if 48 <= c <= 57 or 65 <= c <= 90 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 
 
+_owner = None
 _caches: dict = {}  # of this Python worker, which runs tasks of one operator after the other
 
 
 def worker_cache(owner: str, key=None, make=None):
-    """The worker's cache of an operator, kept over its tasks; what other operators kept is let go."""
-    for other in [o for o in _caches if o != owner]:
-        del _caches[other]
+    """The worker's cache of an operator, kept over its tasks; what other operators kept is let go, and its memory freed."""
+    global _owner
+    if owner != _owner:
+        _owner = owner
+        _caches.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
     if make is None:
         return None
     kept = _caches.get(owner)
