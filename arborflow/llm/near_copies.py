@@ -7,7 +7,8 @@ whole fingerprint proposes, one pair for each text, and the shingles decide:
 
 * first each text goes with the first one that is so close that the similarity is all but sure (a tree per group);
 * then, round by round, with the nearest texts that it is not connected to yet and was not compared with, one in the
-  first round and twice as many in each further one, until no text has any left.
+  first round and GROWTH times as many in each further one, until no text has any left; one that has none left leaves
+  the rounds.
 
 So texts that are connected are not compared again, and the number of pairs follows the number of texts and of their
 neighbours that turn out to be less similar, however large the groups of near copies are.
@@ -39,6 +40,7 @@ GROUP_ROWS = 256  # texts of a block's group that the length of blocks aims at
 LARGE_GROUP = 8192  # larger groups are dealt again by longer blocks, at last in tiles of two slices
 LONGER = (0, 6, 12)  # bits that blocks grow by
 CLOSE, FAR = 22, 56  # bits of BITS: 39 +- 6 differ at the similarity, 22 +- 4 at 0.93
+GROWTH = 4  # neighbours that a text may name, from round to round
 COMPARED = 1 << 20  # distances that a task holds at a time
 FINGERPRINT = [f"f{i}" for i in range(PARTS)]
 
@@ -253,6 +255,15 @@ def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return counted.select("u", "v", (F.col("shared") >= SIMILARITY * (F.col("total") - F.col("shared"))).alias("similar"))
 
 
+def _state(nodes: DataFrame, roots: DataFrame, judged: DataFrame) -> DataFrame:
+    """nodes with their root; `refused` also has what they were compared with in judged, at either end, and is less similar."""
+    ends = F.explode(F.array(F.struct(F.col("u").alias("node"), F.col("v").alias("other")), F.struct(F.col("v").alias("node"), F.col("u").alias("other"))))
+    tried = judged.where("NOT similar").select(ends.alias("pair")).groupBy("pair.node").agg(F.collect_set("pair.other").alias("tried"))
+    state = nodes.join(roots.select(F.col("u").alias("node"), "root"), "node", "left").join(tried, "node", "left")
+    refused = F.when(F.col("tried").isNull(), F.col("refused")).otherwise(F.concat("refused", "tried"))
+    return state.select("node", *FINGERPRINT, F.coalesce("root", "node").alias("root"), refused.alias("refused"))
+
+
 def _merged(roots: DataFrame, links: DataFrame) -> DataFrame:
     """(u, root) after further links: components of the roots that these tie together, which are few."""
     for end in ("u", "v"):
@@ -293,24 +304,27 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     sets = found.join(wanted, "key").select("node", "text").mapInArrow(_sets, "node binary, hashes array<long>")
     sets = written(sets.dropDuplicates(["node"]), "near-sets")
 
-    open_nodes = written(prints.join(wanted.select("node"), "node"), "near-open")
     judged = written(_compared(met.where("v IS NOT NULL"), sets), "near-judged")
     roots = components(judged.where("similar").select("u", "v"), "near-roots")
+    left = prints.join(wanted.select("node"), "node").withColumn("refused", F.array().cast("array<binary>"))
     for again in count_up():
-        most = 1 << again  # so rounds follow the logarithm of the neighbours of a text
-        tried = judged.where("NOT similar").groupBy(F.col("u").alias("node")).agg(F.collect_set("v").alias("refused"))
-        state = open_nodes.join(roots.select(F.col("u").alias("node"), "root"), "node", "left").join(tried, "node", "left")
-        state = state.select("node", *FINGERPRINT, F.coalesce("root", "node").alias("root"), "refused")
+        most = GROWTH**again  # so rounds follow the logarithm of the neighbours of a text
+        state = written(_state(left, roots, judged), "near-state")
         nearest = _dealt(state, count, large).mapInArrow(_proposed(most), schema)
         nearest = nearest.groupBy("u", "v").agg(F.min("far").alias("far"))
         nearest = nearest.withColumn("place", F.row_number().over(Window.partitionBy("u").orderBy("far", "v"))).where(F.col("place") <= most)
-        fresh = written(_compared(nearest.join(judged, ["u", "v"], "left_anti"), sets), "near-judged")
-        if fresh.isEmpty():
+        nearest = written(nearest.select("u", "v", "place"), "near-nearest")
+        named = nearest.agg(F.max("place")).first()[0] or 0
+        if named:
+            judged = written(_compared(nearest.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), sets), "near-judged")
+            similar = judged.where("similar").select("u", "v")
+            if not similar.isEmpty():
+                roots = _merged(roots, similar)
+        if named < most:
             break
-        judged = judged.unionByName(fresh)
-        similar = fresh.where("similar").select("u", "v")
-        if not similar.isEmpty():
-            roots = _merged(roots, similar)
+        # A text that named fewer has met all its neighbours: what is left need not meet it again.
+        more = nearest.where(F.col("place") == most).select(F.col("u").alias("node"))
+        left = state.drop("root").join(more, "node", "left_semi")
     placed = nodes.join(roots.select(F.col("u").alias("node"), "root"), "node", "left").select("node", "first", F.coalesce("root", "node").alias("root"))
     named = placed.join(placed.groupBy("root").agg(F.min("first").alias("winner")), "root").select("node", "winner")
     given = lambda c: F.nullif(c, F.lit((1 << 63) - 1))

@@ -51,3 +51,24 @@ def test_any_two_texts_of_a_large_group_meet(spark, monkeypatch):
         groups.setdefault(key, set()).add(int(node))
     met = {pair for group in groups.values() for pair in combinations(sorted(group), 2)}
     assert met == set(combinations(range(12), 2)) and max(map(len, groups.values())) < 12
+
+
+def test_pairs_are_compared_once(spark, monkeypatch):
+    """Texts that are near but all less similar: whichever end names a pair, it is compared once, in few rounds."""
+    words = [f"w{k}" for k in range(204)]
+    texts = [" ".join(replaced(words, 3 + 9 * k, 14, f"n{k}")) for k in range(20)]
+    assert wanted(texts) == list(range(20))
+    compared, rounds = [], []
+    judge, propose = near_copies._compared, near_copies._proposed
+
+    def judged(pairs, sets):
+        compared.extend(frozenset((bytes(r.u), bytes(r.v))) for r in pairs.select("u", "v").collect())
+        return judge(pairs, sets)
+
+    monkeypatch.setattr(near_copies, "_compared", judged)
+    monkeypatch.setattr(near_copies, "_proposed", lambda most: rounds.append(most) or propose(most))
+    rows = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)], SCHEMA)
+    found = near_copies.near_copies(rows.coalesce(1)).orderBy("doc_id").collect()
+    assert [r.component_id for r in found] == list(range(20))
+    assert len(compared) > 50 and len(set(compared)) == len(compared)
+    assert len(rounds) <= 5
