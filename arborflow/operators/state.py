@@ -1,5 +1,7 @@
 """Recorded state: one row per file, plus the ids of its nodes and edges as rows."""
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +15,8 @@ FILE_STATE = (
 NODE_STATE = "file_id string, node_id string"
 EDGE_STATE = "file_id string, edge_id string"
 STATE_TABLES = {"files": FILE_STATE, "nodes": NODE_STATE, "edges": EDGE_STATE}
+# Entities that a task is to sort at a time.
+ENTITIES_A_TASK = 1 << 18
 
 
 def empty_state(spark: SparkSession) -> dict[str, DataFrame]:
@@ -61,6 +65,15 @@ def commit_files(state: DataFrame, committed: DataFrame) -> DataFrame:
     return upsert(state, rows, keep_first=("repository_id", "file_path"))
 
 
+def for_entities(files: DataFrame, entities: DataFrame) -> DataFrame:
+    """Files (file_id) dealt for joins with so many entities: what a task sorts there does not grow with the tables.
+
+    The side of the files is dealt, as an entity side would lose it again: semi and anti joins move below it.
+    """
+    cores = files.sparkSession.sparkContext.defaultParallelism
+    return files.repartition(max(cores, math.ceil(entities.count() / ENTITIES_A_TASK)), "file_id")
+
+
 def commit_entities(state: DataFrame, committed: DataFrame, current: DataFrame) -> DataFrame:
     """Replace the ids of the committed files by their current ones."""
     kept = state.join(committed.select("file_id"), "file_id", "left_anti")

@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as registered
+from arborflow.operators import state
 from arborflow.plans.queries import QUERIES
 
 # The rest is compared by the driver's own check; these cover each operator family quickly.
@@ -77,3 +78,17 @@ def test_query_matches_sql(spark, sf, database, name):
     names = [c[0] for c in wanted.description]
     assert sorted(made.columns) == sorted(names)
     assert sortable(map(tuple, made.collect()), made.columns) == sortable(wanted.fetchall(), names)
+
+
+def test_file_joins_follow_the_number_of_entities(spark, sf, monkeypatch):
+    """entity_state: joins are dealt into as many tasks as the entities ask for, beyond the session's partitions."""
+    lines = spark.read.parquet(f"{sf}/lineitem.parquet").count()
+    monkeypatch.setattr(state, "ENTITIES_A_TASK", lines // 30)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = QUERIES["entity_state"](spark, sf)
+        assert found.rdd.getNumPartitions() >= 30
+        assert found.count() == found.distinct().count() > 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
