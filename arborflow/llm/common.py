@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 
 import numpy as np
@@ -31,6 +32,8 @@ def worker_cache(owner: str, key=None, make=None):
         _caches.clear()
         gc.collect()
         pa.default_memory_pool().release_unused()
+        if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+            trim(0)  # what Python and numpy freed, which the C library (where it is glibc) keeps otherwise
     if make is None:
         return None
     kept = _caches.get(owner)

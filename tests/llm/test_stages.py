@@ -71,3 +71,19 @@ def test_near_copy_stage_reaches_jaccard_of_0_8(spark):
     rows = [(i, t, "en", "s", len(t)) for i, t in enumerate(texts)]
     kept = {r.doc_id for r in corpus_pipeline.dedup_near_copies(spark, spark.createDataFrame(rows, SCHEMA).repartition(3), "").collect()}
     assert linked > 40 and want <= kept and len(kept - want) <= 0.02 * (len(texts) - len(want))
+
+
+def test_memory_of_the_operator_before_goes_back():
+    """Blocks that lie below one still in use are given back to the system too."""
+    import numpy as np
+    import psutil
+
+    from arborflow.llm import common
+
+    used = lambda: psutil.Process().memory_info().rss >> 20
+    common.worker_cache("one operator")
+    held = [np.ones(10_000) for _ in range(4000)]
+    top, full = held[-1], used()
+    held.clear()
+    common.worker_cache("the next")
+    assert used() < full - 200 and len(top) == 10_000
