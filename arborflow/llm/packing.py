@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
+from itertools import compress, islice
 
 import numpy as np
 import pyarrow as pa
@@ -20,8 +22,10 @@ from arborflow.llm.common import as_batch, texts_of, worker_cache
 CAPACITY = 4096
 END = 2  # id that closes each document
 SLACK = 1 / 32  # share of a slot that a whole piece may leave empty
-CACHE_WORDS = 1_500_000  # words whose ids a worker keeps from one part of a task to the next
-HELD_WORDS = 1_000_000  # words that a task holds at a time, whole texts
+CACHE_WORDS = 300_000  # words whose ids a worker keeps from one part of a task to the next; results do not depend on it
+HELD_WORDS = 250_000  # words that a task holds at a time, whole texts, as numbers; results do not depend on it
+ENCODED = 5_000  # pieces that the tokenizer gets at a time: what it returns is far larger than their ids
+SLICE_ROWS = 500  # rows of a batch whose texts are copied at a time
 
 
 def slot_counts(capacity: int) -> list:
@@ -89,7 +93,8 @@ def _spans(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 class WordTokens:
     """Token ids of words, which the tokenizer never joins across white space; None stands for a text's closing id.
 
-    Plain words are cut here and their pieces encoded by the tokenizer's merges alone, each piece once.
+    Plain words are cut here and their pieces encoded by the tokenizer's merges alone, each piece once. A text's words
+    become numbers as it is read; the ids of the most used words are kept.
     """
 
     def __init__(self, path: str, end: int):
@@ -98,8 +103,8 @@ class WordTokens:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, pre_tokenizers
 
-        self.whole, self.merges, self.end = Tokenizer.from_file(path), Tokenizer.from_file(path), end
-        self.merges.normalizer = None
+        self.whole, self.end = Tokenizer.from_file(path), end
+        self.merges = Tokenizer(self.whole.model)  # the same merges, not a second copy
         self.merges.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         vocabulary = self.whole.get_vocab()
         self.closing = np.zeros(max(vocabulary.values()) + 1, bool)
@@ -110,8 +115,33 @@ class WordTokens:
         self.places, self.pieces = _Numbered(None), _Numbered()
         self.flat, self.used = np.full(1 << 16, self.end, np.uint32), 1
         self.starts, self.sizes = np.zeros(1 << 14, np.int64), np.ones(1 << 14, np.int64)  # of words, None the first
+        self.uses = np.zeros(1 << 14, np.int64)
         self.piece_starts, self.piece_sizes = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
 
+    def _trim(self):
+        """Lets go of all but the most used words, half of CACHE_WORDS at most; of the pieces, if they are as many."""
+        words, half = len(self.places), CACHE_WORDS // 2
+        uses = self.uses[:words]
+        keep = uses > np.partition(uses, -half)[-half]
+        keep[0] = False  # None comes back by itself
+        kept, uses, sizes = list(compress(self.places, keep)), uses[keep], self.sizes[:words][keep]
+        ids = self.flat[_spans(self.starts[:words][keep], sizes)]
+        pieces, piece_sizes = self.pieces, self.piece_sizes[: len(self.pieces)]
+        piece_ids = self.flat[_spans(self.piece_starts[: len(pieces)], piece_sizes)]
+        self.clear()
+        for word in kept:
+            self.places[word]
+        self.places.taken()
+        place = slice(1, len(self.places))
+        self.starts, self.sizes, self.uses = (_grown(a, place.stop) for a in (self.starts, self.sizes, self.uses))
+        self.starts[place], self.sizes[place] = self._store(ids) + np.cumsum(sizes) - sizes, sizes
+        self.uses[place] = uses // 2  # what was used long ago counts less
+        if len(pieces) < half:
+            self.pieces = pieces
+            self.piece_starts, self.piece_sizes = _grown(self.piece_starts, len(pieces)), _grown(self.piece_sizes, len(pieces))
+            self.piece_starts[: len(pieces)] = self._store(piece_ids) + np.cumsum(piece_sizes) - piece_sizes
+            self.piece_sizes[: len(pieces)] = piece_sizes
+
     def _store(self, ids: np.ndarray) -> int:
         """Place of ids in the flat array."""
         self.flat = _grown(self.flat, self.used + len(ids))
@@ -119,11 +149,18 @@ class WordTokens:
         self.used += len(ids)
         return self.used - len(ids)
 
+    @staticmethod
+    def _batches(tokenizer, texts, size: int):
+        """Each text's encoding, made so many at a time."""
+        texts = iter(texts)
+        while part := list(islice(texts, size)):
+            yield from tokenizer.encode_batch_fast(part, add_special_tokens=False)
+
     def _encoded(self, pieces: list) -> tuple:
         """(ids, sizes) of pieces, 100 at a time; each ends with its only token that closes a word."""
         lines = [pieces[i : i + 100] for i in range(0, len(pieces), 100)]
         ids, sizes = [], []
-        for line, found in zip(lines, self.merges.encode_batch_fast([" ".join(line) for line in lines], add_special_tokens=False)):
+        for line, found in zip(lines, self._batches(self.merges, (" ".join(line) for line in lines), ENCODED // 100)):
             own = np.array(found.ids, np.uint32)
             ends = np.flatnonzero(self.closing[own])
             if len(ends) != len(line) or ends[-1] != len(own) - 1:
@@ -166,22 +203,32 @@ class WordTokens:
         if len(several):
             ids = self.flat[_spans(self.piece_starts[joined], self.piece_sizes[joined])]
             starts[several] = self._store(ids) + np.cumsum(sizes[several]) - sizes[several]
-        for (at, _), found in zip(other, self.whole.encode_batch_fast([text for _, text in other], add_special_tokens=False) if other else ()):
+        for (at, _), found in zip(other, self._batches(self.whole, (text for _, text in other), ENCODED)):
             starts[at], sizes[at] = self._store(np.array(found.ids, np.uint32)), len(found.ids)
         first, end = len(self.places) - len(words), len(self.places)
-        self.starts, self.sizes = _grown(self.starts, end), _grown(self.sizes, end)
+        self.starts, self.sizes, self.uses = (_grown(a, end) for a in (self.starts, self.sizes, self.uses))
         self.starts[first:end], self.sizes[first:end] = starts, sizes
 
-    def ids(self, words: list) -> tuple:
-        """(ids of all the words in order, number of ids of each)."""
-        if len(self.places) > CACHE_WORDS:
-            self.clear()
-        at = np.fromiter(map(self.places.__getitem__, words), np.int64, len(words))
+    def numbers(self, words):
+        """A number for each word, good until `of_numbers` is asked for the ids of all numbers given out."""
+        return map(self.places.__getitem__, words)
+
+    def of_numbers(self, numbers: array) -> tuple:
+        """(ids of all the numbered words in order, number of ids of each)."""
         fresh = self.places.taken()
         if fresh:
             self._learn(fresh)
+        at = np.frombuffer(numbers, np.int32)
         sizes = self.sizes[at]
-        return self.flat[_spans(self.starts[at], sizes)], sizes
+        ids = self.flat[_spans(self.starts[at], sizes)]
+        self.uses[: len(self.places)] += np.bincount(at, minlength=len(self.places))
+        if len(self.places) > CACHE_WORDS:
+            self._trim()
+        return ids, sizes
+
+    def ids(self, words: list) -> tuple:
+        """(ids of all the words in order, number of ids of each)."""
+        return self.of_numbers(array("i", self.numbers(words)))
 
 
 SCHEMA = pa.schema([(n, pa.int64()) for n in ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")])
@@ -206,21 +253,23 @@ def _packer(path, capacity, end, slack):
             following[0] += 1
 
         def texts():
-            keys, words, ends = [], [], []
+            keys, words, ends = [], array("i"), []
             for batch in batches:
-                for key, text in zip(batch.column("doc_id").to_pylist(), texts_of(batch, "text")):
-                    keys.append(key)
-                    words += (text or b"").split()
-                    words.append(None)
-                    ends.append(len(words))
-                    if len(words) > HELD_WORDS:
-                        yield keys, words, ends
-                        keys, words, ends = [], [], []
+                for at in range(0, batch.num_rows, SLICE_ROWS):
+                    part = batch.slice(at, SLICE_ROWS)
+                    for key, text in zip(part.column("doc_id").to_pylist(), texts_of(part, "text")):
+                        keys.append(key)
+                        words.extend(tokens.numbers((text or b"").split()))
+                        words.append(0)  # the closing id
+                        ends.append(len(words))
+                        if len(words) > HELD_WORDS:
+                            yield keys, words, ends
+                            keys, words, ends = [], array("i"), []
             if keys:
                 yield keys, words, ends
 
         for keys, words, ends in texts():
-            ids, sizes = tokens.ids(words)
+            ids, sizes = tokens.of_numbers(words)
             ids = ids.astype("<u4", copy=False)
             bounds = np.cumsum(sizes)[np.array(ends) - 1].tolist()
             begin = 0

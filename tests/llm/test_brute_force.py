@@ -299,6 +299,37 @@ def test_words_are_tokenized_as_texts_are(monkeypatch):
         assert ids.tolist() == [*whole.encode(" ".join(part), add_special_tokens=False).ids, 2] and sizes[-1] == 1
 
 
+def test_packing_holds_numbers_and_the_most_used_words(monkeypatch):
+    """A task holds a number for each word of its part, not the word; the cache stays bounded and keeps what is used."""
+    import tracemalloc
+    from types import SimpleNamespace
+
+    import pyarrow as pa
+    import pyspark
+    from tokenizers import Tokenizer
+
+    random = np.random.default_rng(7)
+    path = queries.tokenizer_path()
+    used = [f"used{i}" for i in range(50)]
+    monkeypatch.setattr(packing, "CACHE_WORDS", 400)
+    whole, own = Tokenizer.from_file(path), packing.WordTokens(path, 2)
+    for turn in range(30):
+        words = used + [f"rare{random.integers(1 << 40)}," for _ in range(100)]
+        ids, _ = own.ids([*[w.encode() for w in words], None])
+        assert ids.tolist() == [*whole.encode(" ".join(words), add_special_tokens=False).ids, 2]
+        assert len(own.places) <= 400 and {w.encode() for w in used} <= set(own.places)
+
+    monkeypatch.undo()
+    monkeypatch.setattr(pyspark, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)))
+    texts = [" ".join(random.choice(used, 5000)) for _ in range(250)]
+    batches = [pa.RecordBatch.from_pydict({"doc_id": range(at, at + 10), "text": texts[at : at + 10]}) for at in range(0, 250, 10)]
+    tracemalloc.start()
+    pieces = [row for out in packing._packer(path, 4096, 2, 1 / 32)(iter(batches)) for row in out.to_pylist()]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 45e6 and sum(p["length"] for p in pieces) == sum(len(e.ids) + 1 for e in whole.encode_batch_fast(texts, add_special_tokens=False))
+
+
 def test_rejection_is_calibrated(spark, documents):
     """Shuffled texts and an unknown language go, held-out labelled texts stay; rows of one id are drawn by their texts."""
     model = language.fit(documents)
