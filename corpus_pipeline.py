@@ -5,6 +5,7 @@ shared folder and reads it back, so that a lost executor costs part of one stage
 """
 
 import uuid
+from functools import wraps
 
 from pyspark.sql import functions as F
 
@@ -14,6 +15,21 @@ from arborflow.llm.queries import table, tokenizer_path
 from arborflow.session import remove, shared_folder, work_tables, written
 
 
+BATCH_BYTES = "4m"  # Spark's own limit is 64 MB, and a batch is held several times: by the JVM, its stream, the worker
+
+
+def small_batches(stage):
+    """A stage whose texts go to Python in batches of few bytes, however long they are; results do not depend on it."""
+
+    @wraps(stage)
+    def run(spark, docs, sf_dir):
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+        return stage(spark, docs, sf_dir)
+
+    return run
+
+
+@small_batches
 def identify_language(spark, docs, sf_dir):
     """Drops documents that the language model, trained on these documents, rejects: no letters, or hardly any confidence."""
     judged = language.predict(docs, language.fit(docs), prefix="__id_")
@@ -26,11 +42,13 @@ def dedup_lines(spark, docs, sf_dir):
     return cut.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), F.col("n_chars"))).select(*docs.columns)
 
 
+@small_batches
 def dedup_near_copies(spark, docs, sf_dir):
     """Keeps one document of each group of near copies (five-word Jaccard 0.8 or more): that of the smallest id."""
     return near_copies.drop_near_copies(docs)
 
 
+@small_batches
 def decontaminate_documents(spark, docs, sf_dir):
     """Drops the documents that hold a window of a benchmark item, told by id and text: others of the same id stay."""
     found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"), carried=document_key("doc_id", "text"))
@@ -38,6 +56,7 @@ def decontaminate_documents(spark, docs, sf_dir):
     return without(docs, hit)
 
 
+@small_batches
 def pack_sequences(spark, docs, sf_dir):
     """Pieces of all documents in sequences of at most 4096 tokens."""
     return packing.pack(docs, tokenizer_path())

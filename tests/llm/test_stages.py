@@ -87,3 +87,17 @@ def test_memory_of_the_operator_before_goes_back():
     held.clear()
     common.worker_cache("the next")
     assert used() < full - 200 and len(top) == 10_000
+
+
+def test_texts_go_to_python_in_small_batches(spark):
+    """Also after a stage returned, as results are lazy: 24 MB of texts, in one partition."""
+    import pyarrow as pa
+
+    conf = "spark.sql.execution.arrow.maxBytesPerBatch"
+    texts = spark.range(0, 60, 1, 1).selectExpr("id as doc_id", "repeat('some words ', 36000) as text", "'en' as lang", "'s' as source", "396000L as n_chars")
+    sizes = lambda batches: (pa.RecordBatch.from_pydict({"size": [b.nbytes]}) for b in batches)
+    spark.conf.unset(conf)
+    pieces = corpus_pipeline.pack_sequences(spark, texts, "")
+    largest = texts.mapInArrow(sizes, "size long").groupBy().max("size").first()[0]
+    spark.conf.unset(conf)
+    assert largest < 6e6 and pieces.select("doc_id").distinct().count() == 60
