@@ -42,3 +42,18 @@ def test_row_groups_that_reach_all_cores_are_not_shuffled(spark, edges, tmp_path
     assert not shuffles(apart)  # one file, a row group in each of many splits
     assert shuffles(whole)  # many splits, rows in one of them only
     assert apart.count() > 32 and sorted(apart.collect()) == sorted(whole.collect())
+
+
+def test_edges_are_stored_compactly(spark, edges, tmp_path):
+    folder = documents(tmp_path / "docs", 32, 32)
+
+    def stored(to, **options):
+        edges(folder).coalesce(1).write.parquet(f"{tmp_path}/{to}", **options)
+        (part,) = glob.glob(f"{tmp_path}/{to}/*.parquet")
+        group = pq.ParquetFile(part).metadata.row_group(0)
+        return group.column(0).compression, group.num_rows, sum(group.column(n).total_compressed_size for n in range(group.num_columns))
+
+    codec, rows, size = stored("unset")
+    assert codec == "ZSTD" and stored("named", compression="snappy")[0] == "SNAPPY"
+    spark.conf.set(CODEC, "snappy")  # the owner's choice stays
+    assert stored("chosen")[:2] == ("SNAPPY", rows) and size < 0.65 * stored("again")[2]
